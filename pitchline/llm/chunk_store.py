@@ -15,8 +15,11 @@ Reading verifies every chunk against its address, each recipe against its root a
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +40,27 @@ def _address(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=ADDRESS_BYTES).digest()
 
 
-class Encoder:
-    """Ids of whole texts from a tokenizers file whose pre-tokenizer never crosses ASCII white space.
+#: Runs of these characters alone are normalised and cut here: printable ASCII and precomposed Latin-1 letters, whose
+#: lower case, composition and byte characters are plain.  All other runs go through the whole tokenizer.
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-zà-öø-ÿß0-9]+")
 
-    The ids of a white-space-free run do not depend on its neighbours, so each different run is encoded
-    once by the library and remembered, up to LIMIT runs.
+
+def _byte_characters() -> dict[int, str]:
+    """The public byte-level alphabet: printable Latin-1 bytes stand for themselves, the others for U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    return {b: chr(b) for b in own} | {b: chr(0x100 + i) for i, b in enumerate(b for b in range(256) if b not in own)}
+
+
+class Encoder(dict):
+    """Packed ids of white-space-free runs of text, by run, from a tokenizers file whose pre-tokenizer never crosses white space.
+
+    The ids of such a run do not depend on its neighbours, so each different run is encoded once by the
+    library and remembered, up to LIMIT runs; the latest half is forgotten first, as frequent runs come
+    early.  For plain runs the library's model is asked for each pre-token.
     """
 
-    LIMIT = 500_000
+    LIMIT = 700_000
     made: dict[str, Encoder] = {}
 
     def __init__(self, path: str):
@@ -52,7 +68,12 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.known: dict[bytes, bytes] = {}
+        self.code = "H" if self.width == 2 else "I"
+        self.model = self.tokenizer.model
+        self.pieces: dict[str, bytes] = {}
+        letters = _byte_characters()
+        self.bytes_of = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+        self.end = self.pack([END_ID])
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -61,21 +82,38 @@ class Encoder:
         return cls.made[path]
 
     def pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=f"<u{self.width}").tobytes()
+        return array(self.code, ids).tobytes()
+
+    def piece(self, text: str) -> bytes:
+        found = self.pieces.get(text)
+        if found is None:
+            spelled = text if text.isascii() else text.translate(self.bytes_of)
+            found = self.pieces[text] = self.pack([t.id for t in self.model.tokenize(spelled)])
+        return found
+
+    def __missing__(self, run: bytes) -> bytes:
+        body = run.rstrip(b".,")
+        if body.isalpha():  # ASCII letters alone, and full stops or commas after them
+            made = self.piece(body.lower().decode())
+            if len(body) < len(run):
+                made += self.piece(run[len(body) :].decode())
+        else:
+            text = run.decode()
+            if _PLAIN.fullmatch(text) and "<|" not in text:
+                made = b"".join(map(self.piece, _PIECES.findall(text.lower())))
+            else:
+                made = self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        self[run] = made
+        return made
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed ids of each text, its end id included."""
-        runs = [t.split() for t in texts]
-        new = list({r for t in runs for r in t if r not in self.known})
-        if len(self.known) + len(new) > self.LIMIT:
-            self.known.clear()
-            new = list({r for t in runs for r in t})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            made = self.tokenizer.encode_batch_fast([r.decode() for r in part], add_special_tokens=False)
-            self.known.update((r, self.pack(e.ids)) for r, e in zip(part, made))
-        end = self.pack([END_ID])
-        return [b"".join(map(self.known.__getitem__, t)) + end for t in runs]
+        for held, most in ((self, self.LIMIT), (self.pieces, self.LIMIT // 2)):
+            if len(held) > most:
+                for k in list(islice(held, most // 2, None)):
+                    del held[k]
+        get, end = self.__getitem__, self.end
+        return [b"".join(map(get, t.split())) + end for t in texts]
 
 
 _GEAR = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
