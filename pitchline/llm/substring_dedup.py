@@ -163,17 +163,21 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
     copies = scan.join(firsts, ["doc_id", "digest"], "left_anti").select("doc_id", "tag", F.lit(0).alias("from"), F.col("n_words").alias("to"))
     marks = scan.join(firsts, ["doc_id", "digest"], "left_semi").select("doc_id", "tag", F.explode("anchors").alias("x")).select("doc_id", "tag", "x.*")
     repeats = marks.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.min("span").alias("s0"), F.max("span").alias("s1")).filter("low < high")
-    seeded = work.save(marks.join(repeats.select("h", "low", (F.col("s0") != F.col("s1")).alias("mixed")), "h"), "seeded")
+    # Counts are saved before they are joined: Spark splits a hot key only where both sides of a join come as they were dealt.
+    repeats = work.save(repeats.select("h", "low", (F.col("s0") != F.col("s1")).alias("mixed")), "repeats")
+    seeded = work.save(marks.join(repeats, "h"), "seeded")
     whole = [F.col("doc_id"), F.col("tag"), F.col("lo").alias("from"), (F.col("hi") + WINDOW).alias("to")]
     plain = seeded.filter("not mixed and doc_id > low").select(whole)
     # Differing spans of one seed: the first row of each span is extended window by window, others follow it.
     mixed = seeded.filter("mixed")
-    told = mixed.join(mixed.groupBy("h", "span").agg(F.min("doc_id").alias("span_low")), ["h", "span"])
+    lows = work.save(mixed.groupBy("h", "span").agg(F.min("doc_id").alias("span_low")), "lows")
+    told = mixed.join(lows, ["h", "span"])
     follow = told.filter("doc_id > span_low").select(whole)
     ask = told.filter("doc_id = span_low").groupBy("doc_id", "tag").agg(F.collect_list(F.struct("h", "at", "lo", "hi")).alias("spans"))
     windows = source.join(ask, "doc_id").select("doc_id", "text", "tag", "spans").mapInArrow(_windows, "doc_id long, tag int, h long, off int, window long, start int")
     windows = work.save(windows, "windows")
     shared = windows.groupBy("h", "off", "window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").drop("high")
+    shared = work.save(shared, "shared")
     single = windows.join(shared, ["h", "off", "window"]).filter("doc_id > low").select("doc_id", "tag", F.col("start").alias("from"), (F.col("start") + WINDOW).alias("to"))
     holes = copies.unionByName(plain).unionByName(follow).unionByName(single).groupBy("doc_id").agg(F.collect_list(F.struct("tag", "from", "to")).alias("holes"))
     return source.join(holes, "doc_id", "left").select("doc_id", "text", "holes").mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept_text string")
