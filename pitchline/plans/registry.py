@@ -1,11 +1,11 @@
 """The named queries of the engine and their SQL."""
 
-from __future__ import annotations
+from .queries import QUERIES, SQL
 
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(SQL)
