@@ -64,7 +64,10 @@ class Record:
 
 
 def _python_text(text: str | None) -> str | None:
-    return None if text is None else str(json_module.loads(text))
+    try:
+        return None if text is None else str(json_module.loads(text))
+    except ValueError:  # Spark evaluates the function for plain texts too, whose results are not used
+        return text
 
 
 def python_text(json: Column) -> Column:
