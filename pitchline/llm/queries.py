@@ -68,7 +68,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = mixing.mix(documents(spark, sf_dir))
+    made = mixing.mix(documents(spark, sf_dir).select("doc_id", "source"))
     return made.select("row.doc_id", "source", "block", "slot", F.col("place").cast("long").alias("place"))
 
 
