@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -91,15 +92,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """word -> its 64-bit XXH64; forgets all when it holds too many words, so memory stays bounded."""
+    """word -> its 64-bit XXH64, for up to LIMIT words."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= self.LIMIT:
-            self.clear()
+        if len(self) >= self.LIMIT:  # frequent words come early: the later half goes
+            for k in list(islice(self, self.LIMIT // 2, None)):
+                del self[k]
         h = self[word] = xxhash.xxh64_intdigest(word, 0)
         return h
 

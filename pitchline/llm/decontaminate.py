@@ -156,6 +156,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 rows = [(d, *m) for d, t in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1))) for m in index.matches(t)]
                 cols = zip(*rows) if rows else ((),) * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))], names)
+            _seen.clear()
 
         part = texts.mapInArrow(run, RESULT)
         out = part if out is None else out.unionByName(part)
