@@ -6,8 +6,8 @@ order; its root is the hash of their addresses (a Merkle node), the roots of a f
 to the file's root, and those to the manifest's root.
 
 Layout under the store's path:
-    staged/    kind=chunk: address binary, ids binary (little-endian unsigned 16-bit, or 32-bit if width is 4)
-    recipes/   part, doc_id, start, n_tokens, addresses, sizes, root; ascending doc_id over the parts
+    staged/    chunks: address binary, data binary (ids, little-endian unsigned 16-bit, or 32-bit if width is 4)
+    recipes/   part, doc_id, start, n_tokens, addresses, sizes, root; ascending start over the parts
     manifest/  part, first_start, n_tokens, n_docs, root of each part and, with part null, of the store
 Reading verifies every chunk against its address, each recipe against its root and the manifest.
 """
@@ -24,7 +24,7 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Workspace, byte_texts, mix, partitions, slices
@@ -40,10 +40,11 @@ def _address(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=ADDRESS_BYTES).digest()
 
 
-#: Runs of these characters alone are normalised and cut here: printable ASCII and precomposed Latin-1 letters, whose
-#: lower case, composition and byte characters are plain.  All other runs go through the whole tokenizer.
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿß]+|[0-9]|[^a-zà-öø-ÿß0-9]+")
+#: Texts without any of these are normalised and cut here: ASCII white space, printable ASCII and precomposed Latin-1
+#: letters have plain lower cases, compositions and byte characters.  Other texts go through the whole tokenizer.
+_ODD = re.compile("[^\t-\r -~À-ÖØ-öø-ÿ]|<\\|")
+#: The file's pre-tokenizer over such texts in lower case.
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
 
 
 def _byte_characters() -> dict[int, str]:
@@ -52,28 +53,61 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(0x100 + i) for i, b in enumerate(b for b in range(256) if b not in own)}
 
 
-class Encoder(dict):
-    """Packed ids of white-space-free runs of text, by run, from a tokenizers file whose pre-tokenizer never crosses white space.
+class Held(dict):
+    """A dict of up to LIMIT entries between texts; the later half is forgotten first, as frequent keys come early."""
 
-    The ids of such a run do not depend on its neighbours, so each different run is encoded once by the
-    library and remembered, up to LIMIT runs; the latest half is forgotten first, as frequent runs come
-    early.  For plain runs the library's model is asked for each pre-token.
+    LIMIT = 500_000
+
+    def trim(self) -> None:
+        if len(self) > self.LIMIT:
+            for k in list(islice(self, self.LIMIT // 2, None)):
+                del self[k]
+
+
+class Pieces(Held):
+    """Packed ids of pre-tokens, asked of the library's model."""
+
+    def __init__(self, tokenizer, code: str):
+        letters = _byte_characters()
+        self.tokenize, self.code = tokenizer.model.tokenize, code
+        self.bytes_of = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+    def __missing__(self, piece: str) -> bytes:
+        spelled = piece if piece.isascii() else piece.translate(self.bytes_of)
+        made = self[piece] = array(self.code, [t.id for t in self.tokenize(spelled)]).tobytes()
+        return made
+
+
+class Runs(Held):
+    """Packed ids of white-space-free runs, encoded by the whole tokenizer."""
+
+    LIMIT = 100_000
+
+    def __init__(self, tokenizer, code: str):
+        self.encode, self.code = tokenizer.encode, code
+
+    def __missing__(self, run: bytes) -> bytes:
+        made = self[run] = array(self.code, self.encode(run.decode(), add_special_tokens=False).ids).tobytes()
+        return made
+
+
+class Encoder:
+    """Ids of whole texts from a tokenizers file whose pre-tokenizer never crosses white space.
+
+    The ids of a pre-token, and of a white-space-free run, do not depend on their neighbours, so each
+    different one is encoded once by the library and remembered.
     """
 
-    LIMIT = 700_000
     made: dict[str, Encoder] = {}
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.code = "H" if self.width == 2 else "I"
-        self.model = self.tokenizer.model
-        self.pieces: dict[str, bytes] = {}
-        letters = _byte_characters()
-        self.bytes_of = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
-        self.end = self.pack([END_ID])
+        tokenizer = Tokenizer.from_file(path)
+        self.width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
+        code = "H" if self.width == 2 else "I"
+        self.pieces, self.runs = Pieces(tokenizer, code), Runs(tokenizer, code)
+        self.end = array(code, [END_ID]).tobytes()
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -81,39 +115,17 @@ class Encoder(dict):
             cls.made[path] = cls(path)
         return cls.made[path]
 
-    def pack(self, ids: list[int]) -> bytes:
-        return array(self.code, ids).tobytes()
-
-    def piece(self, text: str) -> bytes:
-        found = self.pieces.get(text)
-        if found is None:
-            spelled = text if text.isascii() else text.translate(self.bytes_of)
-            found = self.pieces[text] = self.pack([t.id for t in self.model.tokenize(spelled)])
-        return found
-
-    def __missing__(self, run: bytes) -> bytes:
-        body = run.rstrip(b".,")
-        if body.isalpha():  # ASCII letters alone, and full stops or commas after them
-            made = self.piece(body.lower().decode())
-            if len(body) < len(run):
-                made += self.piece(run[len(body) :].decode())
-        else:
-            text = run.decode()
-            if _PLAIN.fullmatch(text) and "<|" not in text:
-                made = b"".join(map(self.piece, _PIECES.findall(text.lower())))
-            else:
-                made = self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        self[run] = made
-        return made
-
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed ids of each text, its end id included."""
-        for held, most in ((self, self.LIMIT), (self.pieces, self.LIMIT // 2)):
-            if len(held) > most:
-                for k in list(islice(held, most // 2, None)):
-                    del held[k]
-        get, end = self.__getitem__, self.end
-        return [b"".join(map(get, t.split())) + end for t in texts]
+        self.pieces.trim()
+        self.runs.trim()
+        piece, run, end, odd, cut = self.pieces.__getitem__, self.runs.__getitem__, self.end, _ODD.search, _PIECES.findall
+        out = []
+        for t in texts:
+            text = t.decode()
+            ids = map(run, t.split()) if odd(text) else map(piece, cut(text.lower()))
+            out.append(b"".join(ids) + end)
+        return out
 
 
 _GEAR = mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
@@ -149,11 +161,11 @@ def _ids_to_chunks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.
     coder = Encoder.at(path)
     width = coder.width
     sent: set[bytes] = set()
-    names = ["doc_id", "n_tokens", "addresses", "sizes", "address", "data"]
-    types = (pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary(), pa.binary())
+    names = ["doc_id", "major", "minor", "n_tokens", "addresses", "sizes", "address", "data"]
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary(), pa.binary())
     for batch in slices(batches):
         rows: list[tuple] = []
-        for doc, data in zip(batch.column(0).to_pylist(), coder.encode(byte_texts(batch.column(1)))):
+        for doc, major, minor, data in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), coder.encode(byte_texts(batch.column(1)))):
             ids = np.frombuffer(data, dtype=f"<u{width}")
             addresses, sizes, at = [], [], 0
             for end in cuts(ids):
@@ -165,47 +177,48 @@ def _ids_to_chunks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.
                     if len(sent) >= 1_000_000:
                         sent.clear()
                     sent.add(a)
-                    rows.append((None, None, None, None, a, part))
-            rows.append((doc, len(ids), addresses, sizes, _address(b"".join(addresses)), None))
+                    rows.append((None, None, None, None, None, None, a, part))
+            rows.append((doc, major, minor, len(ids), addresses, sizes, _address(b"".join(addresses)), None))
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
 
 def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks sorted by address: the first of each; recipes pass."""
-    last = None
+    """Of rows sorted by address, the first of each chunk; recipes, whose roots are no chunk's address, pass."""
+    last = b""
     for batch in batches:
-        address = batch.column(4)
-        keep = []
-        for a, data in zip(address.to_pylist(), pc.is_valid(batch.column(5)).to_pylist()):
-            keep.append(not data or a != last)
-            if data:
-                last = a
-        yield batch.filter(pa.array(keep, pa.bool_()))
+        if not batch.num_rows:
+            continue
+        address = batch.column(6)
+        before = pa.concat_arrays([pa.array([last], pa.binary()), address.slice(0, batch.num_rows - 1)])
+        last = address[-1].as_py()
+        yield batch.filter(pc.or_(pc.is_null(batch.column(7)), pc.not_equal(address, before)))
 
 
-def write_store(docs: DataFrame, path: str, tokenizer: str) -> None:
-    """Write the store of docs' texts.  Null texts count as empty: their stream is the end id alone.
+def write_store(docs: DataFrame, path: str, tokenizer: str, order: tuple[Column, Column] | None = None) -> None:
+    """Write the store of docs' texts in the given order of two integers, else of doc_id.
 
-    Rows that share a doc_id are separate documents, ordered by their roots; null doc_ids come first.
-    Other columns are not read.  An empty table gives an empty store.
+    Null texts count as empty: their stream is the end id alone.  Rows that share their place are separate
+    documents, ordered by their roots; null doc_ids come first.  Other columns are not read.  An empty table gives
+    an empty store.
     """
     spark = docs.sparkSession
-    schema = "doc_id long, n_tokens long, addresses array<binary>, sizes array<int>, address binary, data binary"
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    major, minor = order or (F.col("doc_id"), F.lit(0))
+    schema = "doc_id long, major long, minor long, n_tokens long, addresses array<binary>, sizes array<int>, address binary, data binary"
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), major.cast("long").alias("major"), minor.cast("long").alias("minor"))
     made = texts.mapInArrow(lambda b: _ids_to_chunks(b, tokenizer), schema)
     n = partitions(spark)
-    # a recipe's root may be common, so recipes are dealt by doc_id as well
-    dealt = made.repartition(n, "address", "doc_id").sortWithinPartitions("address")
-    both = dealt.mapInArrow(_once, schema).withColumn("kind", F.when(F.col("data").isNull(), "recipe").otherwise("chunk"))
-    both.write.option("compression", "zstd").partitionBy("kind").parquet(f"{path}/staged")
-    staged = spark.read.schema(both.schema).parquet(f"{path}/staged").filter("kind = 'recipe'")
-    sorted_ = staged.select("doc_id", "n_tokens", "addresses", "sizes", F.col("address").alias("root")).repartitionByRange(n, "doc_id", "root").sortWithinPartitions("doc_id", "root").withColumn("part", F.spark_partition_id())
+    # a recipe's root may be common, so recipes are dealt by their place as well
+    dealt = made.repartition(n, "address", "major", "minor").sortWithinPartitions("address")
+    dealt.mapInArrow(_once, schema).write.option("compression", "zstd").parquet(f"{path}/staged")
+    staged = spark.read.schema(schema).parquet(f"{path}/staged").filter("data is null")
+    place = ["major", "minor", "root"]
+    sorted_ = staged.select("doc_id", "major", "minor", "n_tokens", "addresses", "sizes", F.col("address").alias("root")).repartitionByRange(n, *place).sortWithinPartitions(*place).withColumn("part", F.spark_partition_id())
     sorted_.write.option("compression", "zstd").parquet(f"{path}/sorted")
     ordered = spark.read.schema(sorted_.schema).parquet(f"{path}/sorted")
     totals = ordered.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_docs"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each part
     parts = totals.withColumn("first_start", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)))
-    within = Window.partitionBy("part").orderBy("doc_id", "root").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("part").orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
     starts = ordered.join(F.broadcast(parts.select("part", "first_start")), "part").withColumn("start", F.col("first_start") + F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
     recipes = starts.select("part", "doc_id", "start", "n_tokens", "addresses", "sizes", "root")
     recipes.write.option("compression", "zstd").parquet(f"{path}/recipes")
@@ -213,7 +226,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str) -> None:
 
 
 RECIPE = "part int, doc_id long, start long, n_tokens long, addresses array<binary>, sizes array<int>, root binary"
-CHUNK = "address binary, data binary, kind string"
+CHUNK = "address binary, data binary"
 MANIFEST = "part int, first_start long, n_tokens long, n_docs long, root string"
 
 
@@ -309,7 +322,7 @@ def read_store(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
     never shuffled.
     """
     recipes = spark.read.schema(RECIPE).parquet(f"{path}/recipes")
-    chunks = spark.read.schema(CHUNK).parquet(f"{path}/staged").filter("kind = 'chunk'").select("address", "data")
+    chunks = spark.read.schema(CHUNK).parquet(f"{path}/staged").filter("data is not null")
     sums = chunks.mapInArrow(lambda b: _verified(b, width), "address binary, crc long, ids int")
     uses = recipes.select("start", "addresses", "sizes", "root").mapInArrow(_rooted, "start long, address binary, size int, after long")
     found = uses.join(sums, "address", "left")
@@ -321,7 +334,7 @@ def read_store(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
 def read_ids(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
     """(doc_id, start, ids array<int>): the id streams rebuilt from recipes and chunks."""
     recipes = spark.read.schema(RECIPE).parquet(f"{path}/recipes")
-    chunks = spark.read.schema(CHUNK).parquet(f"{path}/staged").filter("kind = 'chunk'").select(F.col("address"), "data")
+    chunks = spark.read.schema(CHUNK).parquet(f"{path}/staged").filter("data is not null")
     uses = recipes.select("doc_id", "start", F.posexplode("addresses").alias("at", "address")).join(chunks, "address")
     lists = uses.groupBy("doc_id", "start").agg(F.array_sort(F.collect_list(F.struct("at", "data"))).alias("parts"))
 
@@ -333,10 +346,10 @@ def read_ids(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
     return lists.mapInArrow(unpack, "doc_id long, start long, ids array<int>")
 
 
-def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
+def encoded(docs: DataFrame, tokenizer: str, order: tuple[Column, Column] | None = None) -> DataFrame:
     """Write a store of docs below the shared folder, check its manifest, and read it back."""
     work = Workspace(docs.sparkSession, "store")
     path = f"{work.path}/store"
-    write_store(docs, path, tokenizer)
+    write_store(docs, path, tokenizer, order)
     verify_manifest(docs.sparkSession, path)
     return read_store(docs.sparkSession, path, Encoder.at(tokenizer).width)

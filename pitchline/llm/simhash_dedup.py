@@ -188,5 +188,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     joined = firsts.join(roots, "value")  # only linked fingerprints
     lows = joined.groupBy("root").agg(F.min("first").alias("low"))
     linked = joined.join(lows, "root").select("value", "low")
-    labels = firsts.join(linked, "value", "left").select("value", F.coalesce("low", "first").alias("component_id"))
+    # saved before the join: Spark splits a hot fingerprint only where both sides come as they were dealt
+    labels = work.save(firsts.join(linked, "value", "left").select("value", F.coalesce("low", "first").alias("component_id")), "labels")
     return prints.join(labels, "value").select("doc_id", F.lower(F.lpad(F.hex("value"), 16, "0")).alias("fingerprint"), "component_id")
