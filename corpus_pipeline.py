@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,8 +36,18 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def stored(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token store's rows, read back from its files."""
-    return chunk_store.encoded(docs, tokenizer_file("word_bpe_49k.json"))
+    """The token store's rows, read back from its files.
+
+    Documents read from files are stored in the order of the files, which is that of the mix; others by doc_id.
+    """
+    file = tokenizer_file("word_bpe_49k.json")
+    part = F.coalesce(F.regexp_extract("_metadata.file_name", "^part-([0-9]+)", 1).try_cast("long"), F.lit(0))
+    order = (part, F.col("_metadata.row_index"))
+    try:
+        docs.select(*order)
+    except AnalysisException:  # not read from files
+        order = None
+    return chunk_store.encoded(docs, file, order)
 
 
 STAGES = [("language ID", identified), ("SimHash near-dedup", deduplicated), ("benchmark decontamination", decontaminated), ("mixing", mixed), ("token output", stored)]
