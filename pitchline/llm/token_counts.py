@@ -14,12 +14,16 @@ Of two ways with equal scores the one with fewer pieces counts.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 from math import log
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import by_text
+from .common import byte_texts, slices
 
 MARK = "▁"
 
@@ -76,25 +80,27 @@ class Unigram:
 
 
 class Terminals:
-    """Counts and scores of the pre-tokens seen, up to LIMIT of them."""
+    """Counts and scores of the pre-tokens seen, up to LIMIT of them; the later half is forgotten first, as frequent ones come early."""
 
-    LIMIT = 400_000
+    LIMIT = 300_000
 
     def __init__(self, model: Unigram):
         self.model = model
-        self.known: dict[bytes, tuple[int, float]] = {}
-
-    def of(self, runs: list[bytes]) -> list[tuple[int, float]]:
-        known = self.known
-        new = {r for r in runs if r not in known}
-        if new:
-            if len(known) + len(new) > self.LIMIT:
-                known.clear()
-                new = set(runs)
-            words = {MARK + r.decode(): r for r in new}
-            for word, found in self.model.walk(sorted(words)).items():
-                known[words[word]] = found
-        return [known[r] for r in runs]
+        self.counts: dict[bytes, int] = {}
+        self.scores: dict[bytes, float] = {}
+
+    def of(self, texts: list[list[bytes]]) -> list[tuple[int, float]]:
+        """(tokens, score) of each list of pre-tokens; new ones of all lists share one trie."""
+        if len(self.counts) > self.LIMIT:
+            for k in list(islice(self.counts, self.LIMIT // 2, None)):
+                del self.counts[k], self.scores[k]
+        new = set().union(*texts) - self.counts.keys()
+        words = {MARK + r.decode(): r for r in new}
+        for word, (n, score) in self.model.walk(sorted(words)).items():
+            run = words[word]
+            self.counts[run], self.scores[run] = n, score
+        count, score_of = self.counts.__getitem__, self.scores.__getitem__
+        return [(sum(map(count, t)), sum(map(score_of, t))) for t in texts]
 
 
 @lru_cache(maxsize=4)
@@ -109,8 +115,12 @@ def count_tokens(docs: DataFrame, model: str) -> DataFrame:
     so repeated rows give repeated rows.  Other columns are not read.
     """
 
-    def row(text: bytes) -> tuple[int, int, float]:
-        found = _terminals(model).of(text.split())
-        return len(found), sum(n for n, _ in found), sum(s for _, s in found)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = [t.split() for t in byte_texts(batch.column(1))]
+            tokens, scores = zip(*_terminals(model).of(texts))
+            columns = [pa.array([len(t) for t in texts], pa.int64()), pa.array(tokens, pa.int64()), pa.array(map(float, scores), pa.float64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_pretokens", "n_tokens", "log_prob"])
 
-    return by_text(docs, row, "n_pretokens long, n_tokens long, log_prob double")
+    kept = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return kept.mapInArrow(run, f"doc_id {kept.schema['doc_id'].dataType.simpleString()}, n_pretokens long, n_tokens long, log_prob double")

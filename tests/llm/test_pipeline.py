@@ -26,6 +26,15 @@ def test_stages(spark, documents, rows):
     assert {r.doc_id for r in p.run(spark, DATA).collect()} == left
 
 
+def test_the_store_follows_the_mix(spark, documents, tmp_path):
+    from pitchline.llm import mixing
+
+    p.mixed(spark, documents, DATA).write.parquet(f"{tmp_path}/mixed")
+    stored = p.stored(spark, spark.read.parquet(f"{tmp_path}/mixed"), DATA).orderBy("start").collect()
+    made = mixing.mix(documents).orderBy("slot", "place").select("row.doc_id").collect()
+    assert [r.doc_id for r in stored] == [r.doc_id for r in made]
+
+
 def test_odd_tables(spark, odd, empty, tmp_path):
     spark.read.parquet(f"{DATA}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
     for table in (odd, empty):

@@ -64,6 +64,8 @@ def test_a_full_store_forgets(monkeypatch):
     model = Unigram.load(FILE)
     store = Terminals(model)
     monkeypatch.setattr(Terminals, "LIMIT", 3)
-    one = store.of([b"alpha", b"beta", b"gamma"])
-    two = store.of([b"delta", b"alpha"])
-    assert two[1] == one[0] and len(store.known) <= 3
+    one = store.of([[b"alpha", b"beta", b"gamma", b"alpha", b"zeta"]])
+    two = store.of([[b"delta"], [b"alpha", b"beta", b"gamma", b"alpha", b"zeta"], []])
+    assert two[1][0] == one[0][0] and isclose(two[1][1], one[0][1]) and two[2] == (0, 0)
+    store.of([[b"eta"]])
+    assert len(store.counts) == len(store.scores) < 6
