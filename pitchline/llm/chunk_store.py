@@ -42,6 +42,7 @@ def _address(data: bytes) -> bytes:
 
 #: Texts without any of these are normalised and cut here: ASCII white space, printable ASCII and precomposed Latin-1
 #: letters have plain lower cases, compositions and byte characters.  Other texts go through the whole tokenizer.
+_EVEN = bytes([*range(9, 14), *range(32, 127)])
 _ODD = re.compile("[^\t-\r -~À-ÖØ-öø-ÿ]|<\\|")
 #: The file's pre-tokenizer over such texts in lower case.
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
@@ -56,7 +57,7 @@ def _byte_characters() -> dict[int, str]:
 class Held(dict):
     """A dict of up to LIMIT entries between texts; the later half is forgotten first, as frequent keys come early."""
 
-    LIMIT = 500_000
+    LIMIT = 800_000
 
     def trim(self) -> None:
         if len(self) > self.LIMIT:
@@ -123,7 +124,8 @@ class Encoder:
         out = []
         for t in texts:
             text = t.decode()
-            ids = map(run, t.split()) if odd(text) else map(piece, cut(text.lower()))
+            plain = b"<|" not in t and not t.translate(None, _EVEN) if t.isascii() else not odd(text)
+            ids = map(piece, cut(text.lower())) if plain else map(run, t.split())
             out.append(b"".join(ids) + end)
         return out
 
