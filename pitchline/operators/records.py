@@ -97,10 +97,14 @@ def discovered(json: Column, depth: int = DEPTH) -> Column:
 
 
 def team(record: Record, side: str) -> Column:
-    """Struct id, name of a side: an object's own id and name, or no id and the value itself."""
-    value = record.first(side)
+    """Struct id, name of a side of a record."""
+    return team_of(record.first(side), record.first_kind(side))
+
+
+def team_of(value: Column, kind: Column) -> Column:
+    """Struct id, name: an object's own id and name, or no id and the value itself."""
     inner = Record(value)
-    is_object = record.first_kind(side).startswith("OBJECT")
+    is_object = kind.startswith("OBJECT")
     return F.struct(
         clean(F.when(is_object, inner.first("team_id"))).alias("id"),
         clean(F.when(is_object, inner.first("team_name")).otherwise(value)).alias("name"),
@@ -124,11 +128,13 @@ def normalized(records: DataFrame) -> DataFrame:
     league = Record(r.texts["competition"])
     is_object = F.coalesce(r.kind("competition").startswith("OBJECT"), F.lit(False))
     pick = lambda own, outer: clean(F.when(is_object, league.first(own)).otherwise(r.first(outer)))
-    rows = records.select(
+    # chosen values become columns first, so that what is taken from them does not repeat the choice
+    sides = {f"{s}_{part}": pick_one(s) for s in ("home", "away") for part, pick_one in (("value", r.first), ("kind", r.first_kind))}
+    rows = records.select("*", *(c.alias(name) for name, c in sides.items()), r.first("date").alias("date_value")).select(
         match_id(r, F.col("source_id")).alias("id"),
         F.struct(pick("competition_id", "outer_competition_id").alias("id"), pick("competition_name", "outer_competition_name").alias("name")).alias("competition"),
-        team(r, "home").alias("homeTeam"), team(r, "away").alias("awayTeam"),
-        published_datetime(r.first("date")).alias("scheduledAt"), status(r.first("status")).alias("status"),
+        team_of(F.col("home_value"), F.col("home_kind")).alias("homeTeam"), team_of(F.col("away_value"), F.col("away_kind")).alias("awayTeam"),
+        published_datetime(F.col("date_value")).alias("scheduledAt"), status(r.first("status")).alias("status"),
         F.struct(F.col("source_id").alias("sourceId"), F.lit("json").alias("format"), F.lit(None).cast("string").alias("sourceFile"), F.lit(None).cast("int").alias("sourceLine"), F.lit(None).cast("array<string>").alias("sourceIds")).alias("provenance"),
         F.lit(None).cast("struct<home:int,away:int>").alias("score"), "_file", "_rec_ord",
     )
