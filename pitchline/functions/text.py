@@ -25,7 +25,8 @@ def collapse(c: Column) -> Column:
 
 def clean(c: Column) -> Column:
     """Stripped, inner white space collapsed; null if nothing is left."""
-    return collapse(F.nullif(strip(c.cast("string")), F.lit("")))
+    text = c.cast("string")
+    return F.when(text.rlike("(?U)[^\\s\\x1c-\\x1f]"), collapse(strip(text)))
 
 
 def clean_or_empty(c: Column) -> Column:

@@ -11,24 +11,30 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_or_empty, identity_text, strip_or_empty
+from ..functions.text import clean_or_empty, identity_text, let, strip_or_empty
 from ..functions.timeparse import identity_datetime
 
 ORDER = ("_file", "_rec_ord")
 
 
 def side_key(team: str) -> Column:
-    own, name = F.lower(clean_or_empty(F.col(f"{team}.id"))), identity_text(F.col(f"{team}.name"))
-    return F.when(own != "", F.concat(F.lit("id:"), own)).when(name != "", F.concat(F.lit("name:"), name)).otherwise("")
+    told = F.struct(F.lower(clean_or_empty(F.col(f"{team}.id"))).alias("id"), identity_text(F.col(f"{team}.name")).alias("name"))
+    return let(told, lambda t: F.when(t["id"] != "", F.concat(F.lit("id:"), t["id"])).when(t["name"] != "", F.concat(F.lit("name:"), t["name"])).otherwise(""))
 
 
 def identity() -> Column:
     """Struct type, key: the explicit id, else sides and time, else none that is safe."""
-    own = clean_or_empty(F.col("id"))
-    home, away, when = side_key("homeTeam"), side_key("awayTeam"), identity_datetime(F.col("scheduledAt"))
-    kind = F.when(own != "", "EXPLICIT_MATCH_ID").when((home != "") & (away != "") & (when != ""), "FIXTURE_COMPOSITE").otherwise("NO_SAFE_IDENTITY")
-    key = F.when(own != "", F.lower(own)).when((home != "") & (away != "") & (when != ""), F.concat_ws("|", home, away, when)).otherwise("")
-    return F.struct(kind.alias("type"), key.alias("key"))
+    found = lambda kind, key: F.struct(F.lit(kind).alias("type"), key.alias("key"))
+
+    def chosen(p: Column) -> Column:
+        every = (p["home"] != "") & (p["away"] != "") & (p["time"] != "")
+        composite = F.when(every, found("FIXTURE_COMPOSITE", F.concat_ws("|", p["home"], p["away"], p["time"])))
+        return F.when(p["own"] != "", found("EXPLICIT_MATCH_ID", F.lower(p["own"]))).otherwise(F.coalesce(composite, found("NO_SAFE_IDENTITY", F.lit(""))))
+
+    # sides and times are read only where there is no id; the body names nothing but its argument, so that filters over joins stay whole
+    without_id = lambda c: F.when(value_quality(F.col("id")) == 0, c).otherwise("")
+    sides = {side: without_id(side_key(f"{side}Team")) for side in ("home", "away")} | {"time": without_id(identity_datetime(F.col("scheduledAt")))}
+    return let(F.struct(clean_or_empty(F.col("id")).alias("own"), *[c.alias(n) for n, c in sides.items()]), chosen)
 
 
 def duplicate_key() -> Column:
