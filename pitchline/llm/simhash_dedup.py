@@ -82,7 +82,8 @@ def forest(values: np.ndarray, radius: int = RADIUS) -> Iterator[tuple[int, int]
         found, queue, left = [left[0]], [left[0]], left[1:]
         while queue and len(left):
             x = queue.pop()
-            near = np.bitwise_count(left ^ x) <= radius
+            # unsigned: of signed values the bits of the absolute value would be counted
+            near = np.bitwise_count((left ^ x).view(np.uint64)) <= radius
             if near.any():
                 new = left[near]
                 left = left[~near]

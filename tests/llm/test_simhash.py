@@ -102,3 +102,29 @@ def test_forest_joins_what_is_linked():
     v = np.unique(rng.integers(0, 1 << 12, 300)).astype(np.int64)
     want = groups([(a, b) for a, b in itertools.combinations(v.tolist(), 2) if (a ^ b).bit_count() <= 3], v.tolist())
     assert groups(s.forest(v), v.tolist()) == want
+
+
+def test_forest_counts_all_64_bits():
+    rng = random.Random(4)
+    top = 1 << 63
+    links = [(x, x ^ top ^ sum(1 << b for b in rng.sample(range(63), n))) for n in (0, 1, 2) for x in (rng.getrandbits(64) for _ in range(100))]
+    apart = [(x, x ^ 0xF << 60) for x in (rng.getrandbits(64) for _ in range(100))] + [(x, x ^ top ^ 0b111) for x in (rng.getrandbits(64) for _ in range(100))]
+    for pairs, want in ((links, 1), (apart, 0)):
+        for a, b in pairs:
+            got = list(s.forest(np.array([s.signed(a), s.signed(b)], np.int64)))
+            assert len(got) == want and all(g == tuple(sorted((s.signed(a), s.signed(b)))) for g in got)
+
+
+def test_links_of_64_bit_values(spark):
+    rng = random.Random(5)
+    values = set()
+    for _ in range(300):
+        x = rng.getrandbits(64)
+        values |= {x, x ^ 1 << 63 ^ sum(1 << b for b in rng.sample(range(63), rng.randint(0, 3)))}
+        if rng.random() < 0.2:
+            values.add(x ^ 0xF << 60)
+    values = sorted(values)
+    df = spark.createDataFrame([(s.signed(v),) for v in values], "value long")
+    want = groups([(a, b) for a, b in itertools.combinations(values, 2) if (a ^ b).bit_count() <= 3], values)
+    unsigned = (1 << 64) - 1
+    assert groups([(a & unsigned, b & unsigned) for a, b in map(tuple, s.links(df, Workspace(spark, "t")).collect())], values) == want
