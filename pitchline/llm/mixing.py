@@ -5,24 +5,31 @@ w (a share of 1) is released at slot floor(i / w) and due by slot ceil((i + 1) /
 blocks released, the one due first (earliest deadline first); as the weights add up to 1, every block meets
 its deadline, and no source is ever a whole block ahead of or behind its share.
 
-Weights are rounded to multiples of 1 / cycle, so the schedule repeats and one cycle of it is enough.  When a
-source has no block left, the others go on in a new phase with their weights scaled up, so all documents are
-used; the bound holds within each phase.  The schedule is a plan over sources and needs no more than their
-numbers of documents; documents are ranked, numbered and placed by DataFrame operations alone.
+Weights are exact fractions, so the bound holds against the given weights however long the schedule is.  When
+a source has no block left, the others go on in a new phase with their weights scaled up, so all documents are
+used; the bound holds within each phase.  The schedule is made on the driver from the sources' numbers of
+documents, a number for each block, and written in parts as a table; documents are ranked, numbered and placed
+by DataFrame operations alone.
 """
 
 from __future__ import annotations
 
 import heapq
-import json
-from bisect import bisect_left
-from collections.abc import Callable, Mapping
+from array import array
+from collections.abc import Callable, Iterator, Mapping
+from fractions import Fraction
+from math import lcm
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Documents of a block, slots of a cycle (raised to four for each source, if that is more).
+from .common import Workspace
+
+#: Documents of a block, blocks of a source in a row of the plan.
 BLOCK, CYCLE = 8, 1024
+#: Blocks of the plan that the driver holds before it writes them (32 MB).
+HELD = 1 << 22
 #: Documents that are ranked together in one task, about.
 RANKED = 4096
 #: The weight table is a parameter of the mix: more sources than this are an error.
@@ -36,52 +43,103 @@ def temperature(sizes: Mapping[Source, int], power: float = 0.5) -> dict[Source,
     return {s: n**power for s, n in sizes.items()}
 
 
-def whole_shares(weights: Mapping[Source, float], cycle: int) -> dict[Source, int]:
-    """Slots of a cycle for each source: largest remainders, at least 1."""
-    total = sum(weights.values())
-    order = sorted(weights, key=lambda s: (s is not None, s))
-    free = cycle - len(order)
-    exact = {s: weights[s] / total * free for s in order}
-    shares = {s: 1 + int(exact[s]) for s in order}
-    for s in sorted(order, key=lambda s: int(exact[s]) - exact[s])[: cycle - sum(shares.values())]:
-        shares[s] += 1
-    return shares
-
-
-def one_cycle(shares: Mapping[Source, int], cycle: int) -> dict[Source, list[int]]:
-    """The slots that each source gets in a cycle, by earliest deadline first."""
-    order = list(shares)
-    waiting = [(0, k, 0) for k in range(len(order))]  # (release, source, block)
-    ready: list[tuple[int, int, int]] = []  # (deadline, source, block)
-    out: dict[Source, list[int]] = {s: [] for s in order}
-    for slot in range(cycle):
+def whole_weights(weights: Mapping[Source, float]) -> list[int]:
+    """Whole numbers in exactly the proportion of the weights."""
+    exact = [Fraction(w) for w in weights.values()]
+    scale = lcm(*(w.denominator for w in exact))
+    return [int(w * scale) for w in exact]
+
+
+def turns(blocks: list[int], weights: list[int]) -> Iterator[int]:
+    """Whose turn each slot is, by earliest deadline first, until a source has no block left."""
+    total, done, slot = sum(weights), [0] * len(weights), 0
+    waiting = [(0, k) for k in range(len(weights))]  # (release, source)
+    ready: list[tuple[int, int]] = []  # (deadline, source)
+    while True:
         while waiting and waiting[0][0] <= slot:
-            _, k, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(i + 1) * cycle // shares[order[k]]), k, i))
-        _, k, i = heapq.heappop(ready)
-        out[order[k]].append(slot)
-        if i + 1 < shares[order[k]]:
-            heapq.heappush(waiting, ((i + 1) * cycle // shares[order[k]], k, i + 1))
-    return out
+            _, k = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(done[k] + 1) * total // weights[k]), k))
+        _, k = heapq.heappop(ready)
+        yield k
+        done[k] += 1
+        if done[k] == blocks[k]:
+            return
+        heapq.heappush(waiting, (done[k] * total // weights[k], k))
+        slot += 1
+
+
+def planned(blocks: Mapping[Source, int], weights: Mapping[Source, float], cycle: int = CYCLE) -> Iterator[dict]:
+    """Rows of the plan: blocks first .. first + blocks - 1 of a source stand at slots from + pattern.
+
+    `from` is where the phase starts and `cycle` the slots in which the weight asks for so many blocks.  The blocks of a row
+    have the same number // cycle.
+    """
+    order = sorted(blocks, key=lambda s: (s is not None, s))
+    used = dict.fromkeys(order, 0)
+    start = 0
+    while left := [s for s in order if blocks[s] > used[s]]:
+        shares = whole_weights({s: weights[s] for s in left})
+        total = sum(shares)
+        patterns = [array("q") for _ in left]
+
+        def row(k: int) -> dict:
+            s, n = left[k], len(patterns[k])
+            made = {"source": s, "first": used[s], "blocks": n, "from": start, "cycle": Fraction(n * total, shares[k]), "pattern": patterns[k]}
+            used[s] += n
+            patterns[k] = array("q")
+            return made
+
+        slot = 0
+        for k in turns([blocks[s] - used[s] for s in left], shares):
+            patterns[k].append(slot)
+            slot += 1
+            if (used[left[k]] + len(patterns[k])) % cycle == 0:
+                yield row(k)
+        yield from (row(k) for k in range(len(left)) if patterns[k])
+        start += slot
 
 
 def phases(blocks: Mapping[Source, int], weights: Mapping[Source, float], cycle: int = CYCLE) -> list[dict]:
-    """Rows of the plan: blocks first .. first + blocks - 1 of a source, in cycles from slot on."""
-    used = dict.fromkeys(blocks, 0)
-    slot, rows = 0, []
-    while left := {s: blocks[s] - used[s] for s in blocks if blocks[s] > used[s]}:
-        length = max(cycle, 4 * len(left))
-        shares = whole_shares({s: weights[s] for s in left}, length)
-        pattern = one_cycle(shares, length)
-        ends = {s: (n - 1) // shares[s] * length + pattern[s][(n - 1) % shares[s]] + 1 for s, n in left.items()}
-        last = min(ends.values())
-        for s in left:
-            n = last // length * shares[s] + bisect_left(pattern[s], last % length)
-            if n:
-                rows.append({"source": s, "first": used[s], "blocks": n, "from": slot, "cycle": length, "pattern": pattern[s]})
-            used[s] += n
-        slot += last
-    return rows
+    """All rows of the plan."""
+    return list(planned(blocks, weights, cycle))
+
+
+def plan_table(work: Workspace, blocks: Mapping[Source, int], weights: Mapping[Source, float], cycle: int) -> DataFrame:
+    """(source, part, slots): the slots of blocks part * cycle and on of a source, at most cycle of them.
+
+    The driver writes the plan as it makes it, so it holds HELD blocks and a part of each source at a time.
+    """
+    schema = pa.schema([("source", pa.string()), ("part", pa.int64()), ("slots", pa.list_(pa.int64()))])
+    open_parts: dict[Source, array] = {s: array("q") for s in blocks}
+    rows: list[tuple[Source, int, array]] = []
+    held = 0
+
+    def write() -> DataFrame:
+        cols = [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())]
+        ends = [0]
+        for *_, slots in rows:
+            ends.append(ends[-1] + len(slots))
+        values = pa.array(memoryview(array("q", b"".join(r[2].tobytes() for r in rows))), pa.int64())
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        df = work.spark.createDataFrame(pa.Table.from_arrays([*cols, lists], schema=schema))
+        df.write.mode("append").option("compression", "zstd").parquet(f"{work.path}/plan")
+        return df
+
+    df = None
+    for row in planned(blocks, weights, cycle):
+        s, slots = row["source"], open_parts[row["source"]]
+        slots.extend(row["from"] + x for x in row["pattern"])
+        end = row["first"] + row["blocks"]
+        if end % cycle == 0 or end == blocks[s]:
+            rows.append((s, (end - 1) // cycle, slots))
+            open_parts[s] = array("q")
+            held += len(slots)
+        if held >= HELD:
+            df = write()
+            rows, held = [], 0
+    if rows or df is None:
+        df = write()
+    return work.read("plan", df)
 
 
 Weights = Mapping[Source, float] | Callable[[Mapping[Source, int]], Mapping[Source, float]]
@@ -103,8 +161,7 @@ def mix(docs: DataFrame, weights: Weights = temperature, block: int = BLOCK, cyc
     share = weights(sizes) if callable(weights) else weights
     if missing := [s for s in sizes if not share.get(s, 0) > 0]:
         raise ValueError(f"sources without a positive weight: {missing[:5]}")
-    plan_rows = phases({s: -(-n // block) for s, n in sizes.items()}, share, cycle)
-    plan = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(plan_rows)), "array<struct<source:string,first:long,blocks:long,from:long,cycle:int,pattern:array<int>>>")))
+    plan = plan_table(Workspace(spark, "mixing"), {s: -(-n // block) for s, n in sizes.items()}, share, cycle)
     # Rank within a source without bringing it together: by ranges of the draw, then within each range.
     bits = max(0, (max(sizes.values(), default=0) // RANKED).bit_length())
     ranged = rows.withColumn("range", F.shiftrightunsigned("draw", 64 - bits) if bits else F.lit(0).cast("long"))
@@ -114,11 +171,9 @@ def mix(docs: DataFrame, weights: Weights = temperature, block: int = BLOCK, cyc
     ranked = ranged.withColumn("within", F.rank().over(within) - 1).alias("r").join(before.alias("b"), F.col("r.source").eqNullSafe(F.col("b.source")) & (F.col("r.range") == F.col("b.range")))
     rank = ranked.select("row", F.col("r.source").alias("source"), (F.col("within") + F.col("before")).alias("rank"))
     blocks = rank.select("row", "source", F.floor(F.col("rank") / block).alias("block"), (F.col("rank") % block).alias("place"))
-    on = F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("block") >= F.col("first")) & (F.col("block") < F.col("first") + F.col("blocks"))
-    # the plan has a row for each source and phase: its size is bounded by MOST_SOURCES, not by the corpus
-    placed = blocks.alias("d").join(F.broadcast(plan).alias("p"), on)
-    since, turns = F.col("block") - F.col("first"), F.size("pattern")
-    slot = F.col("from") + F.floor(since / turns) * F.col("cycle") + F.element_at("pattern", (since % turns + 1).cast("int"))
+    on = F.col("d.source").eqNullSafe(F.col("p.source")) & (F.floor(F.col("block") / cycle) == F.col("part"))
+    placed = blocks.alias("d").join(plan.alias("p"), on)
+    slot = F.element_at("slots", (F.col("block") % cycle + 1).cast("int"))
     return placed.select("row", F.col("d.source").alias("source"), "block", slot.alias("slot"), "place")
 
 

@@ -1,4 +1,5 @@
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 from hypothesis import given, settings
@@ -71,3 +72,35 @@ def test_odd_rows(odd, odd_rows, empty):
 def test_weights_must_be_positive(odd):
     with pytest.raises(ValueError, match="positive weight"):
         mixing.mix(odd, {"a": 1.0})
+
+
+def deviation(blocks, weights):
+    """The largest distance in blocks from the given weights, at the end of any slot of the first phase."""
+    plan = mixing.phases(blocks, weights)
+    total = sum(map(Fraction, weights.values()))
+    most = 0
+    for s in blocks:
+        share = Fraction(weights[s]) / total
+        rows = [r for r in plan if r["source"] == s and r["from"] == 0]
+        slots = [t for r in sorted(rows, key=lambda r: r["first"]) for i in range(r["blocks"]) for t in [i // len(r["pattern"]) * r["cycle"] + r["pattern"][i % len(r["pattern"])]]]
+        most = max([most, *(abs(share * t - i) for i, t in enumerate(slots)), *(abs(i + 1 - share * (t + 1)) for i, t in enumerate(slots))])
+    return most
+
+
+def test_long_schedules_keep_to_the_given_weights():
+    many = {"hot": 2500} | {f"s{i}": 100 for i in range(200)}
+    assert deviation(many, {"hot": 2_000_000**0.5} | {f"s{i}": 20_000**0.5 for i in range(200)}) < 1
+    few = {s: 3000 * (8 - i) for i, s in enumerate("abcdef")}
+    assert deviation(few, {s: n**0.3 / (i + 1) for i, (s, n) in enumerate(few.items())}) < 1
+    assert deviation({"a": 20_000, "b": 10}, {"a": 0.9999, "b": 0.0001}) < 1  # less than a slot of 1024
+
+
+def test_a_plan_is_written_in_parts(spark, monkeypatch):
+    from pitchline.llm.common import Workspace
+
+    blocks, weights = {None: 70, "a": 300, "b": 5}, {None: 0.2, "a": 0.7, "b": 0.1}
+    monkeypatch.setattr(mixing, "HELD", 40)
+    table = mixing.plan_table(Workspace(spark, "t"), blocks, weights, 16).collect()
+    got = {(r.source, r.part * 16 + i): t for r in table for i, t in enumerate(r.slots)}
+    assert got == {(r["source"], r["first"] + i): r["from"] + t for r in mixing.phases(blocks, weights, 16) for i, t in enumerate(r["pattern"])}
+    assert len(got) == 375 and sorted(got.values()) == list(range(375))
