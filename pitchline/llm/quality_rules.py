@@ -8,7 +8,9 @@ whose squared Mahalanobis distance is over CUTOFF are rejected.
 
 Vectors are whole numbers (thousandths), so sums are exact and results do not depend on how rows are
 partitioned; quantiles are taken exactly over rounded values, of which there are few.  Each variance
-is at least FLOORS squared: a source whose documents all agree does not reject small deviations.
+is at least FLOORS squared: a source whose documents all agree does not reject small deviations.  The floors leave
+each variable enough room to reject by itself: its largest value that passes the fixed limits, in floors, is over
+the square root of CUTOFF.
 """
 
 from __future__ import annotations
@@ -20,12 +22,13 @@ from .common import Workspace
 
 LEAST_WORDS, MOST_REPEATED, REPEAT = 20, 30, 8
 VARIABLES = ("x0", "x1", "x2", "x3")  # log word length, log symbol rate, shares of repeated lines and of repeated words
-FLOORS = (0.15, 0.6, 0.15, 0.1)
+FLOORS = (0.15, 0.6, 0.15, 0.05)
 UNIT = 1000
 HALF, STEPS = 0.75, 3
 #: Makes the covariance of the nearest 75 % of normal vectors in 4 dimensions that of all of them.
 CONSISTENCY = 1.49
-CUTOFF = 45.0
+#: Chi-square of 4 variables, quantile 0.9999.
+CUTOFF = 23.513
 #: Groups of fewer documents have no covariance worth the name: the fixed limits alone decide there.
 LEAST_GROUP = 40
 

@@ -98,3 +98,26 @@ def test_outliers_go_and_do_not_move_the_estimate(spark):
     kept = {r.doc_id: r.kept for r in q.judge(df).collect()}
     assert all(kept[i] for i in range(150)) and not any(kept[1000 + i] for i in range(30))
     check(df, rows)
+
+
+def plain(i, rng):
+    """A text of 40 lines of five words, none of them repeated."""
+    vocabulary = ["word", "text", "plain", "longer", "it", "is", "some"]
+    return [" ".join([*rng.choice(vocabulary, 4), f"n{i}q{j}"]) for j in range(40)]
+
+
+def test_each_variable_rejects_by_itself(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, "\n".join(plain(i, rng)), "en", "s") for i in range(100)]
+    lines = plain(1000, rng)
+    rows.append((1000, "\n".join(line.replace(" ", "x" * 15 + " ") + "x" * 15 for line in lines), "en", "s"))  # long words
+    rows.append((1001, "\n".join(line.translate(str.maketrans("aeiotn", "######")) for line in lines), "en", "s"))  # symbols
+    # lines of one word, each third of them another: no window of eight words is repeated
+    rows.append((1002, "\n".join(["same"] * 7 + [x for j in range(8) for x in (f"a{j}", *["same"] * 5)] + lines[:2]), "en", "s"))
+    rows.append((1003, "\n".join([*lines[:34], " ".join(lines[:3]), " ".join(lines[3:6])]), "en", "s"))  # repeated words, no line
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in q.judge(df).collect()}
+    assert not any(got[i].base_failed for i in range(1000, 1004))
+    assert got[1002].n_dup_lines > 40 and got[1002].n_repeat_words == 0
+    assert got[1003].n_dup_lines == 0 and got[1003].n_repeat_words >= 0.25 * got[1003].n_words
+    assert all(got[i].kept for i in range(100)) and not any(got[i].kept for i in range(1000, 1004))
