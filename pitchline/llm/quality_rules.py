@@ -29,7 +29,7 @@ HALF, STEPS = 0.75, 3
 CONSISTENCY = 1.49
 #: Chi-square of 4 variables, quantile 0.9999.
 CUTOFF = 23.513
-#: Groups of fewer documents have no covariance worth the name: the fixed limits alone decide there.
+#: Groups of fewer documents have no covariance worth the name: a pooled estimate decides there, if asked for.
 LEAST_GROUP = 40
 
 _SPACE = "[\\x20\\x09-\\x0D]+"
@@ -134,7 +134,8 @@ def estimates(vectors: DataFrame, work: Workspace) -> DataFrame:
     state = work.save(_factor(off, [F.col(f"q{i}") * 20 / UNIT for i in range(4)], diagonal), "state0")
     for step in range(1, STEPS + 1):
         far = vectors.join(state.drop("n"), key).withColumn("bucket", _bucket(_squared()))
-        limit = far.groupBy(key).agg(F.percentile("bucket", HALF).alias("limit"))
+        # saved before the join: Spark sees how small it is, and no group is brought together
+        limit = work.save(far.groupBy(key).agg(F.percentile("bucket", HALF).alias("limit")), f"limit{step}")
         near = far.join(limit, key).filter("bucket <= limit")
         sums = near.groupBy(key).agg(F.count("*").alias("n"), *(F.sum(x).alias(f"s{i}") for i, x in enumerate(VARIABLES)), *(F.sum(F.col(VARIABLES[i]) * F.col(VARIABLES[j])).alias(f"s{i}{j}") for i, j in _PAIRS))
         mean = [F.col(f"s{i}") / F.col("n") / UNIT for i in range(4)]
@@ -146,17 +147,39 @@ def estimates(vectors: DataFrame, work: Workspace) -> DataFrame:
     return state
 
 
-def judge(docs: DataFrame) -> DataFrame:
+def with_pooled(vectors: DataFrame, state: DataFrame) -> DataFrame:
+    """state, and for each group without an estimate that of its language, else that of all vectors."""
+    spark = vectors.sparkSession
+    work = Workspace(spark, "pooled")
+    key = ["g_lang", "g_source"]
+    groups = work.save(vectors.groupBy("g_lang", "g_source").count().drop("count").join(state, key, "left_anti"), "groups")
+    if groups.isEmpty():
+        return state
+    one = F.lit("").alias("g_source")
+    langs = work.save(groups.select("g_lang").distinct(), "langs")
+    by_lang = estimates(vectors.join(langs, "g_lang", "left_semi").select("g_lang", one, *VARIABLES), Workspace(spark, "by_lang")).drop("g_source")
+    out = state.unionByName(groups.join(by_lang, "g_lang").select(*state.columns))
+    rest = work.save(groups.join(by_lang, "g_lang", "left_anti"), "rest")
+    if not rest.isEmpty():
+        all_of = estimates(vectors.select(F.lit("").alias("g_lang"), one, *VARIABLES), Workspace(spark, "by_all")).drop(*key)
+        out = out.unionByName(rest.crossJoin(all_of).select(*state.columns))
+    return work.save(out, "state")
+
+
+def judge(docs: DataFrame, pooled: bool = False) -> DataFrame:
     """(doc_id, the five counts, base_failed, kept, distance2) of each row.
 
     Null and empty texts have no words and fail.  Null languages and sources count as empty ones.  Repeated
-    rows count as often as they stand and give equal rows.  In groups under LEAST_GROUP passing documents distance2 is
-    null and kept is not base_failed.  Other columns are not read.
+    rows count as often as they stand and give equal rows.  Groups under LEAST_GROUP passing documents are judged by
+    their language, else by the whole corpus, if pooled; if not, or if these are under LEAST_GROUP too, distance2 is null
+    and kept is not base_failed.  Other columns are not read.
     """
     work = Workspace(docs.sparkSession, "quality")
     measured = work.save(measures(docs), "measures")
     good = measured.filter("not base_failed").select("g_lang", "g_source", *VARIABLES)
     state = estimates(good, work)
+    if pooled:
+        state = with_pooled(good, state)
     told = measured.join(state.drop("n"), ["g_lang", "g_source"], "left")
     d2 = F.when(~F.col("base_failed"), _squared())
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

@@ -85,7 +85,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(documents(spark, sf_dir))
+    return quality_rules.judge(documents(spark, sf_dir), pooled=True)
 
 
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:

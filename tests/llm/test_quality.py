@@ -6,7 +6,7 @@ import numpy as np
 
 from pitchline.llm import quality_rules as q
 
-from .conftest import key, table
+from .conftest import DATA, key, table
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -121,3 +121,27 @@ def test_each_variable_rejects_by_itself(spark):
     assert got[1002].n_dup_lines > 40 and got[1002].n_repeat_words == 0
     assert got[1003].n_dup_lines == 0 and got[1003].n_repeat_words >= 0.25 * got[1003].n_words
     assert all(got[i].kept for i in range(100)) and not any(got[i].kept for i in range(1000, 1004))
+
+
+def test_small_groups_are_judged_by_their_language_or_the_corpus(spark):
+    rng = np.random.default_rng(3)
+    junk = lambda i: "\n".join(line.translate(str.maketrans("aeiotn", "######")) for line in plain(i, rng))
+    good = lambda i: "\n".join(plain(i, rng))
+    rows = [(i, good(i), "en", "large") for i in range(60)] + [(100 + i, good(i), "en", f"small{i}") for i in range(5)]
+    rows += [(200, junk(0), "en", "large"), (201, junk(1), "en", "tail"), (202, junk(2), "en", None)]
+    rows += [(300, good(3), "xx", "rare"), (301, junk(3), "xx", "rare"), (302, junk(4), None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in q.judge(df, pooled=True).collect()}
+    bad = {200, 201, 202, 301, 302}
+    assert len(got) == len(rows) and not any(r.base_failed for r in got.values())
+    assert {i for i, r in got.items() if not r.kept} == bad and all(r.distance2 is not None for r in got.values())
+    plainly = {r.doc_id: r for r in q.judge(df).collect()}
+    assert plainly[200].distance2 == got[200].distance2  # large groups keep their own estimate
+
+
+def test_the_query_judges_small_groups(spark):
+    from pitchline.llm.queries import op9_quality_rules
+
+    # each of the 80 groups of this table is small
+    got = op9_quality_rules(spark, DATA).collect()
+    assert all(r.distance2 is not None for r in got if r.n_words >= 20 and r.kept) and any(r.distance2 is not None and not r.kept for r in got)
