@@ -17,17 +17,20 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; of rows sharing it, one."""
-    groups = simhash_dedup.near_duplicates(docs)
-    firsts = groups.select(F.col("component_id").alias("first")).distinct()
-    kept = docs.join(firsts, docs["doc_id"].eqNullSafe(firsts["first"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One row of each group of near duplicates, the first by doc_id and text; rows that share a doc_id alone are no duplicates."""
+    firsts = simhash_dedup.representatives(docs).select(F.col("doc_id").alias("__first"), F.col("digest").alias("__of"))
+    keyed = docs.withColumn("__digest", simhash_dedup.text_digest())
+    kept = keyed.join(firsts, keyed["doc_id"].eqNullSafe(firsts["__first"]) & (keyed["__digest"] == firsts["__of"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "__digest"]).drop("__digest")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found; a null doc_id is judged like any other."""
-    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("leak")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["leak"]), "left_anti")
+    """Documents in which no benchmark item is found; each row is judged by its own text, whatever its doc_id."""
+    judged = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    texts = docs.select(judged.alias("doc_id"), "text")
+    found = decontaminate.contaminated(texts, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("__leak")).distinct()
+    keyed = docs.withColumn("__text", judged)
+    return keyed.join(found, keyed["__text"] == found["__leak"], "left_anti").drop("__text")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Workspace, by_text, partitions
@@ -192,3 +192,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # saved before the join: Spark splits a hot fingerprint only where both sides come as they were dealt
     labels = work.save(firsts.join(linked, "value", "left").select("value", F.coalesce("low", "first").alias("component_id")), "labels")
     return prints.join(labels, "value").select("doc_id", F.lower(F.lpad(F.hex("value"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def text_digest() -> Column:
+    """A text's MD5; null counts as empty, as it does in fingerprints."""
+    return F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest) of the first row of each component: by doc_id, null last, then by text_digest().
+
+    Rows of one doc_id and different texts are rows of their own.
+    """
+    work = Workspace(docs.sparkSession, "simhash")
+    prints = by_text(docs.withColumn("digest", text_digest()), lambda t: (fingerprint(t),), "value long", ("doc_id", "digest"))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    firsts = work.save(prints.groupBy("value").agg(F.min(row).alias("first")), "firsts")
+    roots = components(links(firsts.select("value"), work), work)
+    chosen = firsts.join(roots, "value", "left").groupBy(F.coalesce("root", "value").alias("root")).agg(F.min("first").alias("first"))
+    return work.save(chosen.select("first.doc_id", "first.digest"), "chosen")
