@@ -36,8 +36,9 @@ _SSN = re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])")
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 _MAC = re.compile(r"(?<![\w:-])[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}(?![\w:-])")
 _BIRTH = re.compile(r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./][0-9]{1,2}[./](?:19|20)[0-9]{2})(?![\w/-])")
-_SECRET = re.compile(r"(?i)(?<![a-z])(password|passwd|pwd|token|secret|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?([^\s\"',;]{6,200})")
-_KEYS = ("assword", "ASSWORD", "asswd", "pwd", "PWD", "oken", "OKEN", "ecret", "ECRET", "pi_key", "pi-key", "pikey", "PI_KEY", "PI-KEY", "PIKEY")
+_SECRET = re.compile(r"(?i)(?<![a-z])(password|passwd|pwd|token|secret|api[_-]?key)[ \t]{0,3}[=:][ \t]{0,3}[\"']?([^\s\"',;]{6,})")
+#: A casefolded text without any of these has no match of _SECRET.
+_KEYS = ("assword", "asswd", "pwd", "oken", "ecret", "key")
 
 FIRST_NAMES = """
 James Mary Robert Patricia John Jennifer Michael Linda David Elizabeth William Barbara Richard Susan Joseph Jessica Thomas Sarah Charles Karen
@@ -172,7 +173,8 @@ def candidates(text: str) -> list[Span]:
             found += [(kind, m.start(), m.end()) for m in pattern.finditer(text) if kind != "card" or m.end() - m.start() >= 12]
         if "+" in text:
             found += [("phone", m.start(), m.end()) for m in _PHONE.finditer(text)]
-    if any(k in text for k in _KEYS):
+    folded = text.casefold()
+    if any(k in folded for k in _KEYS):
         found += [("secret", m.start(2), m.end(2)) for m in _SECRET.finditer(text)]
     if any(n in text for n in FIRST_NAMES):
         found += [("person", m.start(), m.end()) for m in _PERSON.finditer(text)]

@@ -85,3 +85,11 @@ def test_classifier_takes_secrets_and_leaves_plain_values():
     text = "login password=c6d64b9a661f85b709 and token: abcdefgh"
     kinds = [(s.kind, text[s.start : s.end]) for s in pii.candidates(text)]
     assert ("secret", "c6d64b9a661f85b709") in kinds
+
+
+def test_secrets_in_any_spelling_and_length():
+    value = "eyJhbGciOiJIUzI1NiJ9." + "aB3x" * 100
+    for name in ("apiKey", "ApiKey", "Pwd", "PassWord", "pAsSwD", "Api_Key", "API-key", "toKen", "SecRet"):
+        text = f"so {name}={value} and on"
+        start = text.index(value)
+        assert ("secret", start, start + len(value)) in [tuple(x)[:3] for x in pii.candidates(text)]
