@@ -1,41 +1,48 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Each source's documents, in a pseudo-random order, are cut into blocks.  Block i of a source of weight
-w (a share of 1) is released at slot floor(i / w) and due by slot ceil((i + 1) / w).  Each slot takes, of the
-blocks released, the one due first (earliest deadline first); as the weights add up to 1, every block meets
-its deadline, and no source is ever a whole block ahead of or behind its share.
-
-Weights are exact fractions, so the bound holds against the given weights however long the schedule is.  When
-a source has no block left, the others go on in a new phase with their weights scaled up, so all documents are
-used; the bound holds within each phase.  The schedule is made on the driver from the sources' numbers of
-documents, a number for each block, and written in parts as a table; documents are ranked, numbered and placed
-by DataFrame operations alone.
+Each source's documents, in a pseudo-random order, are cut into blocks of BLOCK documents, and these into
+quanta of QUANTUM.  Two Pfair tasks of weights a and b, W = a + b, give quantum i of a the window from its release
+floor(i W / a) to its deadline ceil((i + 1) W / a), and earliest deadline first has a closed form: the heavier task's quantum
+stands at slot floor((i + 1) W / a) - 1, the lighter one's at ceil((i + 1) W / b) - 2; each slot is taken once, and each
+quantum within its window.  More sources are scheduled as a tree of such pairs, built from the two lightest up (Huffman):
+a node's slots are the quanta of the node above.  A quantum's slot in the mix is the closed form of each node on its path
+applied in turn, in whole numbers, so the schedule is a column expression and nothing is simulated.
+
+Deviation: a pair puts a task of share x between x - 1 and x quanta ahead of its share, and a path adds these up, each
+times the shares below it.  That telescopes: no source is a whole quantum behind, and none is more ahead than the sum of w / W over
+its nodes.  In a tree built from the lightest up the W of a path grow at least like Fibonacci numbers, so the sum is
+under 1 + 1/2 + 1/3 + 1/5 + 1/8 + ... = 2.36 quanta, less than the 4 of a block: every source stays within one block of its exact
+weight, however long the schedule is.
+
+When a source has no quantum left, the others go on in a new phase with a tree of their own, so all documents are used;
+the bound holds within each phase, from its start.
 """
 
 from __future__ import annotations
 
 import heapq
-from array import array
+import json
 from collections.abc import Callable, Iterator, Mapping
 from fractions import Fraction
 from math import lcm
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Workspace
 
-#: Documents of a block, blocks of a source in a row of the plan.
-BLOCK, CYCLE = 8, 1024
-#: Blocks of the plan that the driver holds before it writes them (32 MB).
-HELD = 1 << 22
+#: Documents of a block and of a quantum.
+BLOCK, QUANTUM = 8, 2
 #: Documents that are ranked together in one task, about.
 RANKED = 4096
-#: The weight table is a parameter of the mix: more sources than this are an error.
-MOST_SOURCES = 4096
+#: Whole weights add up to less than 2**WEIGHT_BITS, so that slots of 2**40 quanta are exact in 38 digits.
+WEIGHT_BITS = 80
+#: Rows of the plan that the driver writes at a time.
+PLAN_ROWS = 50_000
 
 Source = str | None
+Path = list[tuple[int, int, bool]]  # (weight of the node, of the side that is taken, whether it is the heavier), from the leaf up
 
 
 def temperature(sizes: Mapping[Source, int], power: float = 0.5) -> dict[Source, float]:
@@ -43,146 +50,191 @@ def temperature(sizes: Mapping[Source, int], power: float = 0.5) -> dict[Source,
     return {s: n**power for s, n in sizes.items()}
 
 
-def whole_weights(weights: Mapping[Source, float]) -> list[int]:
-    """Whole numbers in exactly the proportion of the weights."""
-    exact = [Fraction(w) for w in weights.values()]
-    scale = lcm(*(w.denominator for w in exact))
-    return [int(w * scale) for w in exact]
-
-
-def turns(blocks: list[int], weights: list[int]) -> Iterator[int]:
-    """Whose turn each slot is, by earliest deadline first, until a source has no block left."""
-    total, done, slot = sum(weights), [0] * len(weights), 0
-    waiting = [(0, k) for k in range(len(weights))]  # (release, source)
-    ready: list[tuple[int, int]] = []  # (deadline, source)
-    while True:
-        while waiting and waiting[0][0] <= slot:
-            _, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(done[k] + 1) * total // weights[k]), k))
-        _, k = heapq.heappop(ready)
-        yield k
-        done[k] += 1
-        if done[k] == blocks[k]:
-            return
-        heapq.heappush(waiting, (done[k] * total // weights[k], k))
-        slot += 1
-
-
-def planned(blocks: Mapping[Source, int], weights: Mapping[Source, float], cycle: int = CYCLE) -> Iterator[dict]:
-    """Rows of the plan: blocks first .. first + blocks - 1 of a source stand at slots from + pattern.
-
-    `from` is where the phase starts and `cycle` the slots in which the weight asks for so many blocks.  The blocks of a row
-    have the same number // cycle.
-    """
-    order = sorted(blocks, key=lambda s: (s is not None, s))
-    used = dict.fromkeys(order, 0)
-    start = 0
-    while left := [s for s in order if blocks[s] > used[s]]:
-        shares = whole_weights({s: weights[s] for s in left})
-        total = sum(shares)
-        patterns = [array("q") for _ in left]
-
-        def row(k: int) -> dict:
-            s, n = left[k], len(patterns[k])
-            made = {"source": s, "first": used[s], "blocks": n, "from": start, "cycle": Fraction(n * total, shares[k]), "pattern": patterns[k]}
-            used[s] += n
-            patterns[k] = array("q")
-            return made
-
-        slot = 0
-        for k in turns([blocks[s] - used[s] for s in left], shares):
-            patterns[k].append(slot)
-            slot += 1
-            if (used[left[k]] + len(patterns[k])) % cycle == 0:
-                yield row(k)
-        yield from (row(k) for k in range(len(left)) if patterns[k])
-        start += slot
-
-
-def phases(blocks: Mapping[Source, int], weights: Mapping[Source, float], cycle: int = CYCLE) -> list[dict]:
-    """All rows of the plan."""
-    return list(planned(blocks, weights, cycle))
-
-
-def plan_table(work: Workspace, blocks: Mapping[Source, int], weights: Mapping[Source, float], cycle: int) -> DataFrame:
-    """(source, part, slots): the slots of blocks part * cycle and on of a source, at most cycle of them.
-
-    The driver writes the plan as it makes it, so it holds HELD blocks and a part of each source at a time.
-    """
-    schema = pa.schema([("source", pa.string()), ("part", pa.int64()), ("slots", pa.list_(pa.int64()))])
-    open_parts: dict[Source, array] = {s: array("q") for s in blocks}
-    rows: list[tuple[Source, int, array]] = []
-    held = 0
+def whole_weights(weights: Mapping[Source, float]) -> dict[Source, int]:
+    """Whole numbers in the proportion of the weights: exactly, or to 1 part in 2**(WEIGHT_BITS - 1) of all where exact ones have more bits."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    scale = lcm(*(w.denominator for w in exact.values()))
+    total = sum(exact.values())
+    if total * scale < 1 << WEIGHT_BITS:
+        return {s: int(w * scale) for s, w in exact.items()}
+    return {s: max(1, round(w / total * (1 << WEIGHT_BITS - 1))) for s, w in exact.items()}
+
+
+def tree(weights: Mapping[Source, int]) -> tuple:
+    """Nested pairs: ("leaf", weight, source), or ("pair", weight, heavier, lighter)."""
+    heap: list[tuple] = [(w, i, ("leaf", w, s)) for i, (s, w) in enumerate(sorted(weights.items(), key=lambda x: (x[0] is not None, x[0] or "")))]
+    heapq.heapify(heap)
+    serial = len(heap)
+    while len(heap) > 1:
+        (a, _, light), (b, _, heavy) = heapq.heappop(heap), heapq.heappop(heap)
+        heapq.heappush(heap, (a + b, serial, ("pair", a + b, heavy, light)))
+        serial += 1
+    return heap[0][2]
+
+
+def paths(weights: Mapping[Source, int]) -> dict[Source, Path]:
+    out: dict[Source, Path] = {}
+    todo: list[tuple[tuple, Path]] = [(tree(weights), [])]
+    while todo:
+        node, above = todo.pop()
+        if node[0] == "leaf":
+            out[node[2]] = above[::-1]
+        else:
+            todo += [(node[2], [*above, (node[1], node[2][1], True)]), (node[3], [*above, (node[1], node[3][1], False)])]
+    return out
+
+
+def slot_of(i: int, path: Path) -> int:
+    for whole, part, heavy in path:
+        i = (i + 1) * whole // part - 1 if heavy else -(-(i + 1) * whole // part) - 2
+    return i
+
+
+def taken_by(slots: int, path: Path) -> int:
+    """How many quanta of a source stand in the first slots of the mix: slot_of() turned round."""
+    for whole, part, heavy in reversed(path):
+        if heavy:  # (i + 1) W / a < slots + 1
+            slots = ((slots + 1) * part - 1) // whole
+        else:  # (i + 1) W / b <= slots + 1
+            slots = (slots + 1) * part // whole
+    return slots
+
+
+def planned(quanta: Mapping[Source, int], weights: Mapping[Source, float]) -> Iterator[dict]:
+    """A row for each source and phase: quanta first .. first + n - 1 of the source stand at slots start + slot_of(0 ..)."""
+    whole = whole_weights(weights)
+    left = {s: n for s, n in quanta.items() if n > 0}
+    used, start = dict.fromkeys(left, 0), 0
+    while left:
+        roads = paths({s: whole[s] for s in left})
+        length = min(slot_of(n - 1, roads[s]) for s, n in left.items()) + 1
+        taken = {s: taken_by(length, road) for s, road in roads.items()}
+        for s, n in taken.items():
+            if n:
+                yield {"source": s, "first": used[s], "n": n, "start": start, "path": roads[s]}
+                used[s] += n
+        left = {s: left[s] - n for s, n in taken.items() if left[s] > n}
+        start += length
+
+
+_ROW = "source:string,first:long,n:long,start:long,path:array<struct<whole:decimal(38,0),part:decimal(38,0),heavy:boolean>>"
+
+
+def plan_table(work: Workspace, quanta: Mapping[Source, int], weights: Mapping[Source, float]) -> DataFrame:
+    """The plan as a table: a row for each source and phase, whatever the number of documents."""
+    spark = work.spark
+    rows: list[dict] = []
 
     def write() -> DataFrame:
-        cols = [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())]
-        ends = [0]
-        for *_, slots in rows:
-            ends.append(ends[-1] + len(slots))
-        values = pa.array(memoryview(array("q", b"".join(r[2].tobytes() for r in rows))), pa.int64())
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-        df = work.spark.createDataFrame(pa.Table.from_arrays([*cols, lists], schema=schema))
+        told = json.dumps([{**r, "path": [{"whole": a, "part": b, "heavy": h} for a, b, h in r["path"]]} for r in rows])
+        df = spark.sql(f"select inline(from_json(:told, 'array<struct<{_ROW}>>'))", args={"told": told})
         df.write.mode("append").option("compression", "zstd").parquet(f"{work.path}/plan")
         return df
 
     df = None
-    for row in planned(blocks, weights, cycle):
-        s, slots = row["source"], open_parts[row["source"]]
-        slots.extend(row["from"] + x for x in row["pattern"])
-        end = row["first"] + row["blocks"]
-        if end % cycle == 0 or end == blocks[s]:
-            rows.append((s, (end - 1) // cycle, slots))
-            open_parts[s] = array("q")
-            held += len(slots)
-        if held >= HELD:
-            df = write()
-            rows, held = [], 0
+    for row in planned(quanta, weights):
+        rows.append(row)
+        if len(rows) == PLAN_ROWS:
+            df, rows = write(), []
     if rows or df is None:
         df = write()
     return work.read("plan", df)
 
 
+def slot(i: Column, path: Column) -> Column:
+    """slot_of() as a Column."""
+    up = lambda x: (x + 1).cast("decimal(38,0)")
+
+    def step(x: Column, node: Column) -> Column:
+        # `div` of decimals is exact and gives a long
+        heavy = F.call_function("div", up(x) * node["whole"], node["part"]) - 1
+        light = F.call_function("div", up(x) * node["whole"] + node["part"] - 1, node["part"]) - 2
+        return F.when(node["heavy"], heavy).otherwise(light)
+
+    return F.aggregate(path, i.cast("long"), step)
+
+
+def file_row(docs: DataFrame) -> list[Column]:
+    """Part number, file and row of a table that is read from files: they tell equal rows apart and are the same at each reading."""
+    name = docs.metadataColumn("_metadata").getField("file_name")
+    part = F.coalesce(F.regexp_extract(name, "^part-([0-9]+)", 1).try_cast("long"), F.lit(0))
+    return [part.alias("__part"), name.alias("__file"), docs.metadataColumn("_metadata").getField("row_index").alias("__row")]
+
+
+PLACE = ("__part", "__file", "__row")
+
+
+def identified(docs: DataFrame, work: Workspace) -> DataFrame:
+    """docs with the columns of file_row(); what does not come from files alone is written first."""
+    try:
+        return docs.select("*", *file_row(docs))
+    except AnalysisException:  # not read from files
+        saved = work.save(docs, "given")
+        return saved.select("*", *file_row(saved))
+
+
 Weights = Mapping[Source, float] | Callable[[Mapping[Source, int]], Mapping[Source, float]]
 
 
-def mix(docs: DataFrame, weights: Weights = temperature, block: int = BLOCK, cycle: int = CYCLE) -> DataFrame:
-    """docs' columns in a struct `row`, with source, block, slot and place (rank in the block) of each row.
+def places(docs: DataFrame, weights: Weights, block: int = BLOCK, quantum: int = QUANTUM) -> DataFrame:
+    """doc_id and source of each row with __part, __file and __row, and where it stands: block, slot and place in the quantum.
 
-    weights: by source, or a function from the sizes to that; all must be positive.  Null is a source of its
-    own.  Rows that share source and doc_id get the same rank, so the same block and place.  An empty table gives no
-    rows.  Only `source` and `doc_id` are read beside what the caller uses of `row`.
+    docs comes from identified().  Texts are not read.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("source").cast("string").alias("source"), F.col("doc_id").alias("id"), F.xxhash64("doc_id").alias("draw"))
-    counted = rows.groupBy("source").count().limit(MOST_SOURCES + 1).collect()
-    if len(counted) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    sizes = {r["source"]: r["count"] for r in counted}
+    work = Workspace(spark, "mixing")
+    rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), *PLACE, F.xxhash64("doc_id").alias("draw"), F.xxhash64("doc_id", *PLACE).alias("salt"))
+    sizes = {r["source"]: r["count"] for r in rows.groupBy("source").count().collect()}  # the weights are by source, so the driver knows the sources
     share = weights(sizes) if callable(weights) else weights
     if missing := [s for s in sizes if not share.get(s, 0) > 0]:
         raise ValueError(f"sources without a positive weight: {missing[:5]}")
-    plan = plan_table(Workspace(spark, "mixing"), {s: -(-n // block) for s, n in sizes.items()}, share, cycle)
+    plan = plan_table(work, {s: -(-n // quantum) for s, n in sizes.items()}, {s: share[s] for s in sizes})
     # Rank within a source without bringing it together: by ranges of the draw, then within each range.
+    top = lambda c, bits: F.shiftrightunsigned(c, 64 - bits) if bits else F.lit(0).cast("long")
     bits = max(0, (max(sizes.values(), default=0) // RANKED).bit_length())
-    ranged = rows.withColumn("range", F.shiftrightunsigned("draw", 64 - bits) if bits else F.lit(0).cast("long"))
-    totals = ranged.groupBy("source", "range").agg(F.count("*").alias("n"))
-    before = totals.select("source", "range", (F.sum("n").over(Window.partitionBy("source").orderBy("range")) - F.col("n")).alias("before"))
-    within = Window.partitionBy("source", "range").orderBy("draw", "id")
-    ranked = ranged.withColumn("within", F.rank().over(within) - 1).alias("r").join(before.alias("b"), F.col("r.source").eqNullSafe(F.col("b.source")) & (F.col("r.range") == F.col("b.range")))
-    rank = ranked.select("row", F.col("r.source").alias("source"), (F.col("within") + F.col("before")).alias("rank"))
-    blocks = rank.select("row", "source", F.floor(F.col("rank") / block).alias("block"), (F.col("rank") % block).alias("place"))
-    on = F.col("d.source").eqNullSafe(F.col("p.source")) & (F.floor(F.col("block") / cycle) == F.col("part"))
-    placed = blocks.alias("d").join(plan.alias("p"), on)
-    slot = F.element_at("slots", (F.col("block") % cycle + 1).cast("int"))
-    return placed.select("row", F.col("d.source").alias("source"), "block", slot.alias("slot"), "place")
+    cell = rows.withColumn("range", top("draw", bits))
+    counted = work.save(cell.groupBy("source", "range").agg(F.count("*").alias("n")), "ranges")
+    # rows that share a doc_id share a draw: where they fill a range, all ranges are cut again by a hash of the rows themselves
+    most = counted.agg(F.max("n")).first()[0] or 0
+    again = max(0, (most // (4 * RANKED)).bit_length())
+    key = ["source", "range", "cut"]
+    cell = cell.withColumn("cut", top("salt", again))
+    if again:
+        counted = work.save(cell.groupBy(key).agg(F.count("*").alias("n")), "cuts")
+    else:
+        counted = counted.withColumn("cut", F.lit(0).cast("long"))
+    before = counted.select(*key, (F.sum("n").over(Window.partitionBy("source").orderBy("range", "cut")) - F.col("n")).alias("before"))
+    before = work.save(before, "before")
+    within = F.row_number().over(Window.partitionBy(key).orderBy("draw", "doc_id", "salt", *PLACE)) - 1
+    told = cell.withColumn("within", within).alias("r").join(before.alias("b"), F.col("r.source").eqNullSafe(F.col("b.source")) & (F.col("r.range") == F.col("b.range")) & (F.col("r.cut") == F.col("b.cut")))
+    ranked = told.select("doc_id", F.col("r.source").alias("source"), *PLACE, (F.col("within") + F.col("before")).alias("rank"))
+    q = F.floor(F.col("rank") / quantum)
+    on = F.col("d.source").eqNullSafe(F.col("p.source")) & (F.col("q") >= F.col("first")) & (F.col("q") < F.col("first") + F.col("n"))
+    # a row for each source and phase, so the join is by the source and a range of few rows
+    met = ranked.withColumn("q", q).alias("d").join(plan.alias("p"), on)
+    at = F.col("start") + slot(F.col("q") - F.col("first"), F.col("path"))
+    return met.select("doc_id", F.col("d.source").alias("source"), *PLACE, F.floor(F.col("rank") / block).alias("block"), at.alias("slot"), (F.col("rank") % quantum).alias("place"))
+
+
+def mix(docs: DataFrame, weights: Weights = temperature, block: int = BLOCK, quantum: int = QUANTUM) -> DataFrame:
+    """doc_id, source, block, slot and place of each row: the mix is in the order of slot, then place.
+
+    weights: by source, or a function from the sizes to that; all must be positive.  Null is a source of its
+    own.  Each row has a slot and place of its own, also rows that are equal, share a doc_id or have none.  An empty
+    table gives no rows.  Other columns are not read.
+    """
+    return places(identified(docs.select("doc_id", "source"), Workspace(docs.sparkSession, "rows")), weights, block, quantum).drop(*PLACE)
 
 
 def mixed_documents(docs: DataFrame, weights: Weights = temperature) -> DataFrame:
     """docs' rows and columns in the order of their slots: sorted ranges, so that files written follow the mix.
 
-    Places are found from ids and sources alone and joined to the rows, so texts are moved twice and not more.
+    Places are found from ids and sources alone and joined to the rows by file and row, so texts are moved twice and not
+    more.  Rows that are equal, share a doc_id or have none are each kept, as are columns of any name.
     """
-    places = mix(docs.select("doc_id", "source"), weights).select(F.col("row.doc_id").alias("id"), F.col("row.source").alias("of"), "slot", "place").distinct()
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("__id"), F.col("source").alias("__of"))
-    rows = whole.join(places, F.col("__id").eqNullSafe(F.col("id")) & F.col("__of").eqNullSafe(F.col("of")))
-    return rows.repartitionByRange("slot", "place").sortWithinPartitions("slot", "place").select("row.*")
+    work = Workspace(docs.sparkSession, "rows")
+    known = identified(docs, work)
+    where = places(known, weights).select(*(F.col(c).alias(f"of{c}") for c in PLACE), F.col("slot").alias("__slot"), F.col("place").alias("__place"))
+    whole = known.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__whole"), *PLACE)
+    rows = whole.join(where, [F.col(c) == F.col(f"of{c}") for c in PLACE])
+    return rows.repartitionByRange("__slot", "__place").sortWithinPartitions("__slot", "__place").select("__whole.*")

@@ -68,8 +68,8 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = mixing.mix(documents(spark, sf_dir).select("doc_id", "source"))
-    return made.select("row.doc_id", "source", "block", "slot", F.col("place").cast("long").alias("place"))
+    """Where each document stands in the mix by the square roots of the sources' sizes."""
+    return mixing.mix(documents(spark, sf_dir))
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

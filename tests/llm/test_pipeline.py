@@ -31,7 +31,7 @@ def test_the_store_follows_the_mix(spark, documents, tmp_path):
 
     p.mixed(spark, documents, DATA).write.parquet(f"{tmp_path}/mixed")
     stored = p.stored(spark, spark.read.parquet(f"{tmp_path}/mixed"), DATA).orderBy("start").collect()
-    made = mixing.mix(documents).orderBy("slot", "place").select("row.doc_id").collect()
+    made = mixing.mix(documents).orderBy("slot", "place").select("doc_id").collect()
     assert [r.doc_id for r in stored] == [r.doc_id for r in made]
 
 
