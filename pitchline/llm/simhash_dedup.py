@@ -153,26 +153,38 @@ def links(values: DataFrame, work: Workspace) -> DataFrame:
     return edges.filter("a < b").distinct()
 
 
+def _checksum(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 31)))).first())
+
+
 def components(edges: DataFrame, work: Workspace) -> DataFrame:
     """(value, root) of every end of an edge, root the smallest value reachable.
 
-    Each round hooks every value to the smallest root of its neighbours, then halves the paths;
-    a table in the shared folder ends each round's lineage.
+    Large and small stars in turn (Kiveris et al., Connected Components in MapReduce and Beyond): a large star links each
+    larger neighbour of a value to the smallest one near it, a small star each smaller neighbour.  Both keep what is
+    connected, and rounds grow with the logarithm of the values, not with the length of a chain.  Edges are rows (u, v), u > v;
+    a table in the shared folder ends each step's lineage, and the driver sees a checksum of it alone.
     """
-    both = work.save(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"))), "both")
-    state = work.save(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("root")).select(F.col("u").alias("value"), "root"), "state0")
-    step = 0
+    state = work.save(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(), "star0")
+    before, step = _checksum(state), 0
     while True:
         step += 1
-        near = both.join(state, both.v == state.value).groupBy("u").agg(F.min("root").alias("low"))
-        hooked = state.join(near, state.value == near.u).select("value", F.col("root").alias("old"), F.least("root", "low").alias("hook"))
-        jump = state.select(F.col("value").alias("hook"), F.col("root").alias("next"))
-        moved = hooked.join(jump, "hook", "left").select("value", "old", F.least(F.col("hook"), F.coalesce("next", "hook")).alias("root"))
-        moved = work.save(moved, f"moved{step}")
-        state = moved.select("value", "root")
-        if moved.filter("root <> old").isEmpty():
-            return state
-        work.drop(f"moved{step - 1}")
+        both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        lows = work.save(both.groupBy("u").agg(F.least("u", F.min("v")).alias("low")), f"low{step}")
+        # every value v with a neighbour u: v > u hangs on the lowest near u
+        large = state.select(F.col("v").alias("of"), F.col("u").alias("end")).unionByName(state.select(F.col("u").alias("of"), F.col("u").alias("end")))
+        large = large.join(lows, F.col("of") == lows["u"]).select(F.col("end").alias("u"), F.col("low").alias("v")).filter("u > v").distinct()
+        large = work.save(large, f"large{step}")
+        lows = work.save(large.groupBy("u").agg(F.min("v").alias("low")), f"least{step}")
+        small = large.join(lows, "u").filter("v > low").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        new = work.save(small.unionByName(lows.select("u", F.col("low").alias("v"))).distinct(), f"star{step}")
+        for name in (f"low{step}", f"large{step}", f"least{step}", f"star{step - 1}"):
+            work.drop(name)
+        after = _checksum(new)
+        state = new
+        if after == before:
+            return state.select(F.col("u").alias("value"), F.col("v").alias("root")).unionByName(state.select(F.col("v").alias("value"), F.col("v").alias("root")).distinct())
+        before = after
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -97,6 +97,20 @@ def test_components_of_a_long_chain(spark):
     assert got == {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000}
 
 
+def test_rounds_do_not_grow_with_the_chain(spark, monkeypatch):
+    rng = random.Random(6)
+    labels = rng.sample(range(1 << 40), 6000)
+    path = list(zip(labels, labels[1:3000])) + list(zip(labels[3000:], labels[3001:]))
+    star = [(labels[0], (1 << 41) + i) for i in range(500)]
+    edges = spark.createDataFrame([(min(e), max(e)) for e in path + star], "a long, b long").repartition(8)
+    saved = []
+    monkeypatch.setattr(Workspace, "save", lambda self, df, name, save=Workspace.save: saved.append(name) or save(self, df, name))
+    got = dict(tuple(r) for r in s.components(edges, Workspace(spark, "t")).collect())
+    low, other = min(labels[:3000]), min(labels[3000:])
+    assert got == dict.fromkeys([*labels[:3000], *(x for _, x in star)], low) | dict.fromkeys(labels[3000:], other)
+    assert sum(name.startswith("star") for name in saved) <= 14
+
+
 def test_forest_joins_what_is_linked():
     rng = np.random.default_rng(3)
     v = np.unique(rng.integers(0, 1 << 12, 300)).astype(np.int64)
