@@ -1,20 +1,24 @@
 """Benchmark decontamination.
 
-Words are runs of letters and digits, lower-cased; shingles are SHINGLE = 5 words.  Each benchmark
-item has a 128-bit SimHash of its shingles.  A document's windows have the item's number of words (a
-shorter document is one window).  A window's SimHash is looked up among the items of that size: the 128 bits
-form 16 blocks, and two fingerprints within RADIUS = 38 bits differ by at most 2 bits in some block, so a
-table of each block's 256 values, with the items within 2 bits of each value, misses none.  Candidates
-within the radius are verified by weighted Jaccard similarity of their shingles, repeats counted; a window
-matches at SIMILARITY = 0.8 or more.  (At that similarity about 19 bits differ; 38 is over 4 standard
-deviations above.)
-
-Windows without any shingle of any item have similarity 0 and are skipped; this loses nothing.
+Words are runs of letters and digits, lower-cased; shingles are SHINGLE = 5 words.  A document's windows have the item's
+number of words (a shorter document is one window).  A window matches at a weighted Jaccard similarity of
+SIMILARITY = 0.8 or more of their shingles, repeats counted.
+
+Candidates are found in three steps, each of which loses no match:
+1. A match lacks at most a fifth of the item's shingles.  So of any fifth of them plus one, some stand in the window: the item is
+   indexed by its rarest ones, and a document's shingles are looked up there.
+2. Windows around such places and their items have 128-bit SimHashes, in 16 blocks of 8 bits.  Two fingerprints within
+   RADIUS = 38 bits differ by at most 2 bits in some block; pairs without such a block go, then those beyond the radius.
+3. The rest is verified by the exact similarity.
+(At similarity 0.8 about 19 bits differ; 38 is over 4 standard deviations above.  At a radius of 30 % of the bits the blocks
+alone are no index: of random pairs 92 % share a block within 2 bits.  This is why the lookup of step 1 comes first.)
+
+A benchmark of more than BLOCK_BYTES is matched in blocks of that size, one after the other.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,16 +26,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, byte_texts, mix, slices, window_hashes
+from .common import WordHashes, Workspace, byte_texts, mix, slices, window_hashes
 
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS, BLOCKS = 38, 16
-#: UTF-8 bytes of items that are sent to the executors at a time; a larger benchmark is matched in blocks.
+#: UTF-8 bytes of items that are sent to the executors at a time; a task's index takes about four times as much.
 BLOCK_BYTES = 16 << 20
+#: Bits of the address of the bitmap that is asked before the index.
+MAYBE = 22
 
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _seen = WordHashes()
-_NEAR = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)[None, :]) <= RADIUS // BLOCKS
 
 
 def shingles(text: bytes) -> tuple[int, np.ndarray]:
@@ -50,86 +55,142 @@ def prints(ones: np.ndarray, count: int) -> np.ndarray:
     return np.packbits(2 * ones > count, axis=1)
 
 
-def weighted(a: np.ndarray, b: Counter) -> float:
-    mine = Counter(a.tolist())
-    both = sum(min(n, b[x]) for x, n in mine.items() if x in b)
-    return both / (len(a) + b.total() - both)
+def near(fingers: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Which fingerprints are within the radius of the item's: some block first, then the count of all."""
+    bits = np.bitwise_count(fingers ^ item)
+    found = (bits <= RADIUS // BLOCKS).any(axis=1)
+    found[found] = bits[found].sum(axis=1, dtype=np.int64) <= RADIUS
+    return found
+
+
+def weighted(a: np.ndarray, keys: np.ndarray, counts: np.ndarray, total: int) -> float:
+    """Similarity of a window's shingles with an item's different ones (sorted), their counts and the sum of these."""
+    mine, n = np.unique(a, return_counts=True)
+    at = np.searchsorted(keys, mine)
+    at[at == len(keys)] = 0
+    both = int(np.minimum(n, counts[at])[keys[at] == mine].sum())
+    return both / (len(a) + total - both)
 
 
 class Items:
-    """The items of a block, ready for lookup."""
+    """The texts of a block, ready for lookup: flat arrays, an entry for each text or for each of its shingles."""
 
-    def __init__(self, items: list[tuple[int, bytes]]):
-        self.ids, self.sizes, self.counters, fingers = [], [], [], []
-        holders: dict[int, list[int]] = defaultdict(list)
-        for item, text in items:
+    def __init__(self, texts: list[bytes]):
+        self.number, sizes, lengths, parts, fingers = [], [], [], [], []
+        for i, text in enumerate(texts):
             n, s = shingles(text)
-            if not n:
-                continue
-            for x in dict.fromkeys(s.tolist()):
-                holders[x].append(len(self.ids))
-            self.ids.append(item)
-            self.sizes.append(n)
-            self.counters.append(Counter(s.tolist()))
-            fingers.append(prints(bit_rows(s).sum(axis=0, dtype=np.int64)[None, :], len(s))[0])
+            if n:
+                self.number.append(i)
+                sizes.append(n)
+                lengths.append(len(s))
+                parts.append(np.sort(s))
+                fingers.append(prints(bit_rows(s).sum(axis=0, dtype=np.int64)[None, :], len(s))[0])
+        self.sizes, self.lengths = np.array(sizes, np.int64), np.array(lengths, np.int64)
         self.fingers = np.array(fingers, np.uint8).reshape(-1, 16)
-        self.keys = np.array(sorted(holders), np.uint64)
-        self.holders = [holders[k] for k in self.keys.tolist()]
-        self.maybe = np.zeros(1 << 22, bool)
-        self.maybe[(self.keys & np.uint64((1 << 22) - 1)).astype(np.int64)] = True
-        self.of_size: dict[int, np.ndarray] = {n: np.flatnonzero(np.array(self.sizes) == n) for n in set(self.sizes)}
-
-    def near(self, fingers: np.ndarray, members: np.ndarray) -> np.ndarray:
-        """[window, member]: within the radius, found by the block tables, then counted."""
-        found = np.zeros((len(fingers), len(members)), bool)
-        for b in range(BLOCKS):
-            table = _NEAR[:, self.fingers[members, b]]  # [value of the block, member]
-            found |= table[fingers[:, b]]
-        w, m = np.nonzero(found)
-        far = np.bitwise_count(fingers[w] ^ self.fingers[members[m]]).sum(axis=1) > RADIUS
-        found[w[far], m[far]] = False
-        return found
+        every = np.concatenate(parts) if parts else np.empty(0, np.uint64)
+        owner = np.repeat(np.arange(len(parts)), self.lengths)
+        # different shingles of each item with their counts
+        new = np.ones(len(every), bool)
+        new[1:] = (every[1:] != every[:-1]) | (owner[1:] != owner[:-1])
+        first = np.flatnonzero(new)
+        self.keys, owned = every[first], owner[first]
+        self.counts = np.diff(np.append(first, len(every)))
+        self.ends = np.searchsorted(owned, np.arange(len(parts) + 1))
+        # an item is indexed by the rarest of its shingles: as many, repeats counted, as a match cannot lack all of
+        _, back, held = np.unique(self.keys, return_inverse=True, return_counts=True)
+        order = np.lexsort((self.keys, held[back], owned))
+        before = np.cumsum(self.counts[order]) - self.counts[order]
+        base = np.zeros(len(parts), np.int64)
+        base[1:] = np.cumsum(self.lengths)[:-1]
+        most = np.floor((1 - SIMILARITY) * self.lengths + 1e-9).astype(np.int64)
+        rare = order[before - base[owned[order]] <= most[owned[order]]]
+        rare = rare[np.argsort(self.keys[rare], kind="stable")]
+        self.index, start = np.unique(self.keys[rare], return_index=True)
+        self.post, self.post_at = owned[rare], np.append(start, len(rare))
+        self.maybe = np.zeros(1 << MAYBE, bool)
+        self.maybe[(self.index & np.uint64((1 << MAYBE) - 1)).astype(np.int64)] = True
 
     def matches(self, text: bytes) -> list[tuple[int, float, int, int]]:
-        """(item, similarity, first word, words) of the best window of each item that is found in the text."""
+        """(number of the text, similarity, first word, words) of the best window of each text that is found in this one."""
         n, s = shingles(text)
-        if not n:
+        if not n or not len(self.index):
             return []
-        hit = np.flatnonzero(self.maybe[(s & np.uint64((1 << 22) - 1)).astype(np.int64)])
+        hit = np.flatnonzero(self.maybe[(s & np.uint64((1 << MAYBE) - 1)).astype(np.int64)])
+        at = np.searchsorted(self.index, s[hit])
+        at[at == len(self.index)] = 0
+        real = self.index[at] == s[hit]
+        hit, at = hit[real], at[real]
         if not len(hit):
             return []
-        at = np.searchsorted(self.keys, s[hit])
-        at[at == len(self.keys)] = 0
-        real = self.keys[at] == s[hit]
-        places: dict[int, list[int]] = defaultdict(list)  # by size of the window's item
-        for p, k in zip(hit[real].tolist(), at[real].tolist()):
-            for size in {self.sizes[i] for i in self.holders[k]}:
-                places[size].append(p)
-        best: dict[int, tuple[float, int, int]] = {}
-        for size, ps in places.items():
-            words = min(size, n)
-            wide = max(1, words - SHINGLE + 1)
-            marks = np.zeros(len(s) + 1, np.int32)
-            np.add.at(marks, np.maximum(0, np.array(ps) - wide + 1), 1)
-            np.add.at(marks, np.array(ps) + 1, -1)
-            starts = np.flatnonzero(np.cumsum(marks)[: len(s) - wide + 1] > 0)
-            members = self.of_size[size]
-            for lo in range(0, len(starts), 4096):
-                part = starts[lo : lo + 4096]
-                # a stretch of shingles at a time, so that sums stay small
-                for run in np.split(part, np.flatnonzero(np.diff(part) > wide) + 1):
-                    a, z = run[0], run[-1] + wide
-                    total = np.concatenate((np.zeros((1, 128), np.int32), np.cumsum(bit_rows(s[a:z]), axis=0, dtype=np.int32)))
-                    fingers = prints(total[run - a + wide] - total[run - a], wide)
-                    for w, m in zip(*np.nonzero(self.near(fingers, members))):
-                        i, start = int(members[m]), int(run[w])
-                        sim = weighted(s[start : start + wide], self.counters[i])
-                        if sim >= SIMILARITY and (i not in best or sim > best[i][0]):
-                            best[i] = (sim, start, words)
-        return [(self.ids[i], *v) for i, v in best.items()]
-
-
-RESULT = "doc_id long, item_id long, similarity double, first_word long, words long"
+        many = self.post_at[at + 1] - self.post_at[at]
+        skip = np.repeat(self.post_at[at] - np.concatenate(([0], np.cumsum(many)[:-1])), many)
+        items, places = self.post[skip + np.arange(many.sum())], np.repeat(hit, many)
+        order = np.argsort(items, kind="stable")
+        items, places = items[order], places[order]
+        out = []
+        edges = edges_of(items)
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            best = self._best(s, n, int(items[lo]), places[lo:hi])
+            if best:
+                out.append(best)
+        return out
+
+    def _best(self, s: np.ndarray, n: int, i: int, places: np.ndarray) -> tuple[int, float, int, int] | None:
+        words = min(int(self.sizes[i]), n)
+        wide = max(1, words - SHINGLE + 1)
+        last = len(s) - wide
+        lo, hi = np.maximum(0, places - wide + 1), np.minimum(places, last)
+        # stretches of windows, so that sums stay small; places ascend
+        cut = np.flatnonzero(lo[1:] > hi[:-1] + 1) + 1
+        keys, counts = (x[self.ends[i] : self.ends[i + 1]] for x in (self.keys, self.counts))
+        best = None
+        for a, z in zip(lo[np.append(0, cut)].tolist(), hi[np.append(cut - 1, len(hi) - 1)].tolist()):
+            for a in range(a, z + 1, 4096):
+                e = min(z, a + 4095)
+                total = np.concatenate((np.zeros((1, 128), np.int32), np.cumsum(bit_rows(s[a : e + wide]), axis=0, dtype=np.int32)))
+                fingers = prints(total[wide : wide + e - a + 1] - total[: e - a + 1], wide)
+                for w in np.flatnonzero(near(fingers, self.fingers[i])).tolist():
+                    sim = weighted(s[a + w : a + w + wide], keys, counts, int(self.lengths[i]))
+                    if sim >= SIMILARITY and (best is None or sim > best[1]):
+                        best = (self.number[i], sim, a + w, words)
+        return best
+
+
+def edges_of(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values start, and the end."""
+    return np.append(np.flatnonzero(np.append(True, x[1:] != x[:-1])), len(x))
+
+
+#: The index of the block that a worker's tasks use.
+_held: dict[str, Items] = {}
+
+
+def _index(block: str, texts: list[bytes]) -> Items:
+    if block not in _held:
+        _held.clear()
+        _held[block] = Items(texts)
+    return _held[block]
+
+
+FOUND = "key string, similarity double, first_word long, words long"
+
+
+def _matched(docs: DataFrame, texts: list[tuple[str, bytes]]) -> DataFrame:
+    """(doc_id, key, similarity, first_word, words) for the documents in which the texts of a block are found."""
+    shared = docs.sparkSession.sparkContext.broadcast(texts)
+    block = uuid.uuid4().hex
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = _index(block, [t for _, t in shared.value])
+        keys = [k for k, _ in shared.value]
+        types = (pa.string(), pa.float64(), pa.int64(), pa.int64())
+        for batch in slices(batches):
+            rows = [(at, keys[m[0]], *m[1:]) for at, t in enumerate(byte_texts(batch.column(1))) for m in index.matches(t)]
+            at, *cols = zip(*rows) if rows else ((),) * 5
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, t) for c, t in zip(cols, types))], ["doc_id", "key", "similarity", "first_word", "words"])
+        _seen.clear()
+
+    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {FOUND}")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -137,29 +198,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Null and empty texts and items match nothing; an empty benchmark gives no rows.  Of windows alike the
     first counts.  Items that share an id count as one, by their best window; so do rows that share
-    a doc_id.  Other columns are not read.
+    a doc_id.  Ids keep their types.  Other columns are not read.
     """
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = size // BLOCK_BYTES + 1
-    out = None
+    work = Workspace(docs.sparkSession, "benchmark")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).filter("text is not null")
+    items = work.save(items.select("item_id", "text", F.md5("text").alias("key")), "items")
+    different = items.groupBy("key").agg(F.min("text").alias("text"))
+    size = different.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-size * 5 // (4 * BLOCK_BYTES)))
+    block = F.pmod(F.xxhash64("key"), F.lit(blocks))
+    found = []
     for i in range(blocks):
-        block = [(r["item_id"], r["text"].encode()) for r in items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == i).orderBy("item_id", "text").collect()]
-        shared = spark.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Items(shared.value)
-            names = ["doc_id", "item_id", "similarity", "first_word", "words"]
-            for batch in slices(batches):
-                rows = [(d, *m) for d, t in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1))) for m in index.matches(t)]
-                cols = zip(*rows) if rows else ((),) * 5
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))], names)
-            _seen.clear()
-
-        part = texts.mapInArrow(run, RESULT)
-        out = part if out is None else out.unionByName(part)
+        some = [(r["key"], r["text"].encode()) for r in different.filter(block == i).orderBy("key").collect()]
+        part = _matched(texts, some)
+        # a table for each block, so that one block at a time is held by the executors
+        found.append(part if blocks == 1 else work.save(part, f"found{i}"))
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
     top = F.max(F.struct("similarity", (-F.col("first_word")).alias("first"), "words")).alias("top")
-    best = out.groupBy("doc_id", "item_id").agg(top)
+    best = out.join(items.select("item_id", "key"), "key").groupBy("doc_id", "item_id").agg(top)
     return best.select("doc_id", "item_id", "top.similarity", (-F.col("top.first")).alias("first_word"), "top.words")

@@ -77,13 +77,54 @@ def test_odd_rows(spark, odd, empty):
     assert d.contaminated(odd, items.limit(0)).count() == 0
 
 
+def test_ids_keep_their_types(spark):
+    text = "one two three four five six seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([("a", "say " + text), ("b", None), (None, text)], "doc_id string, text string")
+    items = spark.createDataFrame([("q1", text), ("q2", text), (None, text)], "item_id string, text string")
+    found = d.contaminated(docs, items)
+    assert {tuple(r) for r in found.select("doc_id", "item_id", "similarity").collect()} == {(x, q, 1.0) for x in ("a", None) for q in ("q1", "q2", None)}
+
+
 def test_blocks_miss_no_fingerprint_within_the_radius():
     import numpy as np
 
     rng = np.random.default_rng(1)
-    index = d.Items([(i, " ".join(map(str, rng.integers(0, 999, 20))).encode()) for i in range(50)])
-    members = np.arange(50)
-    for i in range(50):
-        flips = np.zeros(128, np.uint8)
-        flips[rng.choice(128, rng.integers(0, d.RADIUS + 1), replace=False)] = 1
-        assert index.near((index.fingers[i] ^ np.packbits(flips))[None, :], members)[0, i]
+    fingers = rng.integers(0, 256, (50, 16), dtype=np.uint8)
+    for item in fingers:
+        for n in (0, 1, d.RADIUS - 1, d.RADIUS, d.RADIUS + 1):
+            flips = np.zeros(128, np.uint8)
+            flips[rng.choice(128, n, replace=False)] = 1
+            assert d.near((item ^ np.packbits(flips))[None, :], item)[0] == (n <= d.RADIUS)
+
+
+def test_rare_shingles_find_every_match():
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(12)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(5, 40))).encode() for _ in range(60)]
+    index = d.Items(texts)
+    found = 0
+    for _ in range(600):
+        w = rng.choice(texts).decode().split()
+        for _ in range(rng.randint(0, 2)):
+            w[rng.randrange(len(w))] = rng.choice(words)
+        text = " ".join([rng.choice(words) for _ in range(rng.randint(0, 9))] + w)
+        want = {i: s for _, i, s, *_ in brute([(0, text)], [(i, t.decode()) for i, t in enumerate(texts)])}
+        assert {i: round(s, 9) for i, s, *_ in index.matches(text.encode())} == want
+        found += len(want)
+    assert found > 200
+
+
+def test_a_large_benchmark():
+    """Memory of an index of 100,000 items, and items found again in it."""
+    import tracemalloc
+
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(5000)]
+    texts = [" ".join(["which of the following is"] + rng.choices(words, k=25)).encode() for _ in range(100_000)]
+    tracemalloc.start()
+    index = d.Items(texts)
+    assert tracemalloc.get_traced_memory()[0] < 200 << 20
+    tracemalloc.stop()
+    for i in rng.sample(range(100_000), 200):
+        assert [m[0] for m in index.matches(b"some words before " + texts[i])] == [i]
+    assert not index.matches(b" ".join(t[:25] for t in texts[:50]))
