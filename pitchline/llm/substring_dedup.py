@@ -15,7 +15,8 @@ span, which extends the seed both ways as far as its windows reach.
 
 Whole copies of a document with a smaller id are found by a 128-bit digest first; they lose every
 word and take no part in the rest.  Anchors are compared by 64-bit hash, spans by two such hashes,
-windows by anchor, place and hash (over 128 bits).
+windows by anchor, place and hash (over 128 bits).  Spans and windows that differ are taken for equal with a
+probability under n * n / 2**129 for n spans or windows (10**-14 for a trillion); rows that share a doc_id are told apart by 64 bits of their texts.
 """
 
 from __future__ import annotations
@@ -86,48 +87,40 @@ def digest(words: list[bytes]) -> bytes:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
-def tag(d: bytes) -> int:
-    """Tells rows apart that share a doc_id."""
-    return int.from_bytes(d[:4], "big", signed=True)
-
-
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.struct([("h", pa.int64()), ("at", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32()), ("span", pa.int64())])
     for batch in slices(batches):
         rows, found, offsets = [], [], [0]
         for text in byte_texts(batch.column(1)):
             words = text.split()
-            d = digest(words)
             part = anchors(_words_seen.of(words)) if len(words) >= WINDOW else None
             if part:
                 found.append(part)
             offsets.append(offsets[-1] + (len(part[0]) if part else 0))
-            rows.append((d, tag(d), len(words)))
+            rows.append((digest(words), len(words)))
         flat = [np.concatenate(c) for c in zip(*found)] if found else [np.empty(0, np.int64)] * 5
         arrays = [pa.array(c.astype(t.type.to_pandas_dtype()), t.type) for c, t in zip(flat, kind)]
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(arrays, fields=list(kind)))
-        cols = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.binary(), pa.int32(), pa.int32()))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *cols, lists], ["doc_id", "digest", "tag", "n_words", "anchors"])
+        cols = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.binary(), pa.int32()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *cols, lists], ["doc_id", "tag", "digest", "n_words", "anchors"])
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The hash of each window of the spans asked for."""
     names = ["doc_id", "tag", "h", "off", "window", "start"]
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.int32())
     for batch in slices(batches, 100):
-        out: list[list] = [[] for _ in names]
-        for doc, text, want, spans in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)), batch.column(2).to_pylist(), batch.column(3)):
-            words = text.split()
-            if tag(digest(words)) != want:
-                continue
-            hashes = window_hashes(_words_seen.of(words), WINDOW).view(np.int64)
+        out: list[list] = [[] for _ in range(5)]
+        for row, (text, spans) in enumerate(zip(byte_texts(batch.column(1)), batch.column(3))):
+            hashes = window_hashes(_words_seen.of(text.split()), WINDOW).view(np.int64)
             h, at, lo, hi = (spans.values.field(i).to_numpy().astype(np.int64) for i in range(4))
             size = hi - lo + 1
             start = np.repeat(lo - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
-            for k, v in enumerate((np.full(len(start), doc, np.int64), np.full(len(start), want, np.int32), np.repeat(h, size), np.repeat(at, size) - start, hashes[start], start)):
+            for k, v in enumerate((np.full(len(start), row, np.int64), np.repeat(h, size), np.repeat(at, size) - start, hashes[start], start)):
                 out[k].append(v)
-        types = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
-        arrays = [pa.array((np.concatenate(c) if c else np.empty(0)).astype(t.to_pandas_dtype()), t) for c, t in zip(out, types)]
-        yield pa.RecordBatch.from_arrays(arrays, names)
+        rows, *rest = (np.concatenate(c) if c else np.empty(0, np.int64) for c in out)
+        arrays = [pa.array(c.astype(t.to_pandas_dtype()), t) for c, t in zip(rest, types)]
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), batch.column(2).take(pa.array(rows)), *arrays], names)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,8 +130,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for text, holes in zip(byte_texts(batch.column(1)), batch.column(2).to_pylist()):
             words = text.split()
             if holes:
-                own, kept, at = tag(digest(words)), [], 0
-                for lo, hi in sorted((x["from"], x["to"]) for x in holes if x["tag"] == own):
+                kept, at = [], 0
+                for lo, hi in sorted((x["from"], x["to"]) for x in holes):
                     kept += words[at:lo]
                     at = max(at, hi)
                 kept += words[at:]
@@ -154,11 +147,14 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have no words and an empty kept_text; texts under 50 words lose nothing.
     Rows sharing a doc_id do not remove words from one another.  A row whose doc_id is null neither
-    loses words nor removes any.  Other columns are not read.
+    loses words nor removes any; doc_id keeps its type and order.  Other columns are not read.
     """
     work = Workspace(docs.sparkSession, "passages")
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scan = work.save(source.mapInArrow(_scan, "doc_id long, digest binary, tag int, n_words int, anchors array<struct<h:long,at:int,lo:int,hi:int,span:long>>").filter(f"doc_id is not null and n_words >= {WINDOW}"), "scan")
+    # the tag tells rows apart that share a doc_id; rows of equal texts may share all
+    source = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("tag", F.xxhash64("text"))
+    kind = source.schema["doc_id"].dataType.simpleString()
+    scan = source.mapInArrow(_scan, f"doc_id {kind}, tag long, digest binary, n_words int, anchors array<struct<h:long,at:int,lo:int,hi:int,span:long>>")
+    scan = work.save(scan.filter(f"doc_id is not null and n_words >= {WINDOW}"), "scan")
     firsts = work.save(scan.groupBy("digest").agg(F.min("doc_id").alias("doc_id")), "firsts")
     copies = scan.join(firsts, ["doc_id", "digest"], "left_anti").select("doc_id", "tag", F.lit(0).alias("from"), F.col("n_words").alias("to"))
     marks = scan.join(firsts, ["doc_id", "digest"], "left_semi").select("doc_id", "tag", F.explode("anchors").alias("x")).select("doc_id", "tag", "x.*")
@@ -173,11 +169,12 @@ def dedup_passages(docs: DataFrame) -> DataFrame:
     lows = work.save(mixed.groupBy("h", "span").agg(F.min("doc_id").alias("span_low")), "lows")
     told = mixed.join(lows, ["h", "span"])
     follow = told.filter("doc_id > span_low").select(whole)
-    ask = told.filter("doc_id = span_low").groupBy("doc_id", "tag").agg(F.collect_list(F.struct("h", "at", "lo", "hi")).alias("spans"))
-    windows = source.join(ask, "doc_id").select("doc_id", "text", "tag", "spans").mapInArrow(_windows, "doc_id long, tag int, h long, off int, window long, start int")
+    ask = told.filter("doc_id = span_low").groupBy("doc_id", "tag").agg(F.collect_set(F.struct("h", "at", "lo", "hi")).alias("spans"))
+    windows = source.join(ask, ["doc_id", "tag"]).select("doc_id", "text", "tag", "spans").mapInArrow(_windows, f"doc_id {kind}, tag long, h long, off int, window long, start int")
     windows = work.save(windows, "windows")
     shared = windows.groupBy("h", "off", "window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").drop("high")
     shared = work.save(shared, "shared")
     single = windows.join(shared, ["h", "off", "window"]).filter("doc_id > low").select("doc_id", "tag", F.col("start").alias("from"), (F.col("start") + WINDOW).alias("to"))
-    holes = copies.unionByName(plain).unionByName(follow).unionByName(single).groupBy("doc_id").agg(F.collect_list(F.struct("tag", "from", "to")).alias("holes"))
-    return source.join(holes, "doc_id", "left").select("doc_id", "text", "holes").mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept_text string")
+    holes = copies.unionByName(plain).unionByName(follow).unionByName(single).groupBy("doc_id", "tag").agg(F.collect_set(F.struct("from", "to")).alias("holes"))
+    told = source.join(holes, ["doc_id", "tag"], "left").select("doc_id", "text", "holes")
+    return told.mapInArrow(_cut, f"doc_id {kind}, n_words long, n_removed long, kept_text string")

@@ -59,3 +59,10 @@ def test_repeats_of_all_lengths_and_edits(spark):
     rows += [(200, "a " * 300, "en", "s"), (201, "b " + "a " * 120 + "b", "en", "s"), (202, "a " * 49, "en", "s")]
     df = spark.createDataFrame([(*r, 1, 1, "", "", 1.0, "", 1) for r in rows], SCHEMA)
     check(df, rows)
+
+
+def test_text_ids_and_repeated_rows(spark):
+    p = " ".join(f"p{i}" for i in range(70))
+    rows = [("b", "x " + p, "en", "s"), ("a", p + " y", "en", "s"), (None, p, "en", "s")] + [("c", "z z " + p, "en", "s")] * 20 + [("c", p + " c", "en", "s")]
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string, source string")
+    check(df, rows)
