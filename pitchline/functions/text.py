@@ -15,18 +15,23 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+#: The characters of SPACE.
+_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+#: Runs of white space that are not one plain space.
+_RUN = "(?U)[\\s\\x1c-\\x1f&&[^ ]][\\s\\x1c-\\x1f]*| [\\s\\x1c-\\x1f]+"
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def collapse(c: Column) -> Column:
-    return F.regexp_replace(c, f"{SPACE}+", " ")
+    return F.regexp_replace(c, _RUN, " ")
 
 
 def clean(c: Column) -> Column:
     """Stripped, inner white space collapsed; null if nothing is left."""
-    text = c.cast("string")
-    return F.when(text.rlike("(?U)[^\\s\\x1c-\\x1f]"), collapse(strip(text)))
+    return F.nullif(collapse(strip(c.cast("string"))), F.lit(""))
 
 
 def clean_or_empty(c: Column) -> Column:
@@ -60,8 +65,5 @@ STATUSES = {
 
 
 def status(c: Column) -> Column:
-    found = F.upper(strip(c.cast("string")))
-    out = F.lit("UNKNOWN")
-    for meaning, spellings in STATUSES.items():
-        out = F.when(found.isin(spellings.split()), meaning).otherwise(out)
-    return out
+    meanings = F.create_map(*[F.lit(x) for meaning, spellings in STATUSES.items() for spelling in spellings.split() for x in (spelling, meaning)])
+    return F.coalesce(meanings[F.upper(strip(c.cast("string")))], F.lit("UNKNOWN"))

@@ -113,29 +113,31 @@ _BARE = "(?i)^" + _REST
 
 
 def date_shaped(c: Column) -> Column:
-    text = strip(c)
-    return text.rlike(_WEEKDAY) | text.rlike(_BARE)
+    return let(strip(c), lambda text: text.rlike(_WEEKDAY) | text.rlike(_BARE))
 
 
 def heading_date(c: Column, context_year: Column) -> Column:
     """The date that a line starts with, as struct year, month, day; null if there is none or it does not exist."""
-    text = strip(c)
-    on_weekday = text.rlike(_WEEKDAY)
-    g = lambda i: F.when(on_weekday, F.regexp_extract(text, _WEEKDAY, i)).otherwise(F.regexp_extract(text, _BARE, i))
-    name = F.lower(g(1))
-    month = F.lit(None).cast("int")
-    for n, names in MONTHS.items():
-        month = F.when(name.isin(names.split()), n).otherwise(month)
-    year, day = F.coalesce(_int(F.nullif(g(3), F.lit(""))), context_year), _int(g(2))
-    exists = F.when(year == 0, day_exists(F.lit(2000), month, day)).otherwise(day_exists(year, month, day))
-    return F.when(date_shaped(c) & exists, F.struct(year.cast("int").alias("year"), month.alias("month"), day.alias("day")))
+    month_of = F.create_map(*[F.lit(x) for n, names in MONTHS.items() for name in names.split() for x in (name, n)])
+    parts = lambda text, form: F.array(*(F.regexp_extract(text, form, i) for i in (1, 2, 3)))
+    found = lambda text: F.when(text.rlike(_WEEKDAY), parts(text, _WEEKDAY)).when(text.rlike(_BARE), parts(text, _BARE))
+
+    def read(p: Column) -> Column:
+        g = p["g"]
+        return F.struct(F.coalesce(_int(F.nullif(g[2], F.lit(""))), p["year"]).cast("int").alias("year"), month_of[F.lower(g[0])].alias("month"), _int(g[1]).alias("day"))
+
+    def real(d: Column) -> Column:
+        return F.when(day_exists(F.when(d["year"] == 0, 2000).otherwise(d["year"]), d["month"], d["day"]), d)
+
+    whole = let(strip(c), lambda text: F.struct(found(text).alias("g"), context_year.alias("year")))
+    return let(whole, lambda p: F.when(p["g"].isNotNull(), let(read(p), real)))
 
 
 def clock_time(c: Column) -> Column:
     """The first h:mm or hh:mm of a line as struct hour, minute; null if there is none or it is no time of day."""
     form = "(?<!\\p{Nd})(\\p{Nd}{1,2}):(\\p{Nd}{2})(?!\\p{Nd})"
-    hour, minute = _int(F.regexp_extract(c, form, 1)), _int(F.regexp_extract(c, form, 2))
-    return F.when((hour <= 23) & (minute <= 59), F.struct(hour.alias("hour"), minute.alias("minute")))
+    read = F.struct(_int(F.regexp_extract(c, form, 1)).alias("hour"), _int(F.regexp_extract(c, form, 2)).alias("minute"))
+    return let(read, lambda t: F.when((t["hour"] <= 23) & (t["minute"] <= 59), t))
 
 
 __all__ = ["SPACE", "clock_time", "date_shaped", "heading_date", "identity_datetime", "is_iso", "published_datetime"]

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import SPACE, strip, without_score
+from ..functions.text import SPACE, let, strip, without_score
 from ..functions.timeparse import clock_time, date_shaped, heading_date
+from .merge import file_key
 
 _BREAK = "\r\n|[\n\r\\x0b\\x0c\\x1c\\x1d\\x1e\\x85\\u2028\\u2029]"
 MATCH = "struct<home:string,away:string,home_score:int,away_score:int>"
@@ -26,38 +27,41 @@ def _cut(c: Column, form: str) -> Column:
 
 def match_line(c: Column) -> Column:
     """The two sides of a match line, and the score if it stands between them; null for other lines."""
-    text = strip(c)
-    body = _cut(text, f"{SPACE}+@{SPACE}+")
-    body = F.regexp_replace(body, f"^\\p{{Nd}}{{1,2}}:\\p{{Nd}}{{2}}{SPACE}+", "")
-    body = strip(F.regexp_replace(body, f"^[•*]{SPACE}*", ""))
     versus = f"(?i){SPACE}+(?:v|vs\\.?){SPACE}+"
     result = f"{SPACE}+(\\p{{Nd}}+){SPACE}*[-–]{SPACE}*(\\p{{Nd}}+){SPACE}+"
+    none = F.lit(None).cast("int")
+
+    def inside(text: Column) -> Column:
+        body = _cut(text, f"{SPACE}+@{SPACE}+")
+        body = F.regexp_replace(body, f"^\\p{{Nd}}{{1,2}}:\\p{{Nd}}{{2}}{SPACE}+", "")
+        return strip(F.regexp_replace(body, f"^[•*]{SPACE}*", ""))
 
-    def sides(form: str) -> tuple[Column, Column]:
+    def sides(body: Column, form: str, scores: tuple[Column, Column]) -> Column:
         parts = F.split(body, form, 2)
         away = F.regexp_replace(F.get(parts, F.lit(1)), f"{SPACE}+\\[[^\\n]*$", "")
-        return without_score(F.get(parts, F.lit(0))), without_score(strip(away))
+        told = F.struct(without_score(F.get(parts, F.lit(0))).alias("home"), without_score(strip(away)).alias("away"), scores[0].alias("home_score"), scores[1].alias("away_score"))
+        return let(told, lambda t: F.when((t["home"] != "") & F.coalesce(t["away"] != "", F.lit(False)), t))
 
-    none = F.lit(None).cast("int")
-    out = F.lit(None).cast(MATCH)
-    for form, scores in ((result, tuple(F.regexp_extract(body, result, i).try_cast("int") for i in (1, 2))), (versus, (none, none))):
-        home, away = sides(form)
-        found = (home != "") & F.coalesce(away != "", F.lit(False))
-        out = F.when(found, F.struct(home.alias("home"), away.alias("away"), scores[0].alias("home_score"), scores[1].alias("away_score"))).otherwise(out)
-    return F.when(~text.rlike("^[#=▪»|]"), out)
+    def told(body: Column) -> Column:
+        scores = tuple(F.regexp_extract(body, result, i).try_cast("int") for i in (1, 2))
+        return F.coalesce(sides(body, versus, (none, none)), sides(body, result, scores)).cast(MATCH)
+
+    return let(strip(c), lambda text: F.when(~text.rlike("^[#=▪»|]"), let(inside(text), told)))
 
 
 def classified(lines: DataFrame, year: Column) -> DataFrame:
     """lines with kind, and what each line sets: title (headings), date (date lines), match."""
-    text = strip(F.col("line"))
+    # columns of their own, so that each is found once
+    told = lines.withColumn("__text", strip(F.col("line")))
+    text, date, match = F.col("__text"), F.col("__date"), F.col("__match")
+    told = told.withColumns({"__date": heading_date(text, year), "__match": match_line(text), "__shaped": date_shaped(text)})
     title = F.nullif(strip(F.regexp_replace(strip(F.substr(text, F.lit(2))), f"{SPACE}+#[^\\n]*$", "")), F.lit(""))
-    date, match = heading_date(text, year), match_line(text)
     kind = (
         F.when(text == "", "blank").when(text.startswith("="), "heading").when(text.startswith("#"), "comment").when(date.isNotNull(), "date")
-        .when(date_shaped(text), "date_shaped").when(match.isNotNull(), "match").otherwise("other")
+        .when(F.col("__shaped"), "date_shaped").when(match.isNotNull(), "match").otherwise("other")
     )
-    marked = lines.withColumn("kind", kind)
-    return marked.withColumn("title", F.when(F.col("kind") == "heading", title)).withColumn("date", F.when(F.col("kind") == "date", date)).withColumn("match", F.when(F.col("kind") == "match", match))
+    of = lambda k, c: F.when(F.col("kind") == k, c)
+    return told.withColumn("kind", kind).withColumns({"title": of("heading", title), "date": of("date", date), "match": of("match", match)}).drop("__text", "__date", "__match", "__shaped")
 
 
 def carried(lines: DataFrame, file: str = "path") -> DataFrame:
@@ -67,11 +71,11 @@ def carried(lines: DataFrame, file: str = "path") -> DataFrame:
 
 
 def season_year(path: Column) -> Column:
-    return F.element_at(F.regexp_extract_all(path, F.lit("20\\d{2}"), 0), -1).cast("int")
+    return F.try_element_at(F.regexp_extract_all(path, F.lit("20\\d{2}"), 0), F.lit(-1)).cast("int")
 
 
-def text_matches(files: DataFrame, as_of_year: int) -> DataFrame:
-    """Match rows of text files (path, source_id, text): those without a date above them are dropped."""
+def text_matches(files: DataFrame, as_of_year: int, form: str = "text") -> DataFrame:
+    """Match rows of text files (path, source_id, text): those without a date above them are dropped.  form is what provenance calls their format."""
     year = F.coalesce(season_year(F.col("path")), F.lit(as_of_year))
     rows = carried(classified(numbered(files), year)).filter((F.col("kind") == "match") & F.col("on").isNotNull() & (F.col("on.year") >= 1))
     time = clock_time(F.col("line"))
@@ -84,7 +88,7 @@ def text_matches(files: DataFrame, as_of_year: int) -> DataFrame:
         F.struct(F.lit(None).cast("string").alias("id"), F.col("competition").alias("name")).alias("competition"),
         team("match.home").alias("homeTeam"), team("match.away").alias("awayTeam"), when.alias("scheduledAt"),
         F.when(scored, "FINISHED").otherwise("SCHEDULED").alias("status"),
-        F.struct(F.col("source_id").alias("sourceId"), F.lit("football.txt").alias("format"), F.col("path").alias("sourceFile"), F.col("line_no").alias("sourceLine"), F.lit(None).cast("array<string>").alias("sourceIds")).alias("provenance"),
+        F.struct(F.col("source_id").alias("sourceId"), F.lit(form).alias("format"), F.col("path").alias("sourceFile"), F.col("line_no").alias("sourceLine"), F.lit(None).cast("array<string>").alias("sourceIds")).alias("provenance"),
         F.when(scored, F.struct(F.col("match.home_score").alias("home"), F.col("match.away_score").alias("away"))).alias("score"),
-        F.col("path").alias("_file"), F.col("line_no").cast("long").alias("_rec_ord"),
+        file_key(F.col("path")).alias("_file"), F.col("line_no").cast("long").alias("_rec_ord"),
     )

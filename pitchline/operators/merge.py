@@ -17,6 +17,11 @@ from ..functions.timeparse import identity_datetime
 ORDER = ("_file", "_rec_ord")
 
 
+def file_key(path: Column) -> Column:
+    """Files are in the order of the parts of their paths, not of the paths as texts."""
+    return F.split(path, "/")
+
+
 def side_key(team: str) -> Column:
     told = F.struct(F.lower(clean_or_empty(F.col(f"{team}.id"))).alias("id"), identity_text(F.col(f"{team}.name")).alias("name"))
     return let(told, lambda t: F.when(t["id"] != "", F.concat(F.lit("id:"), t["id"])).when(t["name"] != "", F.concat(F.lit("name:"), t["name"])).otherwise(""))
@@ -62,9 +67,12 @@ def best(value: Column, quality: Column, order: tuple[str, ...] = ORDER) -> Colu
 
 
 def merged(rows: DataFrame, merge_provenance: bool = False) -> DataFrame:
-    """One row for each safe identity, then the rows without; section and order columns tell the order."""
-    told = rows.withColumn("identity", identity())
-    safe = told.filter(F.col("identity.type") != "NO_SAFE_IDENTITY")
+    """One row for each safe identity, then the rows without; section and order columns tell the order, `records` how many were merged.
+
+    A row without a safe identity is a group of its own, so all rows go through one aggregation.
+    """
+    safe = F.col("identity.type") != "NO_SAFE_IDENTITY"
+    told = rows.withColumn("identity", identity()).withColumn("alone", F.when(~safe, F.struct(*ORDER)))
     order = F.struct(*ORDER)
     part = lambda side, f: best(F.col(f"{side}.{f}"), value_quality(F.col(f"{side}.{f}")))
     whole = value_quality(F.col("competition.id")) + value_quality(F.col("competition.name"))
@@ -73,15 +81,14 @@ def merged(rows: DataFrame, merge_provenance: bool = False) -> DataFrame:
     if merge_provenance:
         every = F.array_sort(F.array_distinct(F.flatten(F.collect_set("provenance.sourceIds"))))
         provenance = F.min_by(F.struct(F.col("provenance").alias("v")), order)["v"].withField("sourceIds", every).alias("provenance")
-    unique = safe.groupBy("identity").agg(
+    unique = told.groupBy("identity", "alone").agg(
         best(F.col("id"), value_quality(F.col("id"))).alias("id"), best(F.col("competition"), whole).alias("competition"),
         *(F.struct(part(s, "id").alias("id"), part(s, "name").alias("name")).alias(s) for s in ("homeTeam", "awayTeam")),
         *(best(F.col(c), value_quality(F.col(c))).alias(c) for c in ("scheduledAt", "status")),
         provenance, first("score"), F.min(order).alias("first"), F.count("*").alias("records"),
     )
-    unique = unique.select("id", "competition", "homeTeam", "awayTeam", "scheduledAt", "status", "provenance", "score", F.lit(0).alias("_section"), "first._file", "first._rec_ord")
-    rest = told.filter(F.col("identity.type") == "NO_SAFE_IDENTITY").select(*unique.columns[:8], F.lit(1).alias("_section"), *ORDER)
-    return unique.unionByName(rest)
+    section = F.when(F.col("alone").isNull(), 0).otherwise(1).alias("_section")
+    return unique.select("id", "competition", "homeTeam", "awayTeam", "scheduledAt", "status", "provenance", "score", section, "first._file", "first._rec_ord", "records")
 
 
 def statistics(rows: DataFrame) -> DataFrame:

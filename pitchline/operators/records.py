@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-import json as json_module
+from collections.abc import Callable
+from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean, status
+from ..functions.text import clean, let, status
 from ..functions.timeparse import published_datetime
+from .merge import file_key
 
 # Keys that hold collections of records, and aliases in the order in which they are tried.
 COLLECTIONS = "matches fixtures events games results".split()
@@ -28,51 +31,75 @@ ALIASES = {
     "id_away": "awayTeam team2 away",
     "id_date": "date scheduledAt",
 }
-#: Levels of nested objects in which records are looked for.
-DEPTH = 4
-_MAP, _KINDS = "map<string,string>", "map<string,variant>"
+_MAP = "map<string,string>"
 
 
-class Record:
-    """A JSON object: its members' texts, and their kinds for telling what counts as given."""
+def kinds_of(json: Column) -> Column:
+    """What kind of value each member of a JSON object has."""
+    return F.transform_values(F.from_json(json, "map<string,variant>"), lambda _, v: F.schema_of_variant(v))
 
-    def __init__(self, json: Column):
-        self.texts = F.from_json(json, _MAP)
-        self.kinds = F.from_json(json, _KINDS)
 
-    def kind(self, key: str) -> Column:
-        return F.schema_of_variant(self.kinds[key])
+def given_of(texts: Column, kinds: Column) -> Column:
+    """The members that are not null, empty, zero or false, as Python's str() writes scalars."""
 
-    def given(self, key: str) -> Column:
-        """Whether the member stands and is not null, empty, zero or false."""
-        kind, text = self.kind(key), self.texts[key]
-        nothing = (kind == "VOID") | ((kind == "STRING") & (text == "")) | ((kind == "BOOLEAN") & (text == "false")) | (kind == "OBJECT<>") | ((kind.startswith("ARRAY")) & F.regexp_replace(text, "\\s", "").isin("[]"))
+    def counts(key: Column, text: Column) -> Column:
+        kind = kinds[key]
+        nothing = (kind == "VOID") | ((kind == "STRING") & (text == "")) | ((kind == "BOOLEAN") & (text == "false")) | (kind == "OBJECT<>") | (kind.startswith("ARRAY") & F.regexp_replace(text, "\\s", "").isin("[]"))
         number = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)") & (text.try_cast("double") == 0)
-        return F.coalesce(self.kinds[key].isNotNull() & ~nothing & ~number, F.lit(False))
+        return F.coalesce(~nothing & ~number, F.lit(False))
+
+    return F.transform_values(F.map_filter(texts, counts), lambda k, v: F.when(kinds[k] == "BOOLEAN", F.initcap(v)).otherwise(v))
+
+
+class Record(NamedTuple):
+    """A JSON object: its members' texts, their kinds, and the members that count as given."""
+
+    texts: Column
+    kinds: Column
+    given: Column
+
+    def kind(self, key: str) -> Column:
+        return self.kinds[key]
 
     def first(self, chain: str) -> Column:
         """Text of the first given member of a chain; null if none is given."""
-        return F.coalesce(*[F.when(self.given(k), self.said(k)) for k in ALIASES[chain].split()])
-
-    def said(self, key: str) -> Column:
-        """A member's text as Python's str() writes scalars."""
-        text = self.texts[key]
-        return F.when(self.kind(key) == "BOOLEAN", F.initcap(text)).otherwise(text)
+        return F.coalesce(*[self.given[k] for k in ALIASES[chain].split()])
 
     def first_kind(self, chain: str) -> Column:
-        return F.coalesce(*[F.when(self.given(k), self.kind(k)) for k in ALIASES[chain].split()])
+        return F.coalesce(*[F.when(self.given[k].isNotNull(), self.kinds[k]) for k in ALIASES[chain].split()])
+
 
+def with_record(rows: DataFrame, json: Column) -> tuple[DataFrame, Record]:
+    """rows with the columns of a record: as columns they are read once, however often members are asked for."""
+    told = rows.withColumns({"__texts": F.from_json(json, _MAP), "__kinds": kinds_of(json)})
+    told = told.withColumn("__given", given_of(F.col("__texts"), F.col("__kinds")))
+    return told, Record(F.col("__texts"), F.col("__kinds"), F.col("__given"))
 
-def _python_text(text: str | None) -> str | None:
-    try:
-        return None if text is None else str(json_module.loads(text))
-    except ValueError:  # Spark evaluates the function for plain texts too, whose results are not used
-        return text
+
+def inner(json: Column, body: Callable[[Record], Column]) -> Column:
+    """body of the record in a nested value."""
+    read = F.struct(F.from_json(json, _MAP).alias("texts"), kinds_of(json).alias("kinds"))
+    return let(read, lambda r: let(given_of(r["texts"], r["kinds"]), lambda g: body(Record(r["texts"], r["kinds"], g))))
 
 
 def python_text(json: Column) -> Column:
-    """How Python writes a nested value; only ids made of whole objects need it."""
-    return F.udf(_python_text, "string")(json)
+    """How Python writes a nested value, a batch at a time; only ids made of whole objects need it, other rows bring null."""
+
+    @F.arrow_udf("string")
+    def written(texts: pa.Array) -> pa.Array:
+        import json
+
+        import pyarrow
+
+        def said(text: str) -> str:
+            try:
+                return str(json.loads(text))
+            except (ValueError, RecursionError):  # what Spark reads beyond JSON stays as it is
+                return text
+
+        return pyarrow.array([None if t is None else said(t) for t in texts.to_pylist()], pyarrow.string())
+
+    return written(json)
 
 
 def _objects(array: Column) -> Column:
@@ -82,18 +109,49 @@ def _objects(array: Column) -> Column:
     return F.when(F.ltrim(array).startswith("["), F.transform(pairs, lambda x: x.t))
 
 
-def discovered(json: Column, depth: int = DEPTH) -> Column:
-    """Array of the record objects (as JSON texts) of a document, in order; null if the document is no JSON."""
+def _below(json: Column) -> Column:
+    """Records of objects in which no collection stands at the top, at any depth, a batch at a time; other rows bring null."""
+    collections = list(COLLECTIONS)
+
+    @F.arrow_udf("array<string>")
+    def found(texts: pa.Array) -> pa.Array:
+        import json
+
+        import pyarrow
+
+        def records(text: str) -> list[str]:
+            try:
+                out, todo = [], [json.loads(text)]
+            except (ValueError, RecursionError):  # no JSON, or deeper than Python reads: the file gives no records
+                return []
+            while todo:
+                value = todo.pop()
+                if isinstance(value, list):
+                    lists = [value]
+                else:
+                    lists = [value[k] for k in collections if isinstance(value.get(k), list)]
+                    if not lists:
+                        todo += [v for v in reversed(value.values()) if isinstance(v, (dict, list))]
+                out += [json.dumps(x, ensure_ascii=False) for part in lists for x in part if isinstance(x, dict)]
+            return out
+
+        return pyarrow.array([None if t is None else records(t) for t in texts.to_pylist()], pyarrow.list_(pyarrow.string()))
+
+    return found(json)
+
+
+def discovered(json: Column) -> Column:
+    """Array of the record objects (as JSON texts) of a document, in order; empty if the document is no JSON.
+
+    Lists and objects with a collection are read in the JVM; objects that hold them further down, however deep, in Python.
+    """
     none = F.array().cast("array<string>")
-    listed = F.coalesce(_objects(json), none)
-    if not depth:
-        return listed
     members = F.from_json(json, _MAP)
     standing = [F.when(F.ltrim(members[k]).startswith("["), _objects(members[k])) for k in COLLECTIONS]
-    found = F.concat(*[F.coalesce(a, none) for a in standing])
     any_list = F.coalesce(*[F.when(a.isNotNull(), F.lit(True)) for a in standing], F.lit(False))
-    nested = F.flatten(F.transform(F.map_values(members), lambda v: F.when(F.coalesce(v.rlike("^\\s*[\\[{]"), F.lit(False)), discovered(v, depth - 1)).otherwise(none)))
-    return F.when(F.ltrim(json).startswith("["), listed).when(members.isNull(), none).when(any_list, found).otherwise(F.coalesce(nested, none))
+    is_list = F.ltrim(json).startswith("[")
+    deeper = _below(F.when(~is_list & members.isNotNull() & ~any_list, json))
+    return F.when(is_list, F.coalesce(_objects(json), none)).when(any_list, F.concat(*[F.coalesce(a, none) for a in standing])).otherwise(F.coalesce(deeper, none))
 
 
 def team(record: Record, side: str) -> Column:
@@ -103,19 +161,16 @@ def team(record: Record, side: str) -> Column:
 
 def team_of(value: Column, kind: Column) -> Column:
     """Struct id, name: an object's own id and name, or no id and the value itself."""
-    inner = Record(value)
-    is_object = kind.startswith("OBJECT")
-    return F.struct(
-        clean(F.when(is_object, inner.first("team_id"))).alias("id"),
-        clean(F.when(is_object, inner.first("team_name")).otherwise(value)).alias("name"),
-    )
+    none = F.lit(None).cast("string")
+    own = inner(value, lambda r: F.struct(clean(r.first("team_id")).alias("id"), clean(r.first("team_name")).alias("name")))
+    return F.when(kind.startswith("OBJECT"), own).otherwise(F.struct(none.alias("id"), clean(value).alias("name")))
 
 
 def match_id(record: Record, source: Column) -> Column:
     def part(chain: str, default: str) -> Column:
         value, kind = record.first(chain), record.first_kind(chain)
         nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-        return F.coalesce(F.when(nested, python_text(value)).otherwise(value), F.lit(default))
+        return F.coalesce(python_text(F.when(nested, value)), value, F.lit(default))
 
     own = clean(record.first("match_id"))
     made = F.concat_ws(":", source, part("id_date", "unknown-date"), part("id_home", "unknown-home"), part("id_away", "unknown-away"))
@@ -124,24 +179,20 @@ def match_id(record: Record, source: Column) -> Column:
 
 def normalized(records: DataFrame) -> DataFrame:
     """Match rows of records (source_id, json, _file, _rec_ord); records without both names and a date are dropped."""
-    r = Record(F.col("json"))
-    league = Record(r.texts["competition"])
+    told, r = with_record(records, F.col("json"))
     is_object = F.coalesce(r.kind("competition").startswith("OBJECT"), F.lit(False))
-    pick = lambda own, outer: clean(F.when(is_object, league.first(own)).otherwise(r.first(outer)))
-    # chosen values become columns first, so that what is taken from them does not repeat the choice
-    sides = {f"{s}_{part}": pick_one(s) for s in ("home", "away") for part, pick_one in (("value", r.first), ("kind", r.first_kind))}
-    rows = records.select("*", *(c.alias(name) for name, c in sides.items()), r.first("date").alias("date_value")).select(
-        match_id(r, F.col("source_id")).alias("id"),
-        F.struct(pick("competition_id", "outer_competition_id").alias("id"), pick("competition_name", "outer_competition_name").alias("name")).alias("competition"),
-        team_of(F.col("home_value"), F.col("home_kind")).alias("homeTeam"), team_of(F.col("away_value"), F.col("away_kind")).alias("awayTeam"),
-        published_datetime(F.col("date_value")).alias("scheduledAt"), status(r.first("status")).alias("status"),
+    pair = lambda r, i, n: F.struct(clean(r.first(i)).alias("id"), clean(r.first(n)).alias("name"))
+    league = F.when(is_object, inner(r.texts["competition"], lambda own: pair(own, "competition_id", "competition_name"))).otherwise(pair(r, "outer_competition_id", "outer_competition_name"))
+    sides = {f"__{s}": team(r, s) for s in ("home", "away")}
+    rows = told.withColumns(sides | {"__when": published_datetime(r.first("date"))}).filter("__home.name is not null and __away.name is not null and __when is not null")
+    return rows.select(
+        match_id(r, F.col("source_id")).alias("id"), league.alias("competition"), F.col("__home").alias("homeTeam"), F.col("__away").alias("awayTeam"), F.col("__when").alias("scheduledAt"), status(r.first("status")).alias("status"),
         F.struct(F.col("source_id").alias("sourceId"), F.lit("json").alias("format"), F.lit(None).cast("string").alias("sourceFile"), F.lit(None).cast("int").alias("sourceLine"), F.lit(None).cast("array<string>").alias("sourceIds")).alias("provenance"),
         F.lit(None).cast("struct<home:int,away:int>").alias("score"), "_file", "_rec_ord",
     )
-    return rows.filter("homeTeam.name is not null and awayTeam.name is not null and scheduledAt is not null")
 
 
 def json_matches(files: DataFrame) -> DataFrame:
     """Match rows of JSON files (path, source_id, text); files that are no JSON give none."""
-    records = files.select("source_id", F.col("path").alias("_file"), F.posexplode(discovered(F.col("text"))).alias("at", "json"))
+    records = files.select("source_id", file_key(F.col("path")).alias("_file"), F.posexplode(discovered(F.col("text"))).alias("at", "json"))
     return normalized(records.select("source_id", "json", "_file", F.col("at").cast("long").alias("_rec_ord")))

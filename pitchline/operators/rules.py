@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_or_empty
 from ..functions.timeparse import is_iso
+from ..shared import Workspace
 from .merge import duplicate_key
+from .records import Record, with_record
 
 FINDING = "struct<severity:string,stage:int,seq:int,check:string,message:string>"
 
 
+# What a configuration that says nothing means, and the statuses of the shipped one.
+STATUSES = ("SCHEDULED", "LIVE", "FINISHED", "POSTPONED", "CANCELLED", "SUSPENDED", "UNKNOWN")
+CHECKS = ("schemaValidation", "requiredFields", "teamValidation", "matchIdentity", "dateTimeValidation", "statusValidation", "duplicateValidation", "datasetValidation")
+
+
 @dataclass
 class Rules:
-    """The shipped configuration."""
+    """The shipped configuration, with the schema rule left out until it is asked for."""
 
     required: tuple[str, ...] = ("id", "homeTeam", "awayTeam", "scheduledAt", "status")
     home: bool = True
@@ -25,13 +34,31 @@ class Rules:
     away_id: bool = True
     home_name: bool = True
     away_name: bool = True
-    statuses: tuple[str, ...] = ("SCHEDULED", "LIVE", "FINISHED", "POSTPONED", "CANCELLED", "SUSPENDED", "UNKNOWN")
+    statuses: tuple[str, ...] = STATUSES
     duplicates: bool = True
     schema: bool = False
     least: int = 1
     most: int = 10_000
     longest_id: int = 512
-    must_pass: tuple[str, ...] = ("schemaValidation", "requiredFields", "teamValidation", "matchIdentity", "dateTimeValidation", "statusValidation", "duplicateValidation", "datasetValidation")
+    must_pass: tuple[str, ...] = CHECKS
+    enabled: bool = True
+
+    @classmethod
+    def of(cls, document: object) -> Rules:
+        """From a configuration document; members that it leaves out have the values that the documented code gives them."""
+        if not isinstance(document, dict):
+            raise ValueError("validation.json must contain a JSON object.")
+        told = document.get("validation")
+        if not isinstance(told, dict):
+            raise ValueError("validation.json is missing the 'validation' object.")
+        part = lambda *keys: reduce(lambda d, k: d.get(k, {}), keys, told)
+        team, record, whole = part("recordValidation", "teamValidation"), part("recordValidation"), part("datasetValidation")
+        on = lambda key: bool(team.get(key, True))
+        return cls(
+            tuple(record.get("requiredFields", ())), on("requireHomeTeam"), on("requireAwayTeam"), on("requireHomeTeamId"), on("requireAwayTeamId"), on("requireHomeTeamName"), on("requireAwayTeamName"),
+            tuple(part("recordValidation", "statusValidation").get("allowedValues", ())), bool(part("duplicateValidation").get("enabled", True)), bool(part("schemaValidation").get("enabled", True)),
+            whole.get("minimumMatches", 0), whole.get("maximumMatches", 10_000), 512, tuple(part("publicationGate").get("requiredChecks", ())), bool(told.get("enabled", True)),
+        )
 
 
 def _finding(when: Column, stage: int, seq: int, check: str, message: Column | str, severity: str = "error") -> Column:
@@ -39,18 +66,24 @@ def _finding(when: Column, stage: int, seq: int, check: str, message: Column | s
     return F.when(when, F.struct(F.lit(severity).alias("severity"), F.lit(stage).alias("stage"), F.lit(seq).alias("seq"), F.lit(check).alias("check"), text.alias("message")))
 
 
-def record_findings(rules: Rules, has: Column | None = None) -> Column:
-    """Array of the findings of a row.  has: array of the members that the raw record had, if null and missing differ."""
+def record_findings(rules: Rules, told: Record | None = None) -> Column:
+    """Array of the findings of a row.  told: its JSON, where a member that is missing, null or no object is to be told apart."""
     out: list[Column] = []
     say = lambda when, stage, check, message, severity="error": out.append(_finding(when, stage, len(out), check, message, severity))
     for f in rules.required:
-        missing = F.lit(False) if has is None else ~F.array_contains(has, f)
+        if told is None:
+            missing, null = F.lit(False), F.col(f).isNull()
+            blank = F.lit(False) if f in ("homeTeam", "awayTeam") else F.col(f).isNotNull() & (strip_or_empty(F.col(f)) == "")
+        else:
+            missing = ~F.coalesce(F.map_contains_key(told.texts, F.lit(f)), F.lit(False))
+            null = told.kind(f) == "VOID"
+            blank = (told.kind(f) == "STRING") & (strip_or_empty(told.texts[f]) == "")
         say(missing, 1, "requiredFields", f"Missing required field: {f}")
-        say(~missing & F.col(f).isNull(), 1, "requiredFields", f"Required field is null: {f}")
-        if f not in ("homeTeam", "awayTeam"):
-            say(F.col(f).isNotNull() & (strip_or_empty(F.col(f)) == ""), 1, "requiredFields", f"Required field is empty: {f}")
+        say(~missing & null, 1, "requiredFields", f"Required field is null: {f}")
+        say(~missing & blank, 1, "requiredFields", f"Required field is empty: {f}")
     for side, label, on, need_id, need_name in (("homeTeam", "Home", rules.home, rules.home_id, rules.home_name), ("awayTeam", "Away", rules.away, rules.away_id, rules.away_name)):
         if on:
+            # a member that is no object is null in the typed row
             say(F.col(side).isNull(), 2, "teamValidation", f"{side} must be an object.")
             for need, part, name in ((need_id, "id", "ID"), (need_name, "name", "name")):
                 if need:
@@ -70,27 +103,58 @@ def record_findings(rules: Rules, has: Column | None = None) -> Column:
     return F.array_compact(F.array(*out))
 
 
-def findings(rows: DataFrame, rules: Rules, has: Column | None = None) -> DataFrame:
+_COLUMNS = ["severity", "stage", "seq", "check", "message", "record_index"]
+
+
+def _whole(checks: list[Column]) -> list[Column]:
+    return [F.inline(F.array_compact(F.array(*checks)))]
+
+
+def findings(rows: DataFrame, rules: Rules, raw: Column | None = None, work: Workspace | None = None, schema: Column | None = None) -> DataFrame:
     """(severity, stage, seq, check, message, record_index): stage, record_index and seq give the order of emission.
 
-    rows carry record_index from 0.
+    rows carry record_index from 0.  raw: the rows' JSON texts.  With work, what is read of the rows is saved first, so that they are read once.
+    schema: array of the paths at which a row breaks the published schema, for the schema rule.
     """
-    each = rows.select("record_index", F.inline(record_findings(rules, has))).select("severity", F.lit(1).alias("stage"), (F.col("stage") * 100 + F.col("seq")).alias("seq"), "check", "message", "record_index")
-    size = rows.agg(F.count("*").alias("n"))
+    if not rules.enabled:
+        raise ValueError("Validation is disabled.")
+    told = None
+    if raw is not None:
+        rows, told = with_record(rows, raw)
+    found = record_findings(rules, told)
+    broken = F.array().cast("array<string>") if schema is None else schema
+    base = rows.select("record_index", found.alias("found"), duplicate_key().alias("key"), broken.alias("broken"))
+    base = work.save(base, "found") if work else base
+    each = base.select("record_index", F.inline("found")).select("severity", F.lit(1).alias("stage"), (F.col("stage") * 100 + F.col("seq")).alias("seq"), "check", "message", "record_index")
+    # what is counted by key tells the number of rows as well
+    groups = base.groupBy("key").agg(F.count("*").alias("n"), F.min("record_index").alias("first"))
+    groups = work.save(groups, "groups") if work else groups
     total = lambda word, limit: F.concat(F.lit("Dataset contains "), F.col("n"), F.lit(f" matches; {word} is {limit}."))
-    whole = size.select(F.inline(F.array_compact(F.array(_finding(F.col("n") < rules.least, 0, 0, "datasetValidation", total("minimum required", rules.least)), _finding(F.col("n") > rules.most, 0, 1, "datasetValidation", total("maximum allowed", rules.most)))))).select("severity", "stage", "seq", "check", "message", F.lit(None).cast("long").alias("record_index"))
-    out = each.unionByName(whole)
+    limits = [_finding(F.col("n") < rules.least, 0, 0, "datasetValidation", total("minimum required", rules.least)), _finding(F.col("n") > rules.most, 0, 1, "datasetValidation", total("maximum allowed", rules.most))]
+    size = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"))
+    none = F.lit(None).cast("long").alias("record_index")
+    parts = [each, size.select(*_whole(limits), none)]
     if rules.duplicates:
-        keyed = rows.select("record_index", duplicate_key().alias("key"))
-        # null keys are spread by their index, so that they do not meet in one task
-        first = F.min("record_index").over(Window.partitionBy("key", F.when(F.col("key").isNull(), F.col("record_index"))))
-        told = keyed.withColumn("first", first)
-        found = F.array_compact(F.array(
-            _finding(F.col("key").isNull(), 2, 0, "duplicateValidation", "Record has no deterministic duplicate key.", "warning"),
-            _finding(F.col("key").isNotNull() & (F.col("record_index") > F.col("first")), 2, 0, "duplicateValidation", F.concat(F.lit("Duplicate match detected. First occurrence: index "), F.col("first"))),
-        ))
-        out = out.unionByName(told.select("record_index", F.inline(found)).select(*out.columns))
-    return out
+        lost = _finding(F.col("key").isNull(), 2, 0, "duplicateValidation", "Record has no deterministic duplicate key.", "warning")
+        again = _finding(F.col("record_index") > F.col("first"), 2, 0, "duplicateValidation", F.concat(F.lit("Duplicate match detected. First occurrence: index "), F.col("first")))
+        parts.append(base.filter("key is null").select("record_index", *_whole([lost])))
+        # only keys that stand twice are joined back; a popular one is split by the join, as no window gathers it
+        parts.append(base.select("record_index", "key").join(groups.filter("key is not null and n > 1").select("key", "first"), "key").select("record_index", *_whole([again])))
+    if rules.schema and schema is not None:
+        # like the documented check, one finding for the whole: the first path of the first row that breaks it
+        least = base.filter(F.size("broken") > 0).agg(F.min(F.struct("record_index", F.col("broken")[0].alias("path"))).alias("b")).filter("b is not null")
+        said = F.concat(F.lit("Dataset failed JSON Schema validation: matches["), F.col("b.record_index"), F.lit("]."), F.col("b.path"))
+        parts.append(least.select(*_whole([_finding(F.lit(True), 3, 0, "schemaValidation", said)]), none))
+    return reduce(DataFrame.unionByName, [p.select(*_COLUMNS) for p in parts])
+
+
+def checks_told(rules: Rules, schema: bool) -> tuple[list[str], list[str], list[dict]]:
+    """(passed, skipped, warnings) that the run itself adds: the schema rule passes, or is skipped where there is no schema."""
+    if not rules.schema:
+        return [], [], []
+    if schema:
+        return ["schemaValidation"], [], []
+    return [], ["schemaValidation"], [{"check": "schemaValidation", "message": "matches.schema.json is not available; schema validation was skipped."}]
 
 
 def gate(found: DataFrame, rules: Rules) -> DataFrame:
@@ -102,13 +166,33 @@ def gate(found: DataFrame, rules: Rules) -> DataFrame:
     return sums.select(F.when(ok, "PASS").otherwise("FAIL").alias("status"), ok.alias("publication_allowed"), "errors", "warnings", must.alias("required_failures"))
 
 
-def schema_errors() -> Column:
+def schema_errors(source_ids: Column | None = None) -> Column:
     """Paths of a cleaned match row that break the published schema."""
-    enum = Rules().statuses
+    ids = F.col("sourceIds") if source_ids is None else source_ids
+    listed = F.coalesce(ids, F.array().cast("array<string>"))
     checks = (
         (F.coalesce(F.col("id"), F.lit("")) == "", "id"), (F.col("competition").isNull(), "competition"), (F.col("homeTeam").isNull(), "homeTeam"), (F.col("awayTeam").isNull(), "awayTeam"),
-        (F.coalesce(F.col("scheduledAt"), F.lit("")) == "", "scheduledAt"), (~F.coalesce(F.col("status"), F.lit("")).isin(*enum), "status"),
-        (F.exists(F.coalesce(F.col("sourceIds"), F.array().cast("array<string>")), lambda s: F.coalesce(s, F.lit("")) == ""), "provenance.sourceIds"),
-        (F.size(F.array_distinct(F.coalesce(F.col("sourceIds"), F.array().cast("array<string>")))) < F.size(F.coalesce(F.col("sourceIds"), F.array().cast("array<string>"))), "provenance.sourceIds"),
+        (F.col("scheduledAt").isNull(), "scheduledAt"), (~F.coalesce(F.col("status"), F.lit("")).isin(*STATUSES), "status"),
+        (F.exists(listed, lambda s: F.coalesce(s, F.lit("")) == ""), "provenance.sourceIds"), (F.size(F.array_distinct(listed)) < F.size(listed), "provenance.sourceIds"),
     )
     return F.array_distinct(F.array_compact(F.array(*(F.when(bad, path) for bad, path in checks))))
+
+
+#: The members of the published document.
+PAYLOAD = ("schemaVersion", "generatedAt", "pipeline", "sourceCount", "sourceIds", "matchCount", "datasetHash", "matches")
+
+
+def payload_errors(document: object) -> list[str]:
+    """Paths at which a whole document, but for its matches, breaks the published schema."""
+    if not isinstance(document, dict):
+        return ["$"]
+    ids, count = document.get("sourceIds"), lambda k: isinstance(document.get(k), int) and not isinstance(document.get(k), bool) and document[k] >= 0
+    listed = isinstance(ids, list)
+    bad = {
+        "schemaVersion": document.get("schemaVersion") != "1.0", "generatedAt": not isinstance(document.get("generatedAt"), str),
+        "pipeline": document.get("pipeline") != {"stage": "BUILD_MATCHES", "validationStatus": "PASS", "publicationAllowed": True},
+        "sourceCount": not count("sourceCount"), "sourceIds": not listed or len(set(map(str, ids))) < len(ids) or not all(isinstance(i, str) and i for i in ids) or document.get("sourceCount") == 0 and bool(ids),
+        "matchCount": not count("matchCount"), "datasetHash": not re.fullmatch("[a-fA-F0-9]{64}", str(document.get("datasetHash"))),
+        "matches": not isinstance(document.get("matches"), list) or document.get("matchCount") == 0 and bool(document["matches"]),
+    }
+    return [k for k in PAYLOAD if k not in document or bad[k]] + [k for k in document if k not in PAYLOAD]

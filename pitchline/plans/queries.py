@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import timeparse as tp
 from ..operators import lines, merge, publish, records, rules
-from ..sources import selection
+from ..shared import Workspace
+from ..sources import documents, files, selection
+from . import engine
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -124,7 +126,8 @@ _TEAMS = [
 
 @query("q07_team_extract", expected("raw id name", _TEAMS))
 def q07(spark, d):
-    return given(spark, "raw string", [(r,) for r, *_ in _TEAMS]).select("raw", records.team(records.Record(F.col("raw")), "home").alias("t")).select("raw", "t.id", "t.name")
+    rows, record = records.with_record(given(spark, "raw string", [(r,) for r, *_ in _TEAMS]), F.col("raw"))
+    return rows.select("raw", records.team(record, "home").alias("t")).select("raw", "t.id", "t.name")
 
 
 _RECORDS = [
@@ -140,13 +143,14 @@ _DROPPED = ['{"home":"","team1":"North City","away":"South Town","date":"soon"}'
 @query("q08_record_normalize", expected("id competition status kickoff", [r[1:] for r in _RECORDS]))
 def q08(spark, d):
     rows = given(spark, "json string", [(r[0],) for r in _RECORDS] + [(r,) for r in _DROPPED])
-    made = records.normalized(rows.select(F.lit("src_b").alias("source_id"), "json", F.lit("f").alias("_file"), F.lit(0).cast("long").alias("_rec_ord")))
+    made = records.normalized(rows.select(F.lit("src_b").alias("source_id"), "json", F.array(F.lit("f")).alias("_file"), F.lit(0).cast("long").alias("_rec_ord")))
     return made.select("id", F.col("competition.name").alias("competition"), "status", F.col("scheduledAt").alias("kickoff"))
 
 
 _SHAPES = [
     ('[{"a":1},1,[{"b":1}]]', ['{"a":1}']), ('{"games":[{"a":1}],"matches":[{"b":1}]}', ['{"b":1}', '{"a":1}']), ('{"matches":[],"data":{"matches":[{"a":1}]}}', []),
-    ('{"data":{"fixtures":[{"a":1}]},"more":[{"b":1}]}', ['{"a":1}', '{"b":1}']), ('{"rounds":[{"matches":[{"a":1}]}]}', ['{"matches":[{"a":1}]}']), ('"text"', []), ("5", []), ("null", []), ("{broken", []),
+    ('{"data":{"fixtures":[{"a":1}]},"more":[{"b":1}]}', ['{"a": 1}', '{"b": 1}']), ('{"rounds":[{"matches":[{"a":1}]}]}', ['{"matches": [{"a": 1}]}']), ('{"a":{"b":{"c":{"matches":[{"x":3}]}}}}', ['{"x": 3}']), ('{"a":{"b":{"c":{"d":{"games":[{"x":4}],"e":[{"y":1}]}}}},"z":[{"w":2}]}', ['{"x": 4}', '{"w": 2}']),
+    ('{"l":' * 12 + '{"results":[{"x":"ü"},[{"y":1}]]}' + "}" * 12, ['{"x": "ü"}']), ('"text"', []), ("5", []), ("null", []), ("{broken", []),
 ]
 
 
@@ -250,18 +254,18 @@ def q16(spark, d):
 
 _LISTED = [
     ("s", 0, "2022/league.json"), ("s", 1, "2025-26/en.league.json"), ("s", 2, "2023/league.json"), ("s", 3, "2026/en.league.json"), ("s", 4, "2026/league/readme.txt"), ("s", 5, "2026/cup.txt"),
-    ("t", 0, "a/b.json"), ("t", 1, "a/notes.txt"), ("openfootball_worldcup", 0, "2022/cup.txt"), ("openfootball_worldcup", 1, "2026/cup.txt"), ("openfootball_worldcup", 2, "2026/cup.json"),
+    ("t", 0, "a/b.json"), ("t", 1, "a/notes.txt"), ("w", 0, "2022/cup.txt"), ("w", 1, "2026/cup.txt"), ("w", 2, "2026/cup.json"),
 ]
 _CHOSEN = [
     ("s", 0, "2026/en.league.json"), ("s", 1, "2025-26/en.league.json"), ("s", 2, "2023/league.json"), ("s", 3, "2026/cup.txt"), ("t", 0, "a/b.json"), ("t", 1, "a/notes.txt"),
-    ("openfootball_worldcup", 0, "2026/cup.txt"), ("openfootball_worldcup", 1, "2026/cup.json"),
+    ("w", 0, "2026/cup.txt"), ("w", 1, "2026/cup.json"),
 ]
 
 
 @query("q17_file_select", expected("source_id place path", _CHOSEN, {"place": "INTEGER"}))
 def q17(spark, d):
     rows = given(spark, "source_id string, ord int, path string", _LISTED).withColumn("extension", F.regexp_extract("path", r"(\.[a-z]+)$", 1))
-    return selection.select_files(rows, 2026).select("source_id", "place", "path")
+    return selection.select_files(rows, 2026, ("w", "2026")).select("source_id", "place", "path")
 
 
 _NAMES = [("a b", 3, "x/Café 1.JSON", "a_b__0003__Caf__1.json.raw"), ("s", 12, "en.1.txt", "s__0012__en.1.txt.raw")]
@@ -293,7 +297,7 @@ def order_matches(spark: SparkSession, d: str) -> DataFrame:
         F.struct(F.lit(None).cast("string").alias("id"), F.col("o_orderpriority").alias("name")).alias("awayTeam"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("scheduledAt"), hole(F.col("o_orderstatus"), 4).alias("status"),
         F.struct(F.lit("orders").alias("sourceId"), F.lit("json").alias("format"), F.lit(None).cast("string").alias("sourceFile"), F.lit(None).cast("int").alias("sourceLine"), F.array(F.lit("orders")).alias("sourceIds")).alias("provenance"),
-        F.lit(None).cast("struct<home:int,away:int>").alias("score"), F.lit("f").alias("_file"), F.col("o_orderkey").alias("_rec_ord"),
+        F.lit(None).cast("struct<home:int,away:int>").alias("score"), F.array(F.lit("f")).alias("_file"), F.col("o_orderkey").alias("_rec_ord"),
     )
 
 
@@ -305,21 +309,16 @@ merged AS (SELECT home, arg_min(away, ord) AS away, kickoff, arg_max({'v': cid},
 
 @query("q20_flagship", f"WITH {_ORDERS} SELECT home, away, kickoff, cid, cname, status, row_number() OVER (ORDER BY kickoff, lower(cname), first_ord) AS place FROM merged")
 def q20(spark, d):
-    """Merge, canonical order: the place of each match.  Places come from counts of smaller days, so no task sees all rows."""
+    """Merge, canonical order: the place of each match."""
     rows = merge.merged(order_matches(spark, d))
     keyed = rows.select(F.col("homeTeam.name").alias("home"), F.col("awayTeam.name").alias("away"), F.col("scheduledAt").alias("kickoff"), F.col("competition.id").alias("cid"), F.col("competition.name").alias("cname"), "status", "_rec_ord")
-    days = keyed.groupBy("kickoff").agg(F.count("*").alias("n"))
-    before = days.select("kickoff", (F.sum("n").over(Window.orderBy("kickoff")) - F.col("n")).alias("before"))  # one row for each day
-    within = F.row_number().over(Window.partitionBy("kickoff").orderBy(F.lower("cname"), "_rec_ord"))
-    placed = keyed.withColumn("within", within).join(before, "kickoff")
-    return placed.select("home", "away", "kickoff", "cid", "cname", "status", (F.col("before") + F.col("within")).alias("place"))
+    return publish.places(keyed, [F.lower("cname"), F.col("_rec_ord")], F.col("kickoff"), Workspace(spark, "q20")).drop("_rec_ord")
 
 
 @query("q21_quality_merge", f"WITH {_ORDERS} SELECT kickoff, count(*) AS matches, CAST(sum(records) AS BIGINT) AS records, count(cid) AS with_id, count(status) AS with_status FROM merged GROUP BY kickoff")
 def q21(spark, d):
-    rows = order_matches(spark, d)
-    made = merge.merged(rows).groupBy(F.col("scheduledAt").alias("kickoff")).agg(F.count("*").alias("matches"), F.count("competition.id").alias("with_id"), F.count("status").alias("with_status"))
-    return made.join(rows.groupBy(F.col("scheduledAt").alias("kickoff")).agg(F.count("*").alias("records")), "kickoff").select("kickoff", "matches", "records", "with_id", "with_status")
+    made = merge.merged(order_matches(spark, d)).groupBy(F.col("scheduledAt").alias("kickoff"))
+    return made.agg(F.count("*").alias("matches"), F.sum("records").alias("records"), F.count("competition.id").alias("with_id"), F.count("status").alias("with_status"))
 
 
 def document_matches(spark: SparkSession, d: str) -> DataFrame:
@@ -329,7 +328,7 @@ def document_matches(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(
         F.when(F.col("doc_id") % 7 != 0, F.col("text")).alias("id"), team.alias("competition"), team.alias("homeTeam"), team.alias("awayTeam"), none.alias("scheduledAt"), F.col("lang").alias("status"),
         F.struct(F.col("source").alias("sourceId"), F.lit("json").alias("format"), none.alias("sourceFile"), F.lit(None).cast("int").alias("sourceLine"), F.array("source").alias("sourceIds")).alias("provenance"),
-        F.lit(None).cast("struct<home:int,away:int>").alias("score"), F.lit("f").alias("_file"), F.col("doc_id").alias("_rec_ord"),
+        F.lit(None).cast("struct<home:int,away:int>").alias("score"), F.array(F.lit("f")).alias("_file"), F.col("doc_id").alias("_rec_ord"),
     )
 
 
@@ -346,51 +345,66 @@ def q23(spark, d):
     return merge.merged(document_matches(spark, d)).select(F.col("_rec_ord").alias("doc_id"), F.col("_section").alias("section"))
 
 
-@query("q24_source_counts", "SELECT source, count(*) AS n FROM documents GROUP BY source")
+@query("q24_source_counts", "SELECT source, count(*) AS n, row_number() OVER (ORDER BY source) AS place FROM documents GROUP BY source")
 def q24(spark, d):
-    return table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n"))
+    return files.source_counts(table(spark, d, "documents"), F.col("source"))
 
 
 @query("q25_fetch_summary", "SELECT count(*) AS configured, count(*) FILTER (status = 'FETCHED') AS fetched, count(*) FILTER (status != 'FETCHED') AS failed, CAST(sum(size) FILTER (status = 'FETCHED') AS BIGINT) AS bytes FROM (SELECT CASE WHEN page_id % 5 = 0 THEN 'FETCH_FAILED' ELSE 'FETCHED' END AS status, strlen(html) AS size FROM pages)")
 def q25(spark, d):
-    rows = table(spark, d, "pages").select(F.when(F.col("page_id") % 5 == 0, "FETCH_FAILED").otherwise("FETCHED").alias("status"), F.octet_length("html").cast("long").alias("size"))
-    ok = F.col("status") == "FETCHED"
-    return rows.agg(F.count("*").alias("configured"), F.count_if(ok).alias("fetched"), F.count_if(~ok).alias("failed"), F.sum(F.when(ok, F.col("size"))).alias("bytes"))
+    rows = table(spark, d, "pages").select(F.when(F.col("page_id") % 5 == 0, "FETCH_FAILED").otherwise("FETCHED").alias("status"), F.octet_length("html").cast("long").alias("bytes_received"))
+    return engine.fetch_summary(rows)
 
 
 def holed(spark: SparkSession, d: str) -> DataFrame:
-    """orders as match rows with faults at fixed keys, record_index by order key."""
+    """orders as match rows with a fault for every rule at fixed keys, record_index by order key."""
     o = table(spark, d, "orders")
     k = F.col("o_orderkey")
     fault = lambda n, bad, good: F.when(k % n == 0, bad).otherwise(good)
     none = F.lit(None).cast("string")
+    side = lambda n, i, name: F.when(k % n != 0, F.struct(i.alias("id"), name.alias("name")))
+    own = F.when(k % 37 == 0, F.concat(F.repeat(F.lit("x"), F.lit(505)), k.cast("string"))).otherwise(F.concat(F.lit("m"), (k % 5000).cast("string")))
     return o.select(
-        k.alias("record_index"), fault(11, F.lit(" "), F.concat(F.lit("m"), (k % 5000).cast("string"))).alias("id"),
-        F.when(k % 13 != 0, F.struct(fault(17, none, F.col("o_custkey").cast("string")).alias("id"), F.lit("Home").alias("name"))).alias("homeTeam"),
-        F.struct(fault(19, F.col("o_custkey").cast("string"), F.lit("a")).alias("id"), fault(23, F.lit("HOME"), F.lit("Away")).alias("name")).alias("awayTeam"),
-        fault(29, F.lit("soon"), F.date_format("o_orderdate", "yyyy-MM-dd")).alias("scheduledAt"), fault(31, F.lit("odd"), F.lit("finished")).alias("status"),
+        k.alias("record_index"), F.when(k % 41 != 0, fault(11, F.lit(" "), own)).alias("id"),
+        side(13, fault(17, none, F.col("o_custkey").cast("string")), fault(43, F.lit(" "), F.lit("Home"))).alias("homeTeam"),
+        side(47, F.when(k % 53 == 0, "").otherwise(fault(19, F.col("o_custkey").cast("string"), F.lit("a"))), F.when(k % 59 == 0, none).otherwise(fault(23, F.lit("HOME"), F.lit("Away")))).alias("awayTeam"),
+        F.when(k % 61 != 0, fault(29, F.lit("soon"), F.date_format("o_orderdate", "yyyy-MM-dd"))).alias("scheduledAt"), F.when(k % 67 != 0, F.when(k % 71 == 0, " ").otherwise(fault(31, F.lit("odd"), F.lit("finished")))).alias("status"),
     )
 
 
-_HOLED = """h AS (SELECT o_orderkey AS i, CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE 'm' || (o_orderkey % 5000) END AS id, o_orderkey % 13 != 0 AS home, CASE WHEN o_orderkey % 17 != 0 THEN CAST(o_custkey AS VARCHAR) END AS hid,
- CASE WHEN o_orderkey % 19 = 0 THEN CAST(o_custkey AS VARCHAR) ELSE 'a' END AS aid, CASE WHEN o_orderkey % 23 = 0 THEN 'home' ELSE 'away' END AS aname, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders),
-k AS (SELECT *, CASE WHEN id != '' THEN 'id:' || id WHEN home AND hid IS NOT NULL THEN 'fixture|' || hid || '|' || aid || '|' || CASE WHEN i % 29 = 0 THEN 'soon' ELSE day END END AS dk FROM h),
+_HOLED = """h AS (SELECT o_orderkey AS i, CASE WHEN o_orderkey % 41 = 0 THEN NULL WHEN o_orderkey % 11 = 0 THEN '' WHEN o_orderkey % 37 = 0 THEN repeat('x', 505) || o_orderkey ELSE 'm' || (o_orderkey % 5000) END AS id,
+ o_orderkey % 13 != 0 AS home, o_orderkey % 47 != 0 AS away, CASE WHEN o_orderkey % 17 != 0 THEN CAST(o_custkey AS VARCHAR) ELSE '' END AS hid, CASE WHEN o_orderkey % 43 = 0 THEN '' ELSE 'home' END AS hname,
+ CASE WHEN o_orderkey % 53 = 0 THEN '' WHEN o_orderkey % 19 = 0 THEN CAST(o_custkey AS VARCHAR) ELSE 'a' END AS aid, CASE WHEN o_orderkey % 59 = 0 THEN '' WHEN o_orderkey % 23 = 0 THEN 'home' ELSE 'away' END AS aname,
+ CASE WHEN o_orderkey % 61 = 0 THEN NULL WHEN o_orderkey % 29 = 0 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day, CASE WHEN o_orderkey % 67 = 0 THEN NULL WHEN o_orderkey % 71 = 0 THEN '' WHEN o_orderkey % 31 = 0 THEN 'ODD' ELSE 'FINISHED' END AS st FROM orders),
+k AS (SELECT *, CASE WHEN coalesce(id, '') != '' THEN 'id:' || id WHEN home AND away AND hid != '' AND aid != '' AND day IS NOT NULL THEN 'fixture|' || hid || '|' || aid || '|' || day END AS dk FROM h),
 f AS (SELECT i, 'error' AS severity, 'requiredFields' AS "check", 'Required field is empty: id' AS message FROM h WHERE id = ''
+ UNION ALL SELECT i, 'error', 'requiredFields', 'Required field is null: id' FROM h WHERE id IS NULL
  UNION ALL SELECT i, 'error', 'requiredFields', 'Required field is null: homeTeam' FROM h WHERE NOT home
+ UNION ALL SELECT i, 'error', 'requiredFields', 'Required field is null: awayTeam' FROM h WHERE NOT away
+ UNION ALL SELECT i, 'error', 'requiredFields', 'Required field is null: scheduledAt' FROM h WHERE day IS NULL
+ UNION ALL SELECT i, 'error', 'requiredFields', 'Required field is null: status' FROM h WHERE st IS NULL
+ UNION ALL SELECT i, 'error', 'requiredFields', 'Required field is empty: status' FROM h WHERE st = ''
  UNION ALL SELECT i, 'error', 'teamValidation', 'homeTeam must be an object.' FROM h WHERE NOT home
- UNION ALL SELECT i, 'error', 'teamValidation', 'Home team ID is missing.' FROM h WHERE home AND hid IS NULL
- UNION ALL SELECT i, 'error', 'matchIdentity', 'Match ID is missing.' FROM h WHERE id = ''
- UNION ALL SELECT i, 'error', 'dateTimeValidation', 'scheduledAt is not a valid ISO-8601 datetime.' FROM h WHERE i % 29 = 0
- UNION ALL SELECT i, 'error', 'statusValidation', 'Invalid match status: ODD' FROM h WHERE i % 31 = 0
- UNION ALL SELECT i, 'error', 'dataQuality', 'Home and away teams have the same ID.' FROM h WHERE home AND hid = aid
- UNION ALL SELECT i, 'warning', 'dataQuality', 'Home and away team names are identical.' FROM h WHERE home AND aname = 'home'
+ UNION ALL SELECT i, 'error', 'teamValidation', 'awayTeam must be an object.' FROM h WHERE NOT away
+ UNION ALL SELECT i, 'error', 'teamValidation', 'Home team ID is missing.' FROM h WHERE home AND hid = ''
+ UNION ALL SELECT i, 'error', 'teamValidation', 'Home team name is missing.' FROM h WHERE home AND hname = ''
+ UNION ALL SELECT i, 'error', 'teamValidation', 'Away team ID is missing.' FROM h WHERE away AND aid = ''
+ UNION ALL SELECT i, 'error', 'teamValidation', 'Away team name is missing.' FROM h WHERE away AND aname = ''
+ UNION ALL SELECT i, 'error', 'matchIdentity', 'Match ID is missing.' FROM h WHERE coalesce(id, '') = ''
+ UNION ALL SELECT i, 'error', 'matchIdentity', 'Match ID exceeds maximum length.' FROM h WHERE len(id) > 512
+ UNION ALL SELECT i, 'error', 'dateTimeValidation', 'scheduledAt is missing.' FROM h WHERE day IS NULL
+ UNION ALL SELECT i, 'error', 'dateTimeValidation', 'scheduledAt is not a valid ISO-8601 datetime.' FROM h WHERE day = 'soon'
+ UNION ALL SELECT i, 'error', 'statusValidation', 'Match status is missing.' FROM h WHERE coalesce(st, '') = ''
+ UNION ALL SELECT i, 'error', 'statusValidation', 'Invalid match status: ODD' FROM h WHERE st = 'ODD'
+ UNION ALL SELECT i, 'error', 'dataQuality', 'Home and away teams have the same ID.' FROM h WHERE home AND away AND hid != '' AND hid = aid
+ UNION ALL SELECT i, 'warning', 'dataQuality', 'Home and away team names are identical.' FROM h WHERE home AND away AND hname != '' AND hname = aname
  UNION ALL SELECT i, 'warning', 'duplicateValidation', 'Record has no deterministic duplicate key.' FROM k WHERE dk IS NULL
  UNION ALL SELECT i, 'error', 'duplicateValidation', 'Duplicate match detected. First occurrence: index ' || f0 FROM (SELECT i, dk, min(i) OVER (PARTITION BY dk) AS f0 FROM k) WHERE dk IS NOT NULL AND i > f0
  UNION ALL SELECT NULL, 'error', 'datasetValidation', 'Dataset contains ' || count(*) || ' matches; maximum allowed is 10000.' FROM h HAVING count(*) > 10000)"""
 
 
 def found(spark: SparkSession, d: str) -> DataFrame:
-    return rules.findings(holed(spark, d), rules.Rules()).select(F.col("record_index").alias("i"), "severity", "check", "message")
+    return rules.findings(holed(spark, d), rules.Rules(), work=Workspace(spark, "found")).select(F.col("record_index").alias("i"), "severity", "check", "message")
 
 
 for _name, _check in (("q26_required_fields", "requiredFields"), ("q27_team_rules", "teamValidation"), ("q28_identity_rules", "matchIdentity"), ("q29_datetime_rules", "dateTimeValidation"), ("q30_status_rules", "statusValidation"), ("q31_anomaly_rules", "dataQuality"), ("q37_duplicate_index", "duplicateValidation"), ("q36_dataset_rules", "datasetValidation")):
@@ -399,7 +413,7 @@ for _name, _check in (("q26_required_fields", "requiredFields"), ("q27_team_rule
 
 @query("q38_gate", f"WITH {_HOLED} SELECT CASE WHEN count(*) FILTER (severity = 'error') = 0 THEN 'PASS' ELSE 'FAIL' END AS status, count(*) FILTER (severity = 'error') = 0 AS publication_allowed, count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'warning') AS warnings, count(DISTINCT \"check\") FILTER (severity = 'error' AND \"check\" != 'dataQuality') AS failed_checks FROM f")
 def q38(spark, d):
-    return rules.gate(rules.findings(holed(spark, d), rules.Rules()), rules.Rules()).select("status", "publication_allowed", "errors", "warnings", F.size("required_failures").cast("long").alias("failed_checks"))
+    return rules.gate(rules.findings(holed(spark, d), rules.Rules(), work=Workspace(spark, "q38")), rules.Rules()).select("status", "publication_allowed", "errors", "warnings", F.size("required_failures").cast("long").alias("failed_checks"))
 
 
 _SCHEMA = [(1, "m1", "h", "2026", "LIVE", ["a", "b"], []), (2, "", "h", "2026", "live", ["a", "a"], ["id", "status", "provenance.sourceIds"]), (3, "m3", None, None, "UNKNOWN", [""], ["homeTeam", "scheduledAt", "provenance.sourceIds"])]
@@ -419,10 +433,11 @@ def q40(spark, d):
     return made.select(F.col("homeTeam.name").alias("home"), F.col("scheduledAt").alias("kickoff"), F.col("competition.id").alias("cid"), F.array_join("provenance.sourceIds", ",").alias("sources"), "status")
 
 
-@query("q41_canonical_sort", "SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY strftime(o_orderdate, '%Y-%m-%d'), lower(o_orderpriority), o_orderkey) AS place FROM orders")
+@query("q41_canonical_sort", "SELECT o_orderkey, row_number() OVER (ORDER BY strftime(o_orderdate, '%Y-%m-%d'), lower(o_orderpriority), o_orderkey) AS place FROM orders")
 def q41(spark, d):
-    rows = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("scheduledAt"), F.struct(F.col("o_orderpriority").alias("name")).alias("competition"), F.lit("").alias("id"))
-    return rows.select("o_orderkey", F.row_number().over(Window.partitionBy("o_custkey").orderBy(*publish.sort_key(), "o_orderkey")).cast("long").alias("place"))
+    """The order of the whole table."""
+    rows = table(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("scheduledAt"), F.struct(F.col("o_orderpriority").alias("name")).alias("competition"), F.lit("").alias("id"))
+    return publish.places(rows, [*publish.sort_key(), F.col("o_orderkey")], publish.sort_key()[0], Workspace(spark, "q41")).select("o_orderkey", "place")
 
 
 _NATIONS = "to_json(list({'awayTeam': {'id': NULL::VARCHAR, 'name': r_name}, 'competition': {'id': CAST(n_regionkey AS VARCHAR), 'name': r_name}, 'homeTeam': {'id': NULL::VARCHAR, 'name': n_name}, 'id': 'n' || n_nationkey, 'provenance': {'sourceIds': ['nation']}, 'scheduledAt': '2026-01-0' || (1 + n_regionkey), 'status': 'SCHEDULED'} ORDER BY '2026-01-0' || (1 + n_regionkey), lower(r_name), 'n' || n_nationkey))"
@@ -447,15 +462,15 @@ def q43(spark, d):
     return publish.source_ids(document_matches(spark, d))
 
 
-_PRIORITIES = [("a", 5, 0, "https://x", 2), ("b", None, 1, "https://x", 3), ("c", 1, 2, "https://x", 0), ("d", 5, 3, None, -1), (" ", 5, 4, "u", -1)]
-_WRONG = {"d": "Missing source field: url", " ": "Source id must be a non-empty string", "b": "Missing source field: priority"}
+_GOOD = '"name":"n","provider":"p","type":"t"'
+_SOURCES = [
+    (f'{{"id":"a",{_GOOD},"priority":5,"url":"https://x"}}', None, 3), (f'{{"id":"b",{_GOOD},"url":"https://x"}}', "Source definition missing 'priority'.", 8), (f'{{"id":"c",{_GOOD},"priority":1,"url":"https://x"}}', None, 1),
+    (f'{{"id":"d",{_GOOD},"priority":5,"url":null}}', "Source 'd' URL must be a string.", 4), (f'{{"id":" ",{_GOOD},"priority":6,"url":"u"}}', "Source id cannot be empty.", 6), (f'{{"id":7,{_GOOD},"priority":5,"url":"u"}}', "Source id must be a string.", 5),
+    (f'{{{_GOOD},"priority":7,"url":"u"}}', "Source definition missing 'id'.", 7), ('{"id":"e","name":null,"provider":1,"type":[],"priority":2,"url":"u"}', None, 2), ("5", "Source definition must be an object.", 9),
+]
 
 
-@query("q44_source_definitions", expected("id error place", [(i, _WRONG.get(i), p) for i, p in zip("cabd ", (1, 2, 5, 3, 4))], {"place": "INTEGER"}))
+@query("q44_source_definitions", expected("ord error place", [(i, e, p) for i, (_, e, p) in enumerate(_SOURCES)], {"ord": "INTEGER", "place": "INTEGER"}))
 def q44(spark, d):
-    rows = given(spark, "id string, priority int, ord int, url string", [r[:4] for r in _PRIORITIES])
-    whole = rows.withColumns({c: F.lit("x") for c in ("name", "provider", "type")})
-    # a registry is one small document, so its order is found in one task
-    return whole.select("id", selection.definition_error().alias("error"), F.row_number().over(Window.orderBy(*selection.by_priority())).alias("place"))
-
-
+    listed = spark.range(1).select(F.lit(f"[{', '.join(j for j, *_ in _SOURCES)}]").alias("sources"))
+    return documents.definitions(listed).select("ord", "error", "place")

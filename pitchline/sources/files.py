@@ -7,31 +7,63 @@ import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..functions.text import strip
 from ..operators import lines, records
-from ..operators.merge import union
+from ..operators.merge import file_key, union
 from .selection import EXTENSIONS, source_of
 
 
+def below(spark: SparkSession, folder: str, path: Column) -> Column:
+    """A file's path below the folder that was read, wherever else the folder's name stands in it."""
+    given = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    root = given.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(given).toString().rstrip("/")
+    return F.substr(path, F.lit(len(root) + 2))
+
+
 def raw_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(path below the folder, source_id, format, text) of each *.raw file; format is json, text or unknown."""
+    """(path below the folder, source_id, format, text) of each *.raw file; format is json, text or unknown.
+
+    Text is null for JSON that is no UTF-8 and for unknown files.  Files are in the order of operators.merge.file_key(path).
+    """
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.raw").load(folder)
-    marker = folder.rstrip("/").rsplit("/", 1)[-1] + "/"
-    path = F.substring_index(F.col("path"), "/" + marker, -1)
+    path = below(spark, folder, F.col("path"))
     name = F.lower(F.element_at(F.split(path, "/"), -1))
     exact = F.try_validate_utf8(F.col("content").cast("string"))
-    start = F.regexp_extract(exact, r"^\s*(.)", 1)
+    start = F.left(strip(exact), F.lit(1))
     form = F.when(name.endswith(".json.raw"), "json").when(name.endswith(".txt.raw"), "text").when(exact.isNull(), "unknown").when(start.isin("{", "["), "json").otherwise("text")
     text = F.when(form == "json", exact).when(form == "text", F.make_valid_utf8(F.col("content").cast("string")))
     return found.select(path.alias("path"), source_of(path).alias("source_id"), form.alias("format"), text.alias("text"))
 
 
-def file_matches(files: DataFrame, as_of_year: int) -> DataFrame:
-    """Match rows of raw files of both formats."""
-    return union(records.json_matches(files.filter("format = 'json'")), lines.text_matches(files.filter("format = 'text'"), as_of_year))
+def file_matches(files: DataFrame, as_of_year: int, text_form: str = "text") -> DataFrame:
+    """Match rows of raw files of both formats; files of unknown format give none."""
+    return union(records.json_matches(files.filter("format = 'json'")), lines.text_matches(files.filter("format = 'text'"), as_of_year, text_form))
+
+
+def file_report(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """(path, source_id, format, matches, status, error) of each file: one that cannot be read is empty and leaves the others."""
+    counts = rows.groupBy("_file").agg(F.count("*").alias("matches"))
+    read = F.when(F.col("format") == "json", F.try_parse_json("text").isNull())
+    error = F.when(F.col("format") == "unknown", "unknown format").when(F.col("text").isNull(), "no UTF-8").when(read, "no JSON")
+    told = files.select("path", "source_id", "format", error.alias("error"), file_key(F.col("path")).alias("_file")).join(counts, "_file", "left")
+    n = F.coalesce("matches", F.lit(0))
+    return told.select("path", "source_id", "format", n.alias("matches"), F.when(n > 0, "successful").otherwise("empty").alias("status"), F.when(n == 0, F.col("error")).alias("error"))
+
+
+def file_counters(report: DataFrame) -> DataFrame:
+    """One row: raw, successful and empty files, and matches."""
+    ok = F.col("status") == "successful"
+    return report.agg(F.count("*").alias("raw_files"), F.count_if(ok).alias("successful_files"), F.count_if(~ok).alias("empty_files"), F.coalesce(F.sum("matches"), F.lit(0)).alias("normalized_matches"))
+
+
+def source_counts(rows: DataFrame, source: Column) -> DataFrame:
+    """(source, n, place): rows of each source, in the order of the sources.  The places of a registry's sources are found in one task."""
+    counted = rows.groupBy(source.alias("source")).agg(F.count("*").alias("n"))
+    return counted.withColumn("place", F.row_number().over(Window.orderBy("source")).cast("long"))
 
 
 Transport = Callable[[str, str], tuple[int, bytes]]
@@ -80,7 +112,19 @@ def download_source(get: Transport = http_get) -> type[DataSource]:
     return Downloads
 
 
-def remote_listing(owner: str, repo: str, get: Transport = http_get, api: str = "https://api.github.com") -> list[tuple[int, str, str, int, str]]:
+API = "https://api.github.com"
+
+
+def contents_url(owner: Column, repo: Column, path: Column, api: str = API) -> Column:
+    """The address of a file's description; the separators of its path stay as they are."""
+    inner = F.regexp_replace(path, "^/+|/+$", "")
+    escaped = F.replace(F.replace(F.url_encode(inner), F.lit("%2F"), F.lit("/")), F.lit("+"), F.lit("%20"))
+    # url_encode is for forms: these two differ in paths
+    escaped = F.replace(F.replace(escaped, F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+    return F.concat(F.lit(f"{api}/repos/"), owner, F.lit("/"), repo, F.lit("/contents/"), escaped)
+
+
+def remote_listing(owner: str, repo: str, get: Transport = http_get, api: str = API) -> list[tuple[int, str, str, int, str]]:
     """(ord, path, download_url, size, extension) of a repository's data files at the head of its default branch."""
 
     def asked(path: str) -> dict:
@@ -89,16 +133,20 @@ def remote_listing(owner: str, repo: str, get: Transport = http_get, api: str =
             raise RuntimeError(f"HTTP {status} for {path or '/'}")
         return json.loads(body)
 
-    branch = asked("")["default_branch"]
-    head = asked(f"/commits/{urllib.parse.quote(branch, safe='')}")["sha"]
+    branch = asked("").get("default_branch")
+    if not branch:
+        raise RuntimeError(f"Unable to determine default branch for {owner}/{repo}")
+    head = asked(f"/git/ref/heads/{urllib.parse.quote(branch, safe='')}").get("object", {}).get("sha")
+    if not head:
+        raise RuntimeError(f"Unable to resolve branch SHA for {owner}/{repo}")
     tree = asked(f"/git/trees/{head}?recursive=1")
     if tree.get("truncated"):
-        raise RuntimeError("the listing is truncated")
+        raise RuntimeError(f"The listing of {owner}/{repo} is truncated; an incomplete one is refused.")
     out = []
-    for item in tree["tree"]:
+    for item in tree.get("tree", ()):
         name = item["path"].rsplit("/", 1)[-1]
         extension = "." + name.rsplit(".", 1)[1].lower() if "." in name[1:] else ""
         if item["type"] == "blob" and extension in EXTENSIONS:
-            url = f"https://raw.githubusercontent.com/{owner}/{repo}/{head}/{urllib.parse.quote(item['path'])}"
+            url = f"https://raw.githubusercontent.com/{owner}/{repo}/{branch}/{urllib.parse.quote(item['path'])}"
             out.append((len(out), item["path"], url, item.get("size") or 0, extension))
     return out

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip
 
-# Names of files about the data, words in the paths of data files, the source that is overridden.
+# Names of files about the data, words in the paths of data files.
 ABOUT = "readme.txt notes.txt license.txt license.md changelog.txt".split()
 WORDS = "match league premier bundesliga serie laliga ligue cup qual championship division euro worldcup".split()
-OVERRIDDEN, OVERRIDE = "openfootball_worldcup", "2026"
 EXTENSIONS = (".json", ".txt")
 _REPOSITORY = r"^https?://github\.com/([^/]+)/([^/#?]+)(?:/.*)?$"
 
@@ -35,16 +34,19 @@ def is_match_data(path: Column) -> Column:
     return ~is_about(path) & F.lower(path).rlike("|".join(WORDS))
 
 
-def select_files(listing: DataFrame, as_of_year: int) -> DataFrame:
-    """listing: source_id, ord, path, extension.  The files to fetch, with place (from 0) in each source."""
+def select_files(listing: DataFrame, as_of_year: int, override: tuple[str, str] | None = None) -> DataFrame:
+    """listing: source_id, ord, path, extension.  The files to fetch, with place (from 0) in each source.
+
+    override: a source and what stands in the paths of the files that replace its selection, if it has such files.
+    """
     source = Window.partitionBy("source_id")
     data = F.when(is_match_data(F.col("path")), 1).otherwise(0)
     told = listing.withColumn("data", data).withColumn("any", F.max("data").over(source)).filter("data = any")
     scored = told.withColumn("score", season_score(F.col("path"), as_of_year))
     best = F.max("score").over(Window.partitionBy("source_id", "extension"))
     fresh = F.col("score") >= best - 30
-    override = (F.col("source_id") == OVERRIDDEN) & F.col("path").contains(OVERRIDE)
-    flagged = scored.withColumn("fresh", fresh & F.col("extension").isin(*EXTENSIONS)).withColumn("override", override)
+    own = F.lit(False) if override is None else (F.col("source_id") == override[0]) & F.col("path").contains(override[1])
+    flagged = scored.withColumn("fresh", fresh & F.col("extension").isin(*EXTENSIONS)).withColumn("override", own)
     kept = flagged.withColumn("overridden", F.max("override").over(source)).filter(F.when(F.col("overridden"), F.col("override")).otherwise(F.col("fresh")))
     section = F.when(F.col("overridden"), 0).when(F.col("extension") == ".json", 0).otherwise(1)
     keys = [section, F.when(F.col("overridden"), 0).otherwise(-F.col("score")), F.when(F.col("overridden"), 0).otherwise(F.length("path")), F.col("ord")]
@@ -66,10 +68,19 @@ def source_of(path: Column) -> Column:
     return F.when(F.size(parts) >= 2, parts[0]).otherwise(F.split_part(F.regexp_replace(path, r"\.raw$", ""), F.lit("__"), F.lit(1)))
 
 
-def definition_error(required: tuple[str, ...] = ("id", "name", "provider", "type", "priority", "url")) -> Column:
-    """The first thing wrong with a source's definition; null if nothing is."""
-    missing = [F.when(F.col(k).isNull(), f"Missing source field: {k}") for k in required]
-    return F.coalesce(*missing, F.when(strip(F.col("id")) == "", "Source id must be a non-empty string"))
+# The members that a source's definition needs, in the order in which they are looked for.
+REQUIRED = ("id", "name", "provider", "type", "priority", "url")
+
+
+def definition_error(json: Column) -> Column:
+    """The first thing wrong with a source's definition (a JSON text); null if nothing is.  A member that stands there with null is not missing."""
+    texts, kinds = F.from_json(json, "map<string,string>"), F.from_json(json, "map<string,variant>")
+    kind = lambda k: F.schema_of_variant(kinds[k])
+    missing = [F.when(~F.map_contains_key(texts, F.lit(k)), f"Source definition missing '{k}'.") for k in REQUIRED]
+    return F.when(texts.isNull(), "Source definition must be an object.").otherwise(F.coalesce(
+        *missing, F.when(kind("id") != "STRING", "Source id must be a string."), F.when(strip(texts["id"]) == "", "Source id cannot be empty."),
+        F.when(kind("url") != "STRING", F.concat(F.lit("Source '"), texts["id"], F.lit("' URL must be a string."))),
+    ))
 
 
 def by_priority() -> list[Column]:
