@@ -93,3 +93,67 @@ def test_secrets_in_any_spelling_and_length():
         text = f"so {name}={value} and on"
         start = text.index(value)
         assert ("secret", start, start + len(value)) in [tuple(x)[:3] for x in pii.candidates(text)]
+
+
+def iban(country, digits):
+    rest = f"{digits}{int(country[0], 36)}{int(country[1], 36)}00"
+    return f"{country}{98 - int(rest) % 97:02d}{digits}"
+
+
+def planted(rng):
+    """(texts, true spans as (text, kind, start, end)): each kind in several forms, beside look-alikes that are none."""
+    names = [f"{a} {b}" for a in ("Sarah", "Klaus", "Pierre", "Carmen", "David", "Anna") for b in ("Miller", "Weber", "Martin", "Lopez", "Novak")]
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    hexes = lambda n, sep=":": sep.join(f"{rng.randrange(256):02x}" for _ in range(n))
+    good = {
+        "ssn": lambda: (rng.choice(["my ssn is ", "social security number ", "the ssn on file: "]), f"{rng.randint(100, 665)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}"),
+        "iban": lambda: (rng.choice(["pay to iban ", "bank account ", "my account is "]), iban("DE", digits(18)) if rng.random() < 0.5 else iban("FR", digits(23))),
+        "mac": lambda: (rng.choice(["device mac ", "hardware address ", "seen from "]), hexes(6) if rng.random() < 0.5 else hexes(6, "-").upper()),
+        "person": lambda: (rng.choice(["the author is ", "we met with Mr ", "signed by ", "please ask "]), rng.choice(names)),
+        "secret": lambda: (rng.choice(["password=", "Token: ", "apiKey = ", "login secret: "]), "".join(rng.choice("abcdef0123456789XYZ") for _ in range(18)) + "a1"),
+        "birth": lambda: (rng.choice(["born ", "date of birth ", "dob: "]), rng.choice([f"19{rng.randint(40, 99)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}", f"{rng.randint(1, 28)}.{rng.randint(1, 12)}.19{rng.randint(50, 99)}"])),
+    }
+    bad = {
+        "ssn": lambda: (rng.choice(["part ", "order ", "sku "]), f"{rng.choice(['000', '666', '912'])}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}"),
+        "iban": lambda: ("version ", "ZZ" + digits(20)),
+        "mac": lambda: ("sample ", rng.choice(["00:00:00:00:00:00", "ff:ff:ff:ff:ff:ff"])),
+        "person": lambda: ("we won. ", rng.choice(["Green Valley", "Northern Lights", "Blue Harbour", "Silver Bridge", "Grand Hotel"])),
+        "secret": lambda: ("sample token: ", "placeholder"),
+        "birth": lambda: ("release ", f"20{rng.randint(40, 99)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}"),
+    }
+    fill = "some words here and there and more of them follow after that".split()
+    texts, true, false = [], [], []
+    for kind in good:
+        for i in range(140):
+            cue, value = (good if i < 80 else bad)[kind]()
+            start = " ".join(rng.choice(fill) for _ in range(rng.randint(3, 9))) + " " + cue
+            text = f"{start}{value} " + " ".join(rng.choice(fill) for _ in range(5))
+            (true if i < 80 else false).append((len(texts), kind, len(start), len(start) + len(value)))
+            texts.append(text)
+    return texts, true, false
+
+
+def test_added_kinds_are_found(spark):
+    import random
+
+    texts, true, false = planted(random.Random(3))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {(r.doc_id, s.kind, s.start, s.end) for r in pii.find(df).collect() for s in r.spans}
+    for kind in pii.ADDED_KINDS:
+        mine, none = ([x for x in part if x[1] == kind] for part in (true, false))
+        found, wrong = sum(x in got for x in mine), sum(x in got for x in none)
+        assert found >= 0.9 * len(mine), (kind, found, len(mine))
+        assert found >= 0.9 * (found + wrong), (kind, found, wrong)
+
+
+def test_prefilters_lose_nothing():
+    import random
+
+    rng = random.Random(4)
+    patterns = {"ssn": pii._SSN, "iban": pii._IBAN, "mac": pii._MAC, "birth": pii._BIRTH, "person": pii._PERSON}
+    pool = ["aa:bb:cc:dd:ee:ff", "AA-BB-CC-DD-EE-FF", "Pwd=abcdefg", "apiKey=abcdef", "API_KEY: zzzzzzz", "PassWord = 'qqqqqq'", "John Smith", "\u017fecret=abcdef", "to\u212aen=abcdefgh", "1.2.3.4", "x", "born 1990-01-02", "DE44500105175407324931"]
+    for _ in range(3000):
+        text = " ".join(rng.choice(pool) for _ in range(rng.randint(1, 4)))
+        got = {(s.kind, s.start, s.end) for s in pii.candidates(text)}
+        want = {(k, m.start(), m.end()) for k, p in patterns.items() for m in p.finditer(text)} | {("secret", m.start(2), m.end(2)) for m in pii._SECRET.finditer(text)}
+        assert {s for s in got if s[0] in pii.ADDED_KINDS} == want
