@@ -14,15 +14,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import byte_texts, slices
 
 DIMENSIONS = 4096
 CLUSTERS = 4
-#: Most training documents in all, and the most of one language; texts are drawn by a hash of their ids.
+#: Most training documents in all, and the most of one language; texts are drawn by a hash of their ids and themselves.
 SAMPLE, SAMPLE_OF_LANGUAGE = 4000, 800
+#: Languages that are learned: the most frequent ones, if labels name more.
+LANGUAGES = 1000
 SLACK = 0.1
 #: Bytes of texts whose n-grams are counted at once.
 PIECE = 1 << 20
@@ -129,32 +131,30 @@ def train(docs: DataFrame) -> Model | None:
     """A model from the texts and languages of documents that are not held out.
 
     Null languages, and texts without a letter, teach nothing.  At most SAMPLE documents are used, drawn
-    alike from each language by a hash of doc_id; their n-gram counts, of fixed size, go to the driver.
+    alike from each of the LANGUAGES most frequent languages by a hash of doc_id and text, equal rows once; their n-gram counts, of
+    fixed size, go to the driver.
     """
     known = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = known.filter(~held_out() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
     if not sizes:
         return None
     quota = max(1, min(SAMPLE_OF_LANGUAGE, SAMPLE // len(sizes)))
-    share = F.create_map(*[F.lit(v) for lang, n in sizes.items() for v in (lang, min(1.0, 1.2 * quota / n))])
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    # a language is drawn to twice its quota, and a little: a draw that falls short of it is next to impossible
+    share = F.create_map(*[F.lit(v) for lang, n in sizes.items() for v in (lang, min(1.0, (2.0 * quota + 20) / n))])
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30))
     drawn = known.select("doc_id", "lang", "text", draw.alias("draw")).filter(F.col("draw") < share[F.col("lang")] * (1 << 30))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 100):
-            c = counts(byte_texts(batch.column(2)))
-            packed = [np.minimum(x, 65535).astype("<u2").tobytes() for x in c]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(packed, pa.binary())], ["doc_id", "lang", "draw", "counts"])
-
-    got = drawn.mapInArrow(rows, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, draw long, counts binary").collect()
-    taken: dict[str, int] = {}
-    out = []
-    for r in sorted(got, key=lambda r: (r["lang"], r["draw"], r["doc_id"], r["counts"])):
-        taken[r["lang"]] = taken.get(r["lang"], 0) + 1
-        if taken[r["lang"]] <= quota:
-            out.append((r["lang"], np.frombuffer(bytes(r["counts"]), "<u2").astype(np.float32)))
-    return fit(out)
+            packed = [x.astype("<u4").tobytes() for x in counts(byte_texts(batch.column(1)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(packed, pa.binary())], ["lang", "draw", "counts"])
+
+    made = drawn.select("lang", "text", "draw").mapInArrow(rows, "lang string, draw long, counts binary")
+    first = Window.partitionBy("lang").orderBy("draw", "counts")
+    # equal rows are one before they are ranked, so a language has about twice its quota here
+    got = made.distinct().withColumn("at", F.row_number().over(first)).filter(F.col("at") <= quota).collect()
+    return fit([(r["lang"], np.frombuffer(bytes(r["counts"]), "<u4").astype(np.float32)) for r in sorted(got, key=lambda r: (r["lang"], r["at"]))])
 
 
 RESULT = "lang_pred string, score double, rejected boolean"
