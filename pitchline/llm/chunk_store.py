@@ -15,6 +15,7 @@ Reading verifies every chunk against its address, each recipe against its root a
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import zlib
 from array import array
@@ -27,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Workspace, byte_texts, mix, partitions, slices
+from .common import Workspace, byte_texts, mix, partitions, slices, vocabulary
 
 END_ID = 1
 ROLL_IDS = 16
@@ -44,7 +45,16 @@ def _address(data: bytes) -> bytes:
 #: letters have plain lower cases, compositions and byte characters.  Other texts go through the whole tokenizer.
 _EVEN = bytes([*range(9, 14), *range(32, 127)])
 _ODD = re.compile("[^\t-\r -~À-ÖØ-öø-ÿ]|<\\|")
-#: The file's pre-tokenizer over such texts in lower case.
+#: The normaliser and pre-tokenizer of files whose texts are cut here; texts of other files are encoded whole.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+#: That pre-tokenizer over such texts in lower case.
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
 
 
@@ -93,10 +103,11 @@ class Runs(Held):
 
 
 class Encoder:
-    """Ids of whole texts from a tokenizers file whose pre-tokenizer never crosses white space.
+    """Ids of whole texts from a tokenizers file.
 
-    The ids of a pre-token, and of a white-space-free run, do not depend on their neighbours, so each
-    different one is encoded once by the library and remembered.
+    If the file has the known normaliser and pre-tokenizer, which never cross white space, the ids of a pre-token, and of a
+    white-space-free run, do not depend on their neighbours: each different one is encoded once by the library and
+    remembered.  By other files texts are encoded whole.
     """
 
     made: dict[str, Encoder] = {}
@@ -104,11 +115,16 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        path = vocabulary(path)
         tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            told = json.load(f)
+        special = all(t["content"].startswith("<|") and t["special"] for t in told["added_tokens"])
+        self.known = (told["normalizer"], told["pre_tokenizer"], told["post_processor"]) == (_NORMALIZER, _PRE_TOKENIZER, None) and special
         self.width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
-        code = "H" if self.width == 2 else "I"
-        self.pieces, self.runs = Pieces(tokenizer, code), Runs(tokenizer, code)
-        self.end = array(code, [END_ID]).tobytes()
+        self.code = "H" if self.width == 2 else "I"
+        self.tokenizer, self.pieces, self.runs = tokenizer, Pieces(tokenizer, self.code), Runs(tokenizer, self.code)
+        self.end = array(self.code, [END_ID]).tobytes()
 
     @classmethod
     def at(cls, path: str) -> Encoder:
@@ -118,6 +134,8 @@ class Encoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed ids of each text, its end id included."""
+        if not self.known:
+            return [array(self.code, self.tokenizer.encode(t.decode(), add_special_tokens=False).ids).tobytes() + self.end for t in texts]
         self.pieces.trim()
         self.runs.trim()
         piece, run, end, odd, cut = self.pieces.__getitem__, self.runs.__getitem__, self.end, _ODD.search, _PIECES.findall
@@ -164,10 +182,10 @@ def _ids_to_chunks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.
     width = coder.width
     sent: set[bytes] = set()
     names = ["doc_id", "major", "minor", "n_tokens", "addresses", "sizes", "address", "data"]
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary(), pa.binary())
+    types = (pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary(), pa.binary())
     for batch in slices(batches):
         rows: list[tuple] = []
-        for doc, major, minor, data in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), coder.encode(byte_texts(batch.column(1)))):
+        for row, data in enumerate(coder.encode(byte_texts(batch.column(1)))):
             ids = np.frombuffer(data, dtype=f"<u{width}")
             addresses, sizes, at = [], [], 0
             for end in cuts(ids):
@@ -179,9 +197,11 @@ def _ids_to_chunks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.
                     if len(sent) >= 1_000_000:
                         sent.clear()
                     sent.add(a)
-                    rows.append((None, None, None, None, None, None, a, part))
-            rows.append((doc, major, minor, len(ids), addresses, sizes, _address(b"".join(addresses)), None))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+                    rows.append((None, None, None, None, a, part))
+            rows.append((row, len(ids), addresses, sizes, _address(b"".join(addresses)), None))
+        of, *cols = zip(*rows)
+        of = pa.array(of, pa.int64())
+        yield pa.RecordBatch.from_arrays([*(batch.column(i).take(of) for i in (0, 2, 3)), *(pa.array(c, t) for c, t in zip(cols, types))], names)
 
 
 def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +217,7 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def write_store(docs: DataFrame, path: str, tokenizer: str, order: tuple[Column, Column] | None = None) -> None:
-    """Write the store of docs' texts in the given order of two integers, else of doc_id.
+    """Write the store of docs' texts in the given order of two columns, else of doc_id, which keeps its type.
 
     Null texts count as empty: their stream is the end id alone.  Rows that share their place are separate
     documents, ordered by their roots; null doc_ids come first.  Other columns are not read.  An empty table gives
@@ -205,8 +225,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, order: tuple[Column,
     """
     spark = docs.sparkSession
     major, minor = order or (F.col("doc_id"), F.lit(0))
-    schema = "doc_id long, major long, minor long, n_tokens long, addresses array<binary>, sizes array<int>, address binary, data binary"
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), major.cast("long").alias("major"), minor.cast("long").alias("minor"))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), major.alias("major"), minor.alias("minor"))
+    schema = ", ".join(f"{c} {texts.schema[c].dataType.simpleString()}" for c in ("doc_id", "major", "minor")) + ", n_tokens long, addresses array<binary>, sizes array<int>, address binary, data binary"
     made = texts.mapInArrow(lambda b: _ids_to_chunks(b, tokenizer), schema)
     n = partitions(spark)
     # a recipe's root may be common, so recipes are dealt by their place as well
@@ -227,15 +247,14 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, order: tuple[Column,
     _manifest(spark, path).write.parquet(f"{path}/manifest")
 
 
-RECIPE = "part int, doc_id long, start long, n_tokens long, addresses array<binary>, sizes array<int>, root binary"
 CHUNK = "address binary, data binary"
 MANIFEST = "part int, first_start long, n_tokens long, n_docs long, root string"
 
 
 def _manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Roots over the recipes as they are stored: of a row, of a part in the order of start, of all parts."""
-    recipes = spark.read.schema(RECIPE).parquet(f"{path}/recipes")
-    node = F.sha2(F.concat(F.col("root"), F.to_binary(F.lpad(F.hex("start"), F.lit(16), F.lit("0")), F.lit("hex"))), 256)
+    """Roots over the recipes as they are stored: of a row (id, place, length and root of the document), of a part in the order of start, of all parts."""
+    recipes = spark.read.parquet(f"{path}/recipes")
+    node = F.sha2(F.to_json(F.struct("doc_id", "start", "n_tokens", F.hex("root").alias("root"))), 256)
     # blocks of ids keep each list short; a part's root hashes its blocks' roots
     leaves = recipes.select("part", "start", "n_tokens", (F.col("start") / (1 << 22)).cast("long").alias("block"), node.alias("node"))
     blocks = leaves.groupBy("part", "block").agg(F.min("start").alias("first_start"), F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_docs"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "node"))), lambda x: x.node), ""), 256).alias("root"))
@@ -323,7 +342,7 @@ def read_store(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
     The CRC of a document is put together from the CRCs of its stored chunks, so ids are read once and
     never shuffled.
     """
-    recipes = spark.read.schema(RECIPE).parquet(f"{path}/recipes")
+    recipes = spark.read.parquet(f"{path}/recipes")
     chunks = spark.read.schema(CHUNK).parquet(f"{path}/staged").filter("data is not null")
     sums = chunks.mapInArrow(lambda b: _verified(b, width), "address binary, crc long, ids int")
     uses = recipes.select("start", "addresses", "sizes", "root").mapInArrow(_rooted, "start long, address binary, size int, after long")
@@ -335,7 +354,7 @@ def read_store(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
 
 def read_ids(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
     """(doc_id, start, ids array<int>): the id streams rebuilt from recipes and chunks."""
-    recipes = spark.read.schema(RECIPE).parquet(f"{path}/recipes")
+    recipes = spark.read.parquet(f"{path}/recipes")
     chunks = spark.read.schema(CHUNK).parquet(f"{path}/staged").filter("data is not null")
     uses = recipes.select("doc_id", "start", F.posexplode("addresses").alias("at", "address")).join(chunks, "address")
     lists = uses.groupBy("doc_id", "start").agg(F.array_sort(F.collect_list(F.struct("at", "data"))).alias("parts"))
@@ -349,7 +368,7 @@ def read_ids(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
 
 
 def encoded(docs: DataFrame, tokenizer: str, order: tuple[Column, Column] | None = None) -> DataFrame:
-    """Write a store of docs below the shared folder, check its manifest, and read it back."""
+    """Write a store of docs below the shared folder, check its manifest, and read it back.  tokenizer: a path, or the name of a public file."""
     work = Workspace(docs.sparkSession, "store")
     path = f"{work.path}/store"
     write_store(docs, path, tokenizer, order)

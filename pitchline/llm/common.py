@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
-import uuid
+import os
 from collections.abc import Callable, Iterator
 from itertools import islice
 
@@ -12,42 +11,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Where intermediate tables go when the session names no shared folder, as in tests.
-DEFAULT_SHARED = "file:///tmp/checkpoints"
+from ..shared import Workspace  # noqa: F401  (the operators' tables)
+
 #: Rows of one slice of an Arrow batch that is held as Python objects at a time.
 SLICE_ROWS = 500
 
 
-class Workspace:
-    """Intermediate tables of one query, below the folder that all executors share.
-
-    A saved table cuts the lineage: if an executor is lost, only the steps after it run again.
-    Tables are deleted by drop(), and those left over when Python ends.
-    """
-
-    def __init__(self, spark: SparkSession, name: str):
-        base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or DEFAULT_SHARED
-        self.spark = spark
-        self.path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-        atexit.register(self.close)
-
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{name}")
-        return self.read(name, df)
-
-    def read(self, name: str, like: DataFrame) -> DataFrame:
-        return self.spark.read.schema(like.schema).parquet(f"{self.path}/{name}")
-
-    def drop(self, name: str = "") -> None:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+def vocabulary(name: str) -> str:
+    """The path of a public tokenizer's file on this machine, of its name or of a path: workers resolve it, each on its own."""
+    if os.sep in name:
+        return name
+    import public_tokenizers
 
-    def close(self) -> None:
-        try:
-            self.drop()
-        except Exception:  # the JVM may have ended before Python does
-            pass
+    return public_tokenizers.path(name)
 
 
 def partitions(spark: SparkSession) -> int:

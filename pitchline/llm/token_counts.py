@@ -23,12 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, slices
+from .common import byte_texts, slices, vocabulary
 
 MARK = "▁"
 
 
 class Unigram:
+    #: Characters of a word whose scores are kept for the next word.
+    HELD = 4096
+
     def __init__(self, pieces: dict[str, float], byte_cost: float):
         self.pieces, self.byte_cost = pieces, byte_cost
         self.longest = max(map(len, pieces), default=1)
@@ -42,7 +45,7 @@ class Unigram:
     def load(cls, path: str) -> Unigram:
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        model = sentencepiece.SentencePieceProcessor(model_file=vocabulary(path))
         ids = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
         ids.sort(key=lambda i: (-model.get_score(i), i))
         total = sum(1 / (r + 1) for r in range(len(ids) + 256))
@@ -50,15 +53,21 @@ class Unigram:
         return cls(pieces, -log(len(ids) + 256) - log(total))
 
     def walk(self, words: list[str]) -> dict[str, tuple[int, float]]:
-        """(pieces, score) of each word; words are sorted and different."""
+        """(pieces, score) of each word; words are sorted and different.
+
+        The path holds the first HELD characters' scores for the words that share them; beyond, only as many as the longest piece
+        looks back.
+        """
         out: dict[str, tuple[int, float]] = {}
         path: list[tuple[float, int]] = [(0.0, 0)]  # (score, -pieces) of each prefix of the last word
-        last, pieces, ends, none = "", self.pieces, self.ends, ()
+        last, pieces, ends, none, held = "", self.pieces, self.ends, (), max(self.HELD, self.longest)
         for word in words:
-            shared, most = 0, min(len(last), len(word))
+            shared, most = 0, min(len(last), len(word), held)
             while shared < most and last[shared] == word[shared]:
                 shared += 1
             del path[shared + 1 :]
+            far: list[tuple[float, int]] = []  # prefixes from gone + 1 on, where they are longer than held
+            gone = held
             for d in range(shared + 1, len(word) + 1):
                 best = None
                 for n in ends.get(word[d - 1], none):
@@ -66,16 +75,23 @@ class Unigram:
                         break
                     p = pieces.get(word[d - n : d])
                     if p is not None:
-                        s, k = path[d - n]
+                        s, k = path[d - n] if d - n <= held else far[d - n - gone - 1]
                         if best is None or (s + p, k - 1) > best:
                             best = (s + p, k - 1)
                 if best is None:
-                    s, k = path[d - 1]
+                    s, k = path[d - 1] if d - 1 <= held else far[d - 2 - gone]
                     b = len(word[d - 1].encode())
                     best = (s + b * self.byte_cost, k - b)
-                path.append(best)
+                if d <= held:
+                    path.append(best)
+                else:
+                    far.append(best)
+                    if len(far) >= 4 * held:
+                        gone += len(far) - self.longest
+                        del far[: len(far) - self.longest]
             last = word
-            out[word] = (-path[-1][1], path[-1][0])
+            score, less = far[-1] if far else path[-1]
+            out[word] = (-less, score)
         return out
 
 
@@ -109,7 +125,7 @@ def _terminals(path: str) -> Terminals:
 
 
 def count_tokens(docs: DataFrame, model: str) -> DataFrame:
-    """(doc_id, n_pretokens, n_tokens, log_prob) of each row; model: path of a sentencepiece vocabulary.
+    """(doc_id, n_pretokens, n_tokens, log_prob) of each row; model: path, or name of a public file, of a sentencepiece vocabulary.
 
     Null and empty texts have no pre-tokens, no tokens and log_prob 0.  Each row is counted by itself,
     so repeated rows give repeated rows.  Other columns are not read.

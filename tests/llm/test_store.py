@@ -5,12 +5,11 @@ import numpy as np
 import pytest
 
 from pitchline.llm import chunk_store as c
-from pitchline.llm.common import Workspace
-from pitchline.llm.queries import tokenizer_file
+from pitchline.llm.common import Workspace, vocabulary
 
 from .conftest import table
 
-FILE = tokenizer_file("word_bpe_49k.json")
+FILE = vocabulary("word_bpe_49k.json")
 
 
 def streams(rows):
@@ -83,3 +82,50 @@ def test_cuts_follow_content():
     assert ends[-1] == len(ids) and all(0 < b - a <= c.MOST for a, b in zip([0, *ends], ends))
     moved = c.cuts(np.concatenate((rng.integers(0, 49_000, 100).astype(np.uint16), ids)))
     assert len({e + 100 for e in ends} & set(moved)) > 0.8 * len(ends)
+
+
+def test_other_files_and_texts_whole(tmp_path):
+    import json
+
+    with open(FILE, encoding="utf-8") as f:
+        told = json.load(f)
+    told["normalizer"] = {"type": "NFC"}
+    path = f"{tmp_path}/other.json"
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(told, f)
+    from tokenizers import Tokenizer
+
+    known, other = c.Encoder(FILE), c.Encoder(path)
+    assert known.known and not other.known
+    texts = ["Some Text, don't", "", "Über  alles\n"]
+    for text, packed in zip(texts, other.encode([t.encode() for t in texts])):
+        assert np.frombuffer(packed, "<u2").tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids + [1]
+
+
+def test_text_ids(spark):
+    rows = [("b", "two words", "en", "s"), ("a", "one", "en", "s"), ("c", None, "en", "s")]
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string, source string")
+    assert table(c.encoded(df, FILE), "doc_id", "start", "n_tokens", "ids_crc32") == brute(rows)
+
+
+@pytest.mark.parametrize("damage", ["doc_id + 1 as doc_id", "start + 1 as start", "n_tokens + 1 as n_tokens", "concat(root, X'00') as root"])
+def test_damage_of_recipes_is_found(spark, odd, damage):
+    path = Workspace(spark, "t").path
+    c.write_store(odd, path, FILE)
+    recipes = spark.read.parquet(f"{path}/recipes")
+    name = damage.split()[-1]
+    changed = recipes.selectExpr(*(damage if x == name else x for x in recipes.columns)).collect()
+    spark.createDataFrame(changed, recipes.schema).write.mode("overwrite").parquet(f"{path}/recipes")
+    with pytest.raises(ValueError, match="manifest"):
+        c.verify_manifest(spark, path)
+
+
+def test_damage_of_the_manifest_is_found(spark, odd):
+    path = Workspace(spark, "t").path
+    c.write_store(odd, path, FILE)
+    c.verify_manifest(spark, path)
+    manifest = spark.read.schema(c.MANIFEST).parquet(f"{path}/manifest")
+    changed = manifest.selectExpr("part", "first_start", "n_tokens", "n_docs", "reverse(root) as root").collect()
+    spark.createDataFrame(changed, manifest.schema).write.mode("overwrite").parquet(f"{path}/manifest")
+    with pytest.raises(ValueError, match="manifest"):
+        c.verify_manifest(spark, path)

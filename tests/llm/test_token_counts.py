@@ -1,11 +1,11 @@
 from math import isclose
 
-from pitchline.llm.queries import tokenizer_file
+from pitchline.llm.common import vocabulary
 from pitchline.llm.token_counts import MARK, Terminals, Unigram, count_tokens
 
 from .conftest import key
 
-FILE = tokenizer_file("piece_bpe_32k.model")
+FILE = vocabulary("piece_bpe_32k.model")
 
 
 def by_all_cuts(model, word):
@@ -69,3 +69,17 @@ def test_a_full_store_forgets(monkeypatch):
     assert two[1][0] == one[0][0] and isclose(two[1][1], one[0][1]) and two[2] == (0, 0)
     store.of([[b"eta"]])
     assert len(store.counts) == len(store.scores) < 6
+
+
+def test_long_words_keep_a_short_path(monkeypatch):
+    import random
+
+    rng = random.Random(1)
+    model = Unigram({MARK: -3.0, "a": -2.0, "b": -2.5, "ab": -3.5, "aba": -5.0, MARK + "a": -4.0, "ba": -4.4, "abbab": -6.0}, -9.0)
+    start = "".join(rng.choice("ab") for _ in range(300))
+    words = sorted({MARK + start[: rng.randint(1, 300)] + "".join(rng.choice("abé") for _ in range(rng.randint(0, 200))) for _ in range(60)})
+    want = {w: plain(model, w) for w in words}
+    for held in (1, 7, 40):
+        monkeypatch.setattr(Unigram, "HELD", held)
+        for w, (n, s) in model.walk(words).items():
+            assert n == -want[w][1] and isclose(s, want[w][0], rel_tol=1e-12)
