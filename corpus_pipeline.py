@@ -8,16 +8,21 @@ from pyspark.sql import functions as F
 
 from pitchline.llm import chunk_store, decontaminate, language_id, mixing, simhash_dedup
 from pitchline.llm.common import Workspace
-from pitchline.llm.queries import tokenizer_file
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known; those that the classifier rejects go."""
+    """Documents whose language is known; those that the classifier rejects go.
+
+    So do null texts, texts without a letter, and all if no label teaches a language.  Repeated rows stay as often as they stand.
+    """
     return language_id.keep_identified(docs, language_id.train(docs))
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates, the first by doc_id and text; rows that share a doc_id alone are no duplicates."""
+    """One row of each group of near duplicates, the first by doc_id (null last) and text; rows that share a doc_id alone are no duplicates.
+
+    Of equal rows one stays, as of rows that share doc_id and text.  Null and empty texts are duplicates of one another.
+    """
     firsts = simhash_dedup.representatives(docs).select(F.col("doc_id").alias("__first"), F.col("digest").alias("__of"))
     keyed = docs.withColumn("__digest", simhash_dedup.text_digest())
     kept = keyed.join(firsts, keyed["doc_id"].eqNullSafe(firsts["__first"]) & (keyed["__digest"] == firsts["__of"]), "left_semi")
@@ -25,7 +30,10 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found; each row is judged by its own text, whatever its doc_id."""
+    """Documents in which no benchmark item is found; each row is judged by its own text, whatever its doc_id.
+
+    Null and empty texts and items match nothing; repeated rows go or stay together; without a benchmark all stay.
+    """
     judged = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     texts = docs.select(judged.alias("doc_id"), "text")
     found = decontaminate.contaminated(texts, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("__leak")).distinct()
@@ -34,23 +42,26 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mix: the files follow it."""
+    """All documents in the order of the mix: the files follow it.
+
+    Null is a source of its own; rows that are equal, share a doc_id or have none are each kept.
+    """
     return mixing.mixed_documents(docs)
 
 
 def stored(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token store's rows, read back from its files.
 
-    Documents read from files are stored in the order of the files, which is that of the mix; others by doc_id.
+    Documents read from files are stored in the order of the files, which is that of the mix; others by doc_id.  Null and empty
+    texts are the end id alone; each row is a document of its own.
     """
-    file = tokenizer_file("word_bpe_49k.json")
-    part = F.coalesce(F.regexp_extract("_metadata.file_name", "^part-([0-9]+)", 1).try_cast("long"), F.lit(0))
-    order = (part, F.col("_metadata.row_index"))
+    file = "word_bpe_49k.json"
     try:
-        docs.select(*order)
+        part, _, row = mixing.file_row(docs)
+        docs.select(part, row)
     except AnalysisException:  # not read from files
-        order = None
-    return chunk_store.encoded(docs, file, order)
+        return chunk_store.encoded(docs, file)
+    return chunk_store.encoded(docs, file, (part, row))
 
 
 STAGES = [("language ID", identified), ("SimHash near-dedup", deduplicated), ("benchmark decontamination", decontaminated), ("mixing", mixed), ("token output", stored)]
