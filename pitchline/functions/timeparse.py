@@ -16,8 +16,9 @@ def _int(c: Column) -> Column:
 
 
 def day_exists(year: Column, month: Column, day: Column) -> Column:
-    first = F.try_to_date(F.format_string("%04d-%02d-01", year, month), "yyyy-MM-dd")
-    return F.coalesce((year >= 1) & month.between(1, 12) & (day >= 1) & (day <= F.dayofmonth(F.last_day(first))), F.lit(False))
+    leap = (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+    days = F.when(month == 2, F.when(leap, 29).otherwise(28)).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
+    return F.coalesce((year >= 1) & month.between(1, 12) & (day >= 1) & (day <= days), F.lit(False))
 
 
 def iso_parts(text: Column) -> Column:
@@ -43,8 +44,8 @@ def _from_groups(groups: Column) -> Column:
     size = part(1) * 3600 + part(3) * 60 + part(5)
     offset = F.when(g(17).isNotNull(), F.when(g(17).startswith("-"), -size).otherwise(size))
     ok = (h <= 23) & (m <= 59) & (s <= 59) & F.coalesce((part(3) <= 59) & (part(5) <= 59) & (size < 86400), F.lit(True))
-    date = F.coalesce(plain, by_week)
-    return F.when(date.isNotNull() & ok, F.struct(date.alias("day"), (h * 3600 + m * 60 + s).alias("time"), fraction.alias("fraction"), offset.alias("offset")))
+    told = F.struct(F.when(ok, F.coalesce(plain, by_week)).alias("day"), (h * 3600 + m * 60 + s).alias("time"), fraction.alias("fraction"), offset.alias("offset"))
+    return let(told, lambda t: F.when(t["day"].isNotNull(), t))
 
 
 def _clock(seconds: Column) -> Column:
@@ -73,10 +74,15 @@ _FORMS = (
 
 def _form(text: Column, form: str) -> Column:
     names = [part[0] for part in form.split("(?<")[1:]]
-    got = {n: _int(F.nullif(F.regexp_extract(text, form, i + 1), F.lit(""))) for i, n in enumerate(names)}
-    h, n, s = (F.coalesce(got.get(k, F.lit(None).cast("int")), F.lit(0)) for k in "hns")
-    ok = day_exists(got["y"], got["m"], got["d"]) & (h <= 23) & (n <= 59) & (s <= 59)
-    return F.when(ok, F.format_string("%04d-%02d-%02dT%02d:%02d:%02d+00:00", got["y"], got["m"], got["d"], h, n, s))
+    groups = F.array(*(_int(F.nullif(F.regexp_extract(text, form, i + 1), F.lit(""))) for i in range(len(names))))
+
+    def told(g: Column) -> Column:
+        y, m, d, h, n, s = (g[names.index(k)] if k in names else F.lit(0) for k in "ymdhns")
+        h, n, s = (F.coalesce(x, F.lit(0)) for x in (h, n, s))
+        ok = (h <= 23) & (n <= 59) & (s <= 59) & day_exists(y, m, d)
+        return F.when(ok, F.format_string("%04d-%02d-%02dT%02d:%02d:%02d+00:00", y, m, d, h, n, s))
+
+    return F.when(text.rlike(form), let(groups, told))
 
 
 def published_datetime(c: Column) -> Column:

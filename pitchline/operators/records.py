@@ -184,12 +184,14 @@ def normalized(records: DataFrame) -> DataFrame:
     pair = lambda r, i, n: F.struct(clean(r.first(i)).alias("id"), clean(r.first(n)).alias("name"))
     league = F.when(is_object, inner(r.texts["competition"], lambda own: pair(own, "competition_id", "competition_name"))).otherwise(pair(r, "outer_competition_id", "outer_competition_name"))
     sides = {f"__{s}": team(r, s) for s in ("home", "away")}
-    rows = told.withColumns(sides | {"__when": published_datetime(r.first("date"))}).filter("__home.name is not null and __away.name is not null and __when is not null")
-    return rows.select(
-        match_id(r, F.col("source_id")).alias("id"), league.alias("competition"), F.col("__home").alias("homeTeam"), F.col("__away").alias("awayTeam"), F.col("__when").alias("scheduledAt"), status(r.first("status")).alias("status"),
+    made = told.withColumns(sides).select(
+        match_id(r, F.col("source_id")).alias("id"), league.alias("competition"), F.col("__home").alias("homeTeam"), F.col("__away").alias("awayTeam"), published_datetime(r.first("date")).alias("scheduledAt"), status(r.first("status")).alias("status"),
         F.struct(F.col("source_id").alias("sourceId"), F.lit("json").alias("format"), F.lit(None).cast("string").alias("sourceFile"), F.lit(None).cast("int").alias("sourceLine"), F.lit(None).cast("array<string>").alias("sourceIds")).alias("provenance"),
         F.lit(None).cast("struct<home:int,away:int>").alias("score"), "_file", "_rec_ord",
     )
+    # a filter would be pushed below all that it names, which would then be found again for each mention; a list of one or none is not
+    whole = lambda m: m["homeTeam"]["name"].isNotNull() & m["awayTeam"]["name"].isNotNull() & m["scheduledAt"].isNotNull()
+    return made.select(F.inline(F.filter(F.array(F.struct(*made.columns)), whole)))
 
 
 def json_matches(files: DataFrame) -> DataFrame:

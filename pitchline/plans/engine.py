@@ -105,15 +105,19 @@ def normalize(spark: SparkSession, folder: str, settings: Settings, work: Worksp
 
 
 def deduplicate(rows: DataFrame, settings: Settings, work: Workspace, sink: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(merged rows with record_index, the row of counters).  sink: the path of the one document."""
+    """(merged rows with record_index, the row of counters).
+
+    sink: the path of the one document, which is written if it may hold so many rows; the table holds any number.
+    """
     told = merge.with_source(rows, F.col("provenance.sourceId"))
     unique = merge.merged(told, settings.merge_provenance)
     # first-seen order: sections, then files and records; the first part of a file's path deals it to its place
     ordered = publish.places(unique, [F.col("_section"), F.col("_file"), F.col("_rec_ord")], F.struct("_section", F.col("_file")), work)
     unique = work.save(ordered.withColumn("record_index", F.col("place") - 1).drop("place"), "unique")
     counted = work.save(merge.statistics(told), "statistics")
-    if sink:
-        sinks.write_files(sinks.styled(sinks.dedup_document(unique, counted.first(), sink, settings.clock, settings.rules.most))).count()
+    numbers = counted.first()
+    if sink and numbers["unique_rows"] <= settings.rules.most:
+        sinks.write_files(sinks.styled(sinks.dedup_document(unique, numbers, sink, settings.clock, settings.rules.most))).count()
     return unique, counted
 
 
