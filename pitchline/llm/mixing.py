@@ -34,8 +34,6 @@ from .common import Workspace
 
 #: Documents of a block and of a quantum.
 BLOCK, QUANTUM = 8, 2
-#: Documents that are ranked together in one task, about.
-RANKED = 4096
 #: Whole weights add up to less than 2**WEIGHT_BITS, so that slots of 2**40 quanta are exact in 38 digits.
 WEIGHT_BITS = 80
 #: Rows of the plan that the driver writes at a time.
@@ -189,14 +187,16 @@ def places(docs: DataFrame, weights: Weights, block: int = BLOCK, quantum: int =
     if missing := [s for s in sizes if not share.get(s, 0) > 0]:
         raise ValueError(f"sources without a positive weight: {missing[:5]}")
     plan = plan_table(work, {s: -(-n // quantum) for s, n in sizes.items()}, {s: share[s] for s in sizes})
-    # Rank within a source without bringing it together: by ranges of the draw, then within each range.
+    # Rank within a source without bringing it together: by ranges of the draw, then within each range.  The largest source has as
+    # many ranges as it has documents in each of them, about, so neither the ranges nor a range grow faster than its root.
     top = lambda c, bits: F.shiftrightunsigned(c, 64 - bits) if bits else F.lit(0).cast("long")
-    bits = max(0, (max(sizes.values(), default=0) // RANKED).bit_length())
+    largest = max(sizes.values(), default=0)
+    bits = (largest.bit_length() + 1) // 2
     cell = rows.withColumn("range", top("draw", bits))
     counted = work.save(cell.groupBy("source", "range").agg(F.count("*").alias("n")), "ranges")
     # rows that share a doc_id share a draw: where they fill a range, all ranges are cut again by a hash of the rows themselves
     most = counted.agg(F.max("n")).first()[0] or 0
-    again = max(0, (most // (4 * RANKED)).bit_length())
+    again = (most // (4 * max(1, largest >> bits))).bit_length()
     key = ["source", "range", "cut"]
     cell = cell.withColumn("cut", top("salt", again))
     if again:
