@@ -27,9 +27,11 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.saved: set[str] = set()
         atexit.register(self.close)
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
+        self.saved.add(name)
         df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{name}")
         return self.read(name, df)
 
@@ -41,6 +43,12 @@ class Workspace:
         path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def only(self, *names: str) -> None:
+        """Drop all saved tables but these, which a result still reads."""
+        for name in self.saved - set(names):
+            self.drop(name)
+        self.saved &= set(names)
+
     def close(self) -> None:
         try:
             self.drop()
