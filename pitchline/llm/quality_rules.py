@@ -226,6 +226,7 @@ def judge(docs: DataFrame) -> DataFrame:
     vectors = reduce(DataFrame.unionByName, [p.select(*KEY, *VARIABLES) for p in parts])
     state = led.join(estimates(vectors, work, sent), KEY).select("of_l", "of_s", *_STATE)
     state = work.save(state, "state")
+    work.only("measures", "state")
     told = measured.join(sent(state), (measured["g_lang"] == state["of_l"]) & (measured["g_source"] == state["of_s"]), "left")
     d2 = F.when(~F.col("base_failed"), _squared())
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

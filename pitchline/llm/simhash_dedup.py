@@ -203,6 +203,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     linked = joined.join(lows, "root").select("value", "low")
     # saved before the join: Spark splits a hot fingerprint only where both sides come as they were dealt
     labels = work.save(firsts.join(linked, "value", "left").select("value", F.coalesce("low", "first").alias("component_id")), "labels")
+    work.only("prints", "labels")
     return prints.join(labels, "value").select("doc_id", F.lower(F.lpad(F.hex("value"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -222,4 +223,6 @@ def representatives(docs: DataFrame) -> DataFrame:
     firsts = work.save(prints.groupBy("value").agg(F.min(row).alias("first")), "firsts")
     roots = components(links(firsts.select("value"), work), work)
     chosen = firsts.join(roots, "value", "left").groupBy(F.coalesce("root", "value").alias("root")).agg(F.min("first").alias("first"))
-    return work.save(chosen.select("first.doc_id", "first.digest"), "chosen")
+    chosen = work.save(chosen.select("first.doc_id", "first.digest"), "chosen")
+    work.only("chosen")
+    return chosen
