@@ -8,9 +8,10 @@ import urllib.parse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import merge, publish, records, rules, sinks
+from ..functions import text as tx
+from ..operators import lines, merge, publish, records, rules, sinks
 from ..shared import Workspace
-from ..sources import documents, files
+from ..sources import documents, files, selection
 from . import engine
 from .queries import _HOLED, expected, given, holed, query, table
 
@@ -329,3 +330,42 @@ def q61(spark, d):
     rows = o.select(F.lit("o").alias("source_id"), text.alias("json"), F.array(F.lit("f")).alias("_file"), k.alias("_rec_ord"))
     return records.normalized(rows).select(F.col("_rec_ord").alias("k"), F.col("scheduledAt").alias("kickoff"), "id", F.col("homeTeam.name").alias("home"), F.col("awayTeam.name").alias("away"))
 
+
+
+@query("q62_listings", """WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, strftime(o_orderdate, '%Y-%m-%d') AS d, o_orderkey % 3 AS f, o_orderkey % 4 AS m FROM orders),
+n AS (SELECT *, 1 + sum(CASE WHEN f != 2 THEN 2 ELSE 1 END) OVER w AS line, last_value(CASE WHEN f != 2 THEN d END IGNORE NULLS) OVER w AS day FROM o WINDOW w AS (PARTITION BY c ORDER BY k))
+SELECT 'c_' || c || '.txt:' || CAST(line AS BIGINT) AS id, 'Customer ' || c AS competition, 'H' || k AS home, 'A' || k AS away, day || CASE WHEN m = 0 THEN 'T15:30:00+00:00' ELSE 'T00:00:00+00:00' END AS kickoff,
+ CASE WHEN m = 1 THEN 'FINISHED' ELSE 'SCHEDULED' END AS status, CASE WHEN m = 1 THEN CAST(k % 7 AS INTEGER) END AS home_score, CASE WHEN m = 1 THEN CAST(k % 5 AS INTEGER) END AS away_score FROM n WHERE m != 3 AND day IS NOT NULL""")
+def q62(spark, d):
+    """All orders as lines of listings, a file for each customer: dates in two forms or carried from above, matches in three, and lines that are none."""
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    dated = F.when(k % 3 == 0, F.date_format("o_orderdate", "EEE MMM d yyyy")).when(k % 3 == 1, F.date_format("o_orderdate", "MMMM d yyyy"))
+    line = (
+        F.when(k % 4 == 0, F.format_string("  15:30 H%d v A%d @ Main Ground", k, k)).when(k % 4 == 1, F.format_string("H%d %d-%d A%d [note]", k, k % 7, k % 5, k))
+        .when(k % 4 == 2, F.format_string("• H%d vs. A%d 3-0", k, k)).otherwise("no match here")
+    )
+    lines_of = F.transform(F.array_sort(F.collect_list(F.struct(k.alias("k"), F.concat_ws("\n", dated, line).alias("text")))), lambda x: x.text)
+    listed = o.groupBy("o_custkey").agg(F.array_join(lines_of, "\n").alias("text"))
+    raw = listed.select(F.concat(F.lit("src/c_"), "o_custkey", F.lit(".txt.raw")).alias("path"), F.lit("src").alias("source_id"), F.concat(F.lit("= Customer "), "o_custkey", F.lit(" # note\n"), "text").alias("text"))
+    made = lines.text_matches(raw, 2026)
+    return made.select("id", F.col("competition.name").alias("competition"), F.col("homeTeam.name").alias("home"), F.col("awayTeam.name").alias("away"), F.col("scheduledAt").alias("kickoff"), "status", F.col("score.home").alias("home_score"), F.col("score.away").alias("away_score"))
+
+
+@query("q63_season_scores", """SELECT o_orderkey AS k, CAST(CASE o_orderkey % 4 WHEN 0 THEN 1000 - 10 * abs(y - 26) WHEN 1 THEN 1100 - 10 * least(abs(y - 26), abs(y + 1 - 26)) ELSE 0 END AS INTEGER) AS score, o_orderkey % 4 != 3 AS data FROM (SELECT *, o_orderkey % 60 AS y FROM orders)""")
+def q63(spark, d):
+    """A path for each order: with a season of one year or of two, with a year inside a number, about the data."""
+    k = F.col("o_orderkey")
+    y = k % 60
+    path = F.when(k % 4 == 0, F.format_string("20%02d/league/%d.json", y, k % 9)).when(k % 4 == 1, F.format_string("a/20%02d-20%02d/cup.txt", y, y + 1)).when(k % 4 == 2, F.format_string("qual/id20%02d7.json", y)).otherwise("league/README.txt")
+    rows = table(spark, d, "orders").select(k.alias("k"), path.alias("path"))
+    return rows.select("k", selection.season_score(F.col("path"), 2026).alias("score"), selection.is_match_data(F.col("path")).alias("data"))
+
+
+@query("q64_statuses", """SELECT o_orderkey AS k, ['SCHEDULED', 'SCHEDULED', 'SCHEDULED', 'LIVE', 'LIVE', 'LIVE', 'FINISHED', 'FINISHED', 'FINISHED', 'FINISHED', 'POSTPONED', 'CANCELLED', 'CANCELLED', 'SUSPENDED', 'UNKNOWN', 'UNKNOWN'][o_orderkey % 16 + 1] AS status FROM orders""")
+def q64(spark, d):
+    """Every spelling of a status in cases and spaces of its own, by order."""
+    k = F.col("o_orderkey")
+    said = F.array(*map(F.lit, "scheduled Upcoming NOT_STARTED live In_Play PLAYING finished ft Full_Time completed postponed cancelled CANCELED suspended over".split()), F.lit(None).cast("string"))
+    raw = F.concat(F.lit(" \t"), F.get(said, (k % 16).cast("int")), F.when(k % 2 == 0, "\u00a0").otherwise(""))
+    return table(spark, d, "orders").select(k.alias("k"), tx.status(raw).alias("status"))
