@@ -58,3 +58,38 @@ def test_prefilter_loses_nothing():
 
 def test_hundreds_of_rules():
     assert len(license_scan.RULES) >= 200
+
+
+def plain_scan(text):
+    """All rules without the keyword gate; a detection goes if an earlier one in the order holds it."""
+    words = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
+    line = " " + " ".join(words) + " "
+    found = []
+    for r in license_scan.RULES:
+        for m in re.finditer(r.pattern.pattern.decode(), line):
+            start = line[: m.start()].count(" ") - 1
+            found.append((r.label, r.priority, start, start + len(m[0].split()), r.base))
+    kept = [d for d in found if d[4]]
+    taken = []
+    for d in sorted((d for d in found if not d[4]), key=lambda d: (d[1], d[2] - d[3], d[2], d[0])):
+        if not any(a <= d[2] and d[3] <= b for a, b in taken):
+            taken.append((d[2], d[3]))
+            kept.append(d)
+    return sorted(kept, key=lambda d: (d[2], d[3], d[0]))
+
+
+def test_all_rules_without_the_gate(rows):
+    import random
+
+    rng = random.Random(2)
+    phrases = [re.sub(r"\\S\+|\\d", "x1", re.sub(r"[()?*]|\{[0-9,]+\}", "", line.split(" ", 3)[3])) for line in license_scan.SIGNATURES.strip().split("\n")]
+    phrases = [re.sub(r"\[cs\]", "s", p).replace("|", " ") for p in phrases] + ["Apache License, Version 2.0", "MIT License", "SPDX-License-Identifier: GPL-3.0-or-later", "see the LICENSE file for details", "Copyright (c) 2019", "licensed under the GNU General Public License"]
+    fill = "the of this file is in source code version 2 0 or later and".split()
+    texts = [" ".join(rng.choice(phrases) if rng.random() < 0.4 else rng.choice(fill) for _ in range(rng.randint(1, 40))) for _ in range(400)]
+    texts += [t for _, t, *_ in rows if t and len(t) < 20_000][::10]
+    labels = set()
+    for text in texts:
+        got = [tuple(d) for d in license_scan.scan(text.encode())[1]]
+        assert sorted(got) == sorted(plain_scan(text))
+        labels |= {d[0] for d in got}
+    assert len(labels) > 60
