@@ -87,4 +87,34 @@ sim AS (SELECT r, t, words, start, CAST(same AS DOUBLE) / CAST(wide + total - sa
 SELECT doc_id, item_id, similarity, CAST(start AS BIGINT) AS first_word, CAST(words AS BIGINT) AS words FROM sim JOIN (SELECT r, doc_id FROM d) USING (r) JOIN size USING (t) WHERE similarity >= 0.8
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start, words DESC) = 1"""
 
-SQL = {"op7_decontamination": DECONTAMINATION, "op8_substring_dedup": PASSAGES, "license_base": LICENSE_BASE, "pii_base": PII_BASE, "quality_base": QUALITY_BASE}
+
+def _clustering(rounds: int = 3, k: int = 16, dimensions: int = 64) -> str:
+    """Centroids after each round as rows (number, dimension, value)."""
+    steps = [f"""v AS (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {dimensions}),
+x AS (SELECT r, unnest(range({dimensions})) AS d, CAST(floor(64 * CAST(unnest(embedding) AS DOUBLE)) AS BIGINT) AS x FROM v),
+c0 AS (SELECT n, d, x AS c FROM (SELECT r, row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), ''))) - 1 AS n FROM v QUALIFY n < {k}) JOIN x USING (r))"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS (SELECT r, n, dist FROM (SELECT r, n, CAST(sum((x - c) * (x - c)) AS BIGINT) AS dist FROM x JOIN c{i} USING (d) GROUP BY r, n) QUALIFY row_number() OVER (PARTITION BY r ORDER BY dist, n) = 1)""")
+        if i < rounds:  # CAST of a floor division of integers: // rounds towards zero
+            steps.append(f"""m{i} AS (SELECT n, d, CAST(sum(x) AS BIGINT) AS s, count(*) AS k FROM a{i} JOIN x USING (r) GROUP BY n, d),
+c{i + 1} AS (SELECT n, d, coalesce((s - ((s % k) + k) % k) // k, c) AS c FROM c{i} LEFT JOIN m{i} USING (n, d))""")
+    return f"""WITH {", ".join(steps)},
+h AS (SELECT n, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY n)
+SELECT vec_id, CAST(n AS INTEGER) AS cluster, dist AS distance, CAST(sum(dist) OVER (PARTITION BY n) AS BIGINT) AS cluster_inertia, CAST(sum(dist) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM a{rounds} JOIN v USING (r) JOIN h USING (n)"""
+
+
+# crc32 is written as sums over bits: its remainder modulo 7 needs the whole value.
+LM_BASE = f"""WITH d AS ({_documents(f"regexp_extract_all({_LOWER}, '{_WORD}')")}),
+digit AS (SELECT doc_id, unnest(range(len(CAST(doc_id AS VARCHAR)))) AS i, ord(substr(CAST(doc_id AS VARCHAR), 1 + unnest(range(len(CAST(doc_id AS VARCHAR)))), 1)) AS b FROM (SELECT DISTINCT doc_id FROM d WHERE doc_id IS NOT NULL)),
+bytes AS (SELECT doc_id, list(b ORDER BY i) AS b FROM digit GROUP BY doc_id),
+crc AS (SELECT doc_id, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(b, lambda y: CAST(y AS BIGINT))),
+ lambda c, y: xor(c >> 8, list_reduce(list_prepend(xor(c & 255, y), range(8)), lambda z, s: CASE WHEN z & 1 = 1 THEN xor(z >> 1, CAST(3988292384 AS BIGINT)) ELSE z >> 1 END))), CAST(4294967295 AS BIGINT)) AS h FROM bytes),
+t AS (SELECT r, doc_id, coalesce(h, 0) % 7 = 2 AS held_out, list_append(w, ' ') AS w FROM d LEFT JOIN crc USING (doc_id)),
+a AS (SELECT r, held_out, unnest(w) AS word FROM t),
+c AS (SELECT word, count(*) AS c FROM a WHERE NOT held_out GROUP BY word),
+n AS (SELECT coalesce(sum(c), 0) AS n, count(*) AS v FROM c),
+s AS (SELECT r, count(*) AS n_tokens, count(c) AS n_known, sum(log10((coalesce(c, 0) + 1) / CAST(n + v + 1 AS DOUBLE))) AS s FROM a LEFT JOIN c USING (word) CROSS JOIN n GROUP BY r)
+SELECT doc_id, held_out, n_tokens, n_known, CAST(n AS BIGINT) AS train_tokens, round(s, 4) AS base_score FROM t JOIN s USING (r) CROSS JOIN n"""
+
+SQL = {"op12_clustering": _clustering(), "lm_base": LM_BASE, "op7_decontamination": DECONTAMINATION, "op8_substring_dedup": PASSAGES, "license_base": LICENSE_BASE, "pii_base": PII_BASE, "quality_base": QUALITY_BASE}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunk_store, decontaminate, language_id, license_scan, mixing, oracles, pii, quality_rules, simhash_dedup, substring_dedup, token_counts
+from . import chunk_store, clustering, decontaminate, erasure, language_id, license_scan, mixing, ngram_model, oracles, pii, quality_rules, simhash_dedup, substring_dedup, token_counts
 from .license_scan import TRUST
 
 
@@ -95,6 +95,28 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_store.encoded(documents(spark, sf_dir), "word_bpe_49k.json")
 
 
+def op11_erasure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of the shop's tables after victim masters and all that hangs on them are erased.  Null keys refer to nothing; repeated rows go or stay together; an empty table has no files."""
+    return erasure.erased_shop(spark, {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in erasure.MONEY})
+
+
+def op12_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of the whole vectors.  Vectors of another length or with a null or non-finite component are left out; repeated rows are vectors of their own."""
+    return clustering.clusters(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of each document.  Null and empty texts are their end alone; a null doc_id counts as an empty one; repeated rows give equal rows and count as often as they stand."""
+    docs = documents(spark, sf_dir)
+    held = ngram_model.is_held_out()
+    return ngram_model.scored(docs, ~held).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def lm_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op13's base columns, which SQL can express; sums of logarithms to four digits."""
+    return op13_lm_scoring(spark, sf_dir).withColumn("base_score", F.round("base_score", 4)).drop("score")
+
+
 def license_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op1's base columns, which SQL can express."""
     return op1_license_scan(spark, sf_dir).drop("labels", "score")
@@ -111,10 +133,10 @@ def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_license_scan, op2_token_counts, op3_language_id, op4_simhash_dedup, op5_pii, op6_mixing, op7_decontamination, op8_substring_dedup, op9_quality_rules, op10_token_output)
-    return {f.__name__: f for f in (*found, license_base, pii_base, quality_base)}
+    found = (op1_license_scan, op2_token_counts, op3_language_id, op4_simhash_dedup, op5_pii, op6_mixing, op7_decontamination, op8_substring_dedup, op9_quality_rules, op10_token_output, op11_erasure, op12_clustering, op13_lm_scoring)
+    return {f.__name__: f for f in (*found, license_base, pii_base, quality_base, lm_base)}
 
 
 def oracle_sql() -> dict[str, str]:
-    """The others need XXH64, a tokenizer, centroids or iterated estimates: they are tested against brute force."""
+    """The others need XXH64, a tokenizer, centroids or iterated estimates, or write files: they are tested against brute force."""
     return dict(oracles.SQL)
