@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from functools import reduce
 
@@ -164,35 +163,3 @@ def gate(found: DataFrame, rules: Rules) -> DataFrame:
     must = F.filter(F.array(*map(F.lit, rules.must_pass)), lambda c: F.array_contains(F.col("failed"), c))
     ok = F.col("errors") == 0
     return sums.select(F.when(ok, "PASS").otherwise("FAIL").alias("status"), ok.alias("publication_allowed"), "errors", "warnings", must.alias("required_failures"))
-
-
-def schema_errors(source_ids: Column | None = None) -> Column:
-    """Paths of a cleaned match row that break the published schema."""
-    ids = F.col("sourceIds") if source_ids is None else source_ids
-    listed = F.coalesce(ids, F.array().cast("array<string>"))
-    checks = (
-        (F.coalesce(F.col("id"), F.lit("")) == "", "id"), (F.col("competition").isNull(), "competition"), (F.col("homeTeam").isNull(), "homeTeam"), (F.col("awayTeam").isNull(), "awayTeam"),
-        (F.col("scheduledAt").isNull(), "scheduledAt"), (~F.coalesce(F.col("status"), F.lit("")).isin(*STATUSES), "status"),
-        (F.exists(listed, lambda s: F.coalesce(s, F.lit("")) == ""), "provenance.sourceIds"), (F.size(F.array_distinct(listed)) < F.size(listed), "provenance.sourceIds"),
-    )
-    return F.array_distinct(F.array_compact(F.array(*(F.when(bad, path) for bad, path in checks))))
-
-
-#: The members of the published document.
-PAYLOAD = ("schemaVersion", "generatedAt", "pipeline", "sourceCount", "sourceIds", "matchCount", "datasetHash", "matches")
-
-
-def payload_errors(document: object) -> list[str]:
-    """Paths at which a whole document, but for its matches, breaks the published schema."""
-    if not isinstance(document, dict):
-        return ["$"]
-    ids, count = document.get("sourceIds"), lambda k: isinstance(document.get(k), int) and not isinstance(document.get(k), bool) and document[k] >= 0
-    listed = isinstance(ids, list)
-    bad = {
-        "schemaVersion": document.get("schemaVersion") != "1.0", "generatedAt": not isinstance(document.get("generatedAt"), str),
-        "pipeline": document.get("pipeline") != {"stage": "BUILD_MATCHES", "validationStatus": "PASS", "publicationAllowed": True},
-        "sourceCount": not count("sourceCount"), "sourceIds": not listed or len(set(map(str, ids))) < len(ids) or not all(isinstance(i, str) and i for i in ids) or document.get("sourceCount") == 0 and bool(ids),
-        "matchCount": not count("matchCount"), "datasetHash": not re.fullmatch("[a-fA-F0-9]{64}", str(document.get("datasetHash"))),
-        "matches": not isinstance(document.get("matches"), list) or document.get("matchCount") == 0 and bool(document["matches"]),
-    }
-    return [k for k in PAYLOAD if k not in document or bad[k]] + [k for k in document if k not in PAYLOAD]

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import merge, publish, rules, sinks
+from ..operators import merge, publish, rules, schema, sinks
 from ..shared import Workspace
 from ..sources import documents, files, selection
 
@@ -35,6 +35,8 @@ class Settings:
     merge_provenance: bool = False
     #: Findings that a report lists at most; the table of findings holds all.
     listed: int = 100_000
+    #: The schema document of what is published; its part MATCH is that of a row.
+    schema: dict = field(default_factory=lambda: schema.PUBLISHED)
 
 
 # ------------------------------------------------------------------ fetch
@@ -124,20 +126,23 @@ def deduplicate(rows: DataFrame, settings: Settings, work: Workspace, sink: str
 # ------------------------------------------------------------------ validate
 
 
-def validate(rows: DataFrame, settings: Settings, work: Workspace, raw: str | None = None, schema: bool = True) -> DataFrame:
+def validate(rows: DataFrame, settings: Settings, work: Workspace, raw: str | None = None, has_schema: bool = True) -> DataFrame:
     """All findings of rows with record_index.  raw: the column with the rows' JSON texts, if they come from a document."""
-    cleaned = rows
-    broken = rules.schema_errors(F.col("provenance.sourceIds")) if settings.rules.schema and schema else None
-    return work.save(rules.findings(cleaned, settings.rules, F.col(raw) if raw else None, work, broken), "findings")
+    broken = None
+    if settings.rules.schema and has_schema:
+        told = rows.withColumn("__json", schema.published_row(F.col("provenance.sourceIds")))
+        rows = schema.check(told, "__json", schema.Schema(settings.schema), schema.MATCH).drop("__json")
+        broken = F.array_distinct(F.transform("faults", lambda f: f.path))
+    return work.save(rules.findings(rows, settings.rules, F.col(raw) if raw else None, work, broken), "findings")
 
 
-def report(found: DataFrame, count: int, settings: Settings, input_file: str, schema: bool = True) -> dict:
+def report(found: DataFrame, count: int, settings: Settings, input_file: str, has_schema: bool = True) -> dict:
     """The report on a run's findings.  More findings than are listed at most are an error: their table holds them."""
     gate = rules.gate(found, settings.rules).first()
     rows = found.orderBy("stage", F.coalesce("record_index", F.lit(-1)), "seq").limit(settings.listed + 1).collect()
     if len(rows) > settings.listed:
         raise ValueError(f"more than {settings.listed} findings")
-    passed, skipped, own = rules.checks_told(settings.rules, schema)
+    passed, skipped, own = rules.checks_told(settings.rules, has_schema)
     if any(r["check"] == "schemaValidation" for r in rows):
         passed = []
     say = lambda r: {"check": r["check"], "message": r["message"]} | ({} if r["record_index"] is None else {"recordIndex": r["record_index"]})
@@ -185,8 +190,8 @@ def build(rows: DataFrame, order: tuple[str, ...], validation: dict, settings: S
         raise Blocked("Final validation status is not PASS.")
     if made["pipeline"]["publicationAllowed"] is not True:
         raise Blocked("Publication was not explicitly authorized.")
-    if bad := rules.payload_errors(made):
-        raise Blocked(f"The document breaks the published schema at {bad[0]}.")
+    if bad := schema.document_faults(rows.sparkSession, made, schema.Schema(settings.schema)):
+        raise Blocked(f"The document breaks the published schema at {bad[0][0]}.")
     return made
 
 

@@ -416,17 +416,6 @@ def q38(spark, d):
     return rules.gate(rules.findings(holed(spark, d), rules.Rules(), work=Workspace(spark, "q38")), rules.Rules()).select("status", "publication_allowed", "errors", "warnings", F.size("required_failures").cast("long").alias("failed_checks"))
 
 
-_SCHEMA = [(1, "m1", "h", "2026", "LIVE", ["a", "b"], []), (2, "", "h", "2026", "live", ["a", "a"], ["id", "status", "provenance.sourceIds"]), (3, "m3", None, None, "UNKNOWN", [""], ["homeTeam", "scheduledAt", "provenance.sourceIds"])]
-
-
-@query("q39_schema_rules", expected("i path", [(r[0], p) for r in _SCHEMA for p in r[6]], {"i": "INTEGER"}))
-def q39(spark, d):
-    rows = given(spark, "i int, id string, home string, scheduledAt string, status string, sourceIds array<string>", [r[:6] for r in _SCHEMA])
-    pair = F.struct(F.lit(None).cast("string").alias("id"), F.lit("n").alias("name"))
-    whole = rows.withColumns({"competition": pair, "awayTeam": pair, "homeTeam": F.when(F.col("home").isNotNull(), pair)})
-    return whole.select("i", F.explode(rules.schema_errors()).alias("path"))
-
-
 @query("q40_clean_match", f"WITH {_ORDERS} SELECT home, kickoff, cid, 'orders' AS sources, status FROM merged")
 def q40(spark, d):
     made = publish.canonical(merge.merged(order_matches(spark, d)))

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 import urllib.parse
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import lines, merge, publish, records, rules, sinks
+from ..operators import lines, merge, publish, records, rules, schema, sinks
 from ..shared import Workspace
 from ..sources import documents, files, selection
 from . import engine
@@ -279,6 +280,48 @@ def q58(spark, d):
     return found.filter("check = 'schemaValidation'").select("severity", "message")
 
 
+_SHAPE = {
+    "type": "object", "additionalProperties": False, "required": ["id", "team", "status"],
+    "properties": {
+        "id": {"$ref": "#/$defs/text"}, "team": {"$ref": "#/$defs/team"}, "status": {"enum": ["LIVE", 7, None]}, "when": {"type": ["string", "null"]}, "n": {"type": "integer", "minimum": 0},
+        "ids": {"type": "array", "uniqueItems": True, "maxItems": 3, "items": {"$ref": "#/$defs/text"}}, "code": {"pattern": "^[A-Z]{2}[0-9]+$", "maxLength": 8}, "odd name": {"const": {"a": [1, True]}},
+        "side": {"anyOf": [{"const": "home"}, {"type": "object", "required": ["id"]}]}, "free": {"type": "object", "additionalProperties": {"type": "boolean"}},
+    },
+    "allOf": [{"if": {"properties": {"n": {"const": 0}}, "required": ["n"]}, "then": {"properties": {"ids": {"maxItems": 0}}}}],
+    "$defs": {"text": {"type": "string", "minLength": 1}, "team": {"type": "object", "required": ["name"], "properties": {"name": {"type": ["string", "null"]}}, "additionalProperties": False}},
+}
+# k % n == r breaks keyword at path; each member of the record reads one remainder.
+_BROKEN = [
+    ("id", "minLength", 9, 0), ("id", "type", 9, 1), ("id", "required", 9, 2), ("team", "required", 7, 0), ("team.more", "additionalProperties", 7, 1), ("team.name", "type", 7, 2), ("team", "type", 7, 3), ("team.name", "required", 7, 4),
+    ("status", "enum", 5, 0), ("when", "type", 8, 0), ("n", "type", 6, 0), ("n", "minimum", 6, 1), ("ids", "uniqueItems", 11, 0), ("ids[1]", "minLength", 11, 1), ("ids", "maxItems", 11, 2), ("code", "pattern", 10, 0), ("code", "maxLength", 10, 1),
+    ("odd name", "const", 12, 0), ("side", "anyOf", 13, 0), ("free.x", "type", 14, 0), ("extra", "additionalProperties", 15, 0), ("", "json", 101, 0),
+]
+
+
+def shaped(k: Column) -> Column:
+    """A JSON record for each k, with faults by its remainders; numbers of other spellings, nulls and absent members are none."""
+    pick = lambda n, other, **odd: reduce(lambda c, r: c.when(k % n == int(r[1:]), odd[r]), odd, F.when(F.lit(False), "")).otherwise(other)
+    members = [
+        pick(9, '"id":"c",', r0='"id":"",', r1='"id":5,', r2=""),
+        pick(7, '"team":{"name":null},', r0="", r1='"team":{"name":"x","more":1},', r2='"team":{"name":[]},', r3='"team":"x",', r4='"team":{},'),
+        pick(5, '"status":7.0,', r0='"status":"live",', r1='"status":null,', r2='"status":"LIVE",'), pick(8, '"when":"2026",', r0='"when":1,', r1='"when":null,'),
+        pick(6, '"n":3,', r0='"n":2.5,', r1='"n":-1,', r2='"n":0,', r3='"n":4.0,', r4=""), pick(11, '"ids":["a","b"],', r0='"ids":["a","a"],', r1='"ids":["a",""],', r2='"ids":["a","b","c","d"],', r3='"ids":[],'),
+        pick(10, '"code":"AB1",', r0='"code":"ab",', r1='"code":"AB1234567",', r2='"code":9,'), pick(12, '"odd name":{"a":[1.0,true]},', r0='"odd name":{"a":[1,1]},', r1=""), pick(13, '"side":{"id":1},', r0='"side":"away",', r1='"side":"home",'),
+        pick(15, "", r0='"extra":null,'), pick(14, '"free":{"x":true}', r0='"free":{"x":1}', r1='"free":{}'),
+    ]
+    return F.when(k % 101 == 0, "{no json").otherwise(F.concat(F.lit("{"), *members, F.lit("}")))
+
+
+_IDS_AT_ZERO = "SELECT c_custkey AS i, 'ids' AS path, 'maxItems' AS keyword FROM customer WHERE c_custkey % 101 != 0 AND c_custkey % 6 = 2 AND c_custkey % 11 != 3"
+
+
+@query("q39_schema_rules", " UNION ALL ".join([*(f"SELECT c_custkey AS i, '{path}' AS path, '{keyword}' AS keyword FROM customer WHERE c_custkey % {n} = {r}" + (" AND c_custkey % 101 != 0" if n != 101 else "") for path, keyword, n, r in _BROKEN), _IDS_AT_ZERO]))
+def q39(spark, d):
+    """Faults of records of all customers under a schema with a fault for each kind of keyword."""
+    told = table(spark, d, "customer").select(F.col("c_custkey").alias("i"), shaped(F.col("c_custkey")).alias("text"))
+    return schema.check(told, "text", schema.Schema(_SHAPE)).select("i", F.inline("faults"))
+
+
 @query("q59_report", """WITH c AS (SELECT count(*) AS n, count(*) FILTER (c_custkey % 9 = 0) AS noid, count(*) FILTER (c_custkey % 14 = 0) AS noday, count(*) FILTER (c_custkey % 9 = 0 AND c_custkey % 14 = 0) AS nokey FROM customer), e AS (SELECT *, 2 * noid + 2 * noday + CAST(n > 10000 AS BIGINT) AS errors FROM c)
 SELECT 'FAIL' AS status, n AS records, errors, nokey + 1 AS warnings, '' AS passed, 'schemaValidation' AS skipped, 'requiredFields,matchIdentity,dateTimeValidation' || CASE WHEN n > 10000 THEN ',datasetValidation' ELSE '' END AS failed, false AS allowed, errors AS listed_errors, nokey + 1 AS listed_warnings FROM e""")
 def q59(spark, d):
@@ -286,8 +329,8 @@ def q59(spark, d):
     work = Workspace(spark, "q59")
     rows = customer_rows(spark, d)
     settings = engine.Settings(CLOCK, 2026, rules.Rules(schema=True))
-    found = engine.validate(rows, settings, work, schema=False)
-    publish.write_atomically(spark, engine.report(found, rows.count(), settings, "deduplicated/matches.json", schema=False), f"{work.path}/validation-report.json")
+    found = engine.validate(rows, settings, work, has_schema=False)
+    publish.write_atomically(spark, engine.report(found, rows.count(), settings, "deduplicated/matches.json", has_schema=False), f"{work.path}/validation-report.json")
     part = "status:string,recordCount:bigint,errors:bigint,warnings:bigint,passedChecks:array<string>,skippedChecks:array<string>,requiredCheckFailures:array<string>,publicationAllowed:boolean"
     told = spark.read.text(f"{work.path}/validation-report.json", wholetext=True).select(F.from_json("value", f"struct<validation:struct<{part}>,errors:array<string>,warnings:array<string>>").alias("r"))
     joined = lambda c: F.array_join(f"r.validation.{c}", ",")
