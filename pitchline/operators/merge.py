@@ -66,15 +66,17 @@ def best(value: Column, quality: Column, order: tuple[str, ...] = ORDER) -> Colu
     return held["v"]
 
 
-def merged(rows: DataFrame, merge_provenance: bool = False) -> DataFrame:
+def merged(rows: DataFrame, merge_provenance: bool = False, keep_key: bool = False) -> DataFrame:
     """One row for each safe identity, then the rows without; section and order columns tell the order, `records` how many were merged.
 
-    A row without a safe identity is a group of its own, so all rows go through one aggregation.
+    A row without a safe identity is a group of its own, so all rows go through one aggregation.  keep_key: keep what groups them, identity and alone.
     """
     safe = F.col("identity.type") != "NO_SAFE_IDENTITY"
     told = rows.withColumn("identity", identity()).withColumn("alone", F.when(~safe, F.struct(*ORDER)))
     order = F.struct(*ORDER)
     part = lambda side, f: best(F.col(f"{side}.{f}"), value_quality(F.col(f"{side}.{f}")))
+    # a team that is an object in no row of the group stays none
+    team = lambda s: F.when(F.max(F.col(s).isNotNull()), F.struct(part(s, "id").alias("id"), part(s, "name").alias("name")))
     whole = value_quality(F.col("competition.id")) + value_quality(F.col("competition.name"))
     first = lambda c: F.min_by(F.struct(F.col(c).alias("v")), order)["v"].alias(c)
     provenance = first("provenance")
@@ -83,12 +85,12 @@ def merged(rows: DataFrame, merge_provenance: bool = False) -> DataFrame:
         provenance = F.min_by(F.struct(F.col("provenance").alias("v")), order)["v"].withField("sourceIds", every).alias("provenance")
     unique = told.groupBy("identity", "alone").agg(
         best(F.col("id"), value_quality(F.col("id"))).alias("id"), best(F.col("competition"), whole).alias("competition"),
-        *(F.struct(part(s, "id").alias("id"), part(s, "name").alias("name")).alias(s) for s in ("homeTeam", "awayTeam")),
+        *(team(s).alias(s) for s in ("homeTeam", "awayTeam")),
         *(best(F.col(c), value_quality(F.col(c))).alias(c) for c in ("scheduledAt", "status")),
         provenance, first("score"), F.min(order).alias("first"), F.count("*").alias("records"),
     )
     section = F.when(F.col("alone").isNull(), 0).otherwise(1).alias("_section")
-    return unique.select("id", "competition", "homeTeam", "awayTeam", "scheduledAt", "status", "provenance", "score", section, "first._file", "first._rec_ord", "records")
+    return unique.select(*(("identity", "alone") if keep_key else ()), "id", "competition", "homeTeam", "awayTeam", "scheduledAt", "status", "provenance", "score", section, "first._file", "first._rec_ord", "records")
 
 
 def statistics(rows: DataFrame) -> DataFrame:

@@ -20,29 +20,40 @@ NESTED = re.sub(r"(^|, )(\w+) ", r"\1\2:", MATCH)
 FIELDS = ("id", "competition", "homeTeam", "awayTeam", "scheduledAt", "status", "provenance", "score")
 
 
-def write_files(rows: DataFrame) -> DataFrame:
-    """rows: path (a URI), content (binary).  Writes each row as a file, beside its place first, and tells (path, size) of each.
+def write_files(rows: DataFrame, isolate: bool = False) -> DataFrame:
+    """rows: path (a URI), content (binary).  Writes each row as a file, beside its place first, and tells (path, size, error) of each.
 
     Files are written by the tasks, in any file system that pyarrow knows; a task that runs again writes the same files.
+    isolate: a file that cannot be written is told with its error and leaves the others; otherwise it ends the job.
     """
 
     def run(batches):
         import pyarrow
         import pyarrow.fs
 
+        def put(path: str, content: bytes) -> None:
+            uri = "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
+            system, place = pyarrow.fs.FileSystem.from_uri(uri)
+            system.create_dir(place.rsplit("/", 1)[0], recursive=True)
+            with system.open_output_stream(place + ".tmp") as out:
+                out.write(content)
+            system.move(place + ".tmp", place)
+
         for batch in batches:
-            sizes = []
+            sizes, errors = [], []
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                uri = "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path
-                system, place = pyarrow.fs.FileSystem.from_uri(uri)
-                system.create_dir(place.rsplit("/", 1)[0], recursive=True)
-                with system.open_output_stream(place + ".tmp") as out:
-                    out.write(content or b"")
-                system.move(place + ".tmp", place)
-                sizes.append(len(content or b""))
-            yield pyarrow.RecordBatch.from_arrays([batch.column(0), pyarrow.array(sizes, pyarrow.int64())], ["path", "size"])
+                error = None
+                try:
+                    put(path, content or b"")
+                except (OSError, pyarrow.ArrowException) as e:
+                    if not isolate:
+                        raise
+                    error = str(e)
+                sizes.append(0 if error else len(content or b""))
+                errors.append(error)
+            yield pyarrow.RecordBatch.from_arrays([batch.column(0), pyarrow.array(sizes, pyarrow.int64()), pyarrow.array(errors, pyarrow.string())], ["path", "size", "error"])
 
-    return rows.select("path", "content").mapInArrow(run, "path string, size long")
+    return rows.select("path", "content").mapInArrow(run, "path string, size long, error string")
 
 
 def styled(texts: DataFrame) -> DataFrame:
@@ -75,17 +86,21 @@ def _matches() -> Column:
     return F.transform(listed, lambda x: x.match)
 
 
+def normalized_path(folder: str, source: Column, file: Column) -> Column:
+    """Where the document of a raw file goes; file: the parts of its path."""
+    name = F.regexp_replace(F.regexp_replace(F.element_at(file, -1), r"\.raw$", ""), "[^A-Za-z0-9_.-]", "_")
+    return F.concat(F.lit(folder.rstrip("/") + "/"), F.coalesce(source, F.lit("")), F.lit("__"), name, F.lit(".json"))
+
+
 def normalized_documents(rows: DataFrame, folder: str, at: str) -> DataFrame:
     """(path, text): a document for each raw file with its matches, in the order of the records; files without matches have none.
 
     Only the matches of one file meet in one task.
     """
     file = F.array_join("_file", "/")
-    name = F.regexp_replace(F.regexp_replace(F.element_at("_file", -1), r"\.raw$", ""), "[^A-Za-z0-9_.-]", "_")
     made = rows.groupBy("_file", F.col("provenance.sourceId").alias("source")).agg(F.count("*").alias("n"), _matches().alias("matches"))
     document = F.struct(F.lit(VERSION).alias("schemaVersion"), F.col("source").alias("sourceId"), file.alias("sourceFile"), F.lit(at).alias("normalizedAt"), F.col("n").alias("matchCount"), "matches")
-    path = F.concat(F.lit(folder.rstrip("/") + "/"), F.coalesce("source", F.lit("")), F.lit("__"), name, F.lit(".json"))
-    return made.select(path.alias("path"), F.to_json(document, {"ignoreNullFields": "false"}).alias("text"))
+    return made.select(normalized_path(folder, F.col("source"), F.col("_file")).alias("path"), F.to_json(document, {"ignoreNullFields": "false"}).alias("text"))
 
 
 # The counters of the dedup document, and what statistics() calls them.

@@ -9,10 +9,11 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import merge, publish, rules, schema, sinks
+from ..operators import changes, merge, publish, rules, schema, sinks
 from ..shared import Workspace
 from ..sources import documents, files, selection
 
@@ -35,6 +36,10 @@ class Settings:
     merge_provenance: bool = False
     #: Findings that a report lists at most; the table of findings holds all.
     listed: int = 100_000
+    #: Leave what is published if its data are the same.
+    only_if_changed: bool = True
+    #: The share by which the number of published matches may move; more is told as a drop or an increase.
+    most_change: float = 0.8
     #: The schema document of what is published; its part MATCH is that of a row.
     schema: dict = field(default_factory=lambda: schema.PUBLISHED)
 
@@ -95,15 +100,28 @@ def fetch_summary(results: DataFrame) -> DataFrame:
 def normalize(spark: SparkSession, folder: str, settings: Settings, work: Workspace, sink: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(match rows, report of the files) of the raw files below a folder; no match at all is Blocked.
 
-    sink: a folder for a document of each raw file with matches.
+    sink: a folder for a document of each raw file with matches.  A file whose document cannot be written failed: its matches go, the others stay.
     """
-    raw = files.raw_files(spark, folder)
+    try:
+        raw = files.raw_files(spark, folder)
+    except AnalysisException as e:  # the folder is not there, as after a fetch without a success
+        raise Blocked("raw/ directory does not exist.") from e
+    if raw.isEmpty():
+        raise Blocked("No raw files found.")
     rows = work.save(files.file_matches(raw, settings.as_of_year, settings.text_form), "normalized")
     if rows.isEmpty():
         raise Blocked("Zero matches were normalized.")
+    lost = None
     if sink:
-        sinks.write_files(sinks.styled(sinks.normalized_documents(rows, sink, settings.clock))).count()
-    return rows, work.save(files.file_report(raw, rows), "files")
+        written = work.save(sinks.write_files(sinks.styled(sinks.normalized_documents(rows, sink, settings.clock)), isolate=True), "written")
+        bad = written.filter("error is not null").select("path", F.col("error").alias("lost"))
+        if not bad.isEmpty():
+            placed = rows.withColumn("path", sinks.normalized_path(sink, F.col("provenance.sourceId"), F.col("_file")))
+            lost = work.save(placed.select("_file", "path").distinct().join(bad, "path").drop("path"), "lost")
+            rows = work.save(rows.join(lost.select("_file"), "_file", "left_anti").select(*rows.columns), "kept")
+            if rows.isEmpty():
+                raise Blocked("Zero matches were normalized.")
+    return rows, work.save(files.file_report(raw, rows, lost), "files")
 
 
 def deduplicate(rows: DataFrame, settings: Settings, work: Workspace, sink: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -202,7 +220,7 @@ def run(spark: SparkSession, folder: str, settings: Settings, registry: str | No
     """All stages over a folder (a URI that driver and executors share); returns the counters of each stage, METRIC.
 
     registry: where sources are fetched from first; without one, raw files stand in folder/raw.  The last two metrics are
-    the status (PUBLISHED or BLOCKED) and what stopped the run.  A blocked run leaves what was published before.
+    the status (PUBLISHED, UNCHANGED or BLOCKED) and what stopped the run.  A blocked run leaves what was published before.
     """
     folder = folder.rstrip("/")
     work = Workspace(spark, "run")
@@ -229,9 +247,20 @@ def run(spark: SparkSession, folder: str, settings: Settings, registry: str | No
             stands = None
         allowed = permission(stands, settings.clock)
         made = build(unique, ("_section", "_file", "_rec_ord"), allowed, settings)
-        publish.write_atomically(spark, made, f"{folder}/data/matches.json")
+        published_at = f"{folder}/data/matches.json"
+        try:
+            last = documents.document(spark, published_at, "")
+            last = last if isinstance(last, dict) else {}
+        except (FileNotFoundError, ValueError):
+            last = {}
         say("build", **{k: made[k] for k in ("sourceCount", "matchCount", "datasetHash")})
-        status = "PUBLISHED"
+        if last:
+            say("build", drift=changes.drift(last.get("matchCount"), made["matchCount"], settings.most_change))
+        if settings.only_if_changed and last.get("datasetHash") == made["datasetHash"]:
+            status = "UNCHANGED"
+        else:
+            publish.write_atomically(spark, made, published_at)
+            status = "PUBLISHED"
     except (Blocked, ValueError, FileNotFoundError) as e:
         error = str(e)
     say("run", status=status, error=error)

@@ -1,6 +1,6 @@
 """The named queries of the engine and their SQL."""
 
-from . import stage_queries  # noqa: F401  (adds its queries)
+from . import stage_queries, state_queries  # noqa: F401  (add their queries)
 from .queries import QUERIES, SQL
 
 

@@ -71,7 +71,7 @@ def q46(spark, d):
     return engine.normalize(spark, raw_nations(spark, d, work.path), SETTINGS, work)[1]
 
 
-@query("q47_file_counters", f"WITH {_RAW} SELECT (SELECT count(*) FROM raw) AS raw_files, (SELECT count(DISTINCT path) FROM rows) AS successful_files, (SELECT count(*) FROM raw) - (SELECT count(DISTINCT path) FROM rows) AS empty_files, (SELECT count(*) FROM rows) AS normalized_matches")
+@query("q47_file_counters", f"WITH {_RAW} SELECT (SELECT count(*) FROM raw) AS raw_files, (SELECT count(DISTINCT path) FROM rows) AS successful_files, (SELECT count(*) FROM raw) - (SELECT count(DISTINCT path) FROM rows) AS empty_files, 0 AS failed_files, (SELECT count(*) FROM rows) AS normalized_matches")
 def q47(spark, d):
     return files.file_counters(q46(spark, d))
 
@@ -156,9 +156,9 @@ def q52(spark, d):
 # ------------------------------------------------------------------ the whole run
 
 
-def raw_customers(spark: SparkSession, d: str, folder: str) -> None:
-    """customers as raw JSON, a file for each nation; each tenth customer stands twice, the second time without a status."""
-    c = table(spark, d, "customer")
+def raw_customers(spark: SparkSession, d: str, folder: str, some: Column | None = None) -> None:
+    """customers as raw JSON, a file for each nation; each tenth customer stands twice, the second time without a status.  some: which nations."""
+    c = table(spark, d, "customer").filter(F.lit(True) if some is None else some)
     k = F.col("c_custkey")
     day = F.date_format(F.date_add(F.lit("2026-01-01").cast("date"), (k % 365).cast("int")), "yyyy-MM-dd")
     once = F.to_json(F.struct(
@@ -189,12 +189,17 @@ def q53(spark, d):
     return each.select((F.col("at") + 1).cast("long").alias("place"), "m.id", F.col("m.homeTeam.name").alias("home"), F.col("m.awayTeam.name").alias("away"), F.col("m.competition.name").alias("competition"), F.col("m.scheduledAt").alias("kickoff"), "m.status", F.array_join("m.provenance.sourceIds", ",").alias("sources"))
 
 
-@query("q54_run_metrics", f"""WITH {_PUBLISHED}, c AS (SELECT count(*) AS n, count(*) FILTER (c_custkey % 10 = 0) AS twice, count(DISTINCT c_nationkey) AS files, count(DISTINCT c_nationkey % 3) AS sources FROM customer), m AS (SELECT *, n <= 10000 AS ok FROM c)
-SELECT stage, metric, CAST(value AS VARCHAR) AS value FROM (SELECT unnest([{{'stage': 'normalize', 'metric': 'raw_files', 'value': CAST(files AS VARCHAR)}}, {{'stage': 'normalize', 'metric': 'successful_files', 'value': CAST(files AS VARCHAR)}}, {{'stage': 'normalize', 'metric': 'empty_files', 'value': '0'}},
- {{'stage': 'normalize', 'metric': 'normalized_matches', 'value': CAST(n + twice AS VARCHAR)}}, {{'stage': 'deduplicate', 'metric': 'input', 'value': CAST(n + twice AS VARCHAR)}}, {{'stage': 'deduplicate', 'metric': 'identified', 'value': CAST(n + twice AS VARCHAR)}},
- {{'stage': 'deduplicate', 'metric': 'without_identity', 'value': '0'}}, {{'stage': 'deduplicate', 'metric': 'duplicates', 'value': CAST(twice AS VARCHAR)}}, {{'stage': 'deduplicate', 'metric': 'unique_rows', 'value': CAST(n AS VARCHAR)}}, {{'stage': 'deduplicate', 'metric': 'collisions', 'value': '0'}},
- {{'stage': 'validate', 'metric': 'status', 'value': 'PASS'}}, {{'stage': 'validate', 'metric': 'recordCount', 'value': CAST(n AS VARCHAR)}}, {{'stage': 'validate', 'metric': 'errors', 'value': '0'}}, {{'stage': 'validate', 'metric': 'warnings', 'value': '0'}},
- {{'stage': 'build', 'metric': 'sourceCount', 'value': CAST(sources AS VARCHAR)}}, {{'stage': 'build', 'metric': 'matchCount', 'value': CAST(n AS VARCHAR)}}, {{'stage': 'build', 'metric': 'datasetHash', 'value': hash}}, {{'stage': 'run', 'metric': 'status', 'value': 'PUBLISHED'}}, {{'stage': 'run', 'metric': 'error', 'value': ''}}], recursive := true) FROM m, h WHERE ok)""")
+# stage, metric, value and whether only a published (true) or a blocked run (false) tells it
+_METRICS = [
+    ("normalize", "raw_files", "files", None), ("normalize", "successful_files", "files", None), ("normalize", "empty_files", "0", None), ("normalize", "failed_files", "0", None), ("normalize", "normalized_matches", "n + twice", None),
+    ("deduplicate", "input", "n + twice", None), ("deduplicate", "identified", "n + twice", None), ("deduplicate", "without_identity", "0", None), ("deduplicate", "duplicates", "twice", None), ("deduplicate", "unique_rows", "n", None), ("deduplicate", "collisions", "0", None),
+    ("validate", "status", "CASE WHEN ok THEN 'PASS' ELSE 'FAIL' END", None), ("validate", "recordCount", "n", None), ("validate", "errors", "CASE WHEN ok THEN 0 ELSE 1 END", None), ("validate", "warnings", "0", None),
+    ("build", "sourceCount", "sources", True), ("build", "matchCount", "n", True), ("build", "datasetHash", "hash", True), ("run", "status", "'PUBLISHED'", True), ("run", "error", "''", True),
+    ("run", "status", "'BLOCKED'", False), ("run", "error", "'Validation status is not PASS. Actual status: ''FAIL''. Publication is blocked.'", False),
+]
+
+
+@query("q54_run_metrics", f"WITH {_PUBLISHED}, c AS (SELECT count(*) AS n, count(*) FILTER (c_custkey % 10 = 0) AS twice, count(DISTINCT c_nationkey) AS files, count(DISTINCT c_nationkey % 3) AS sources FROM customer), m AS (SELECT *, n <= 10000 AS ok FROM c, h) " + " UNION ALL ".join(f"SELECT '{stage}' AS stage, '{metric}' AS metric, CAST({value} AS VARCHAR) AS value FROM m" + ("" if when is None else f" WHERE ok = {when}") for stage, metric, value, when in _METRICS))
 def q54(spark, d):
     work = Workspace(spark, "q54")
     raw_customers(spark, d, work.path)

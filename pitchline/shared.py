@@ -17,6 +17,11 @@ def shared_folder(spark: SparkSession) -> str:
     return named or f"file://{tempfile.gettempdir()}/checkpoints"
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own for files that stay."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 class Workspace:
     """Intermediate tables of one query.
 

@@ -27,9 +27,13 @@ def below(spark: SparkSession, folder: str, path: Column) -> Column:
 def raw_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path below the folder, source_id, format, text) of each *.raw file; format is json, text or unknown.
 
-    Text is null for JSON that is no UTF-8 and for unknown files.  Files are in the order of operators.merge.file_key(path).
+    Text is null for JSON that is no UTF-8 and for unknown files.  Files without a byte are not listed.  Files are in the order of operators.merge.file_key(path).
     """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.raw").load(folder)
+    return described(spark, spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.raw").load(folder), folder)
+
+
+def described(spark: SparkSession, found: DataFrame, folder: str) -> DataFrame:
+    """raw_files() of files (path, content) that were found below a folder."""
     path = below(spark, folder, F.col("path"))
     name = F.lower(F.element_at(F.split(path, "/"), -1))
     exact = F.try_validate_utf8(F.col("content").cast("string"))
@@ -44,20 +48,25 @@ def file_matches(files: DataFrame, as_of_year: int, text_form: str = "text") ->
     return union(records.json_matches(files.filter("format = 'json'")), lines.text_matches(files.filter("format = 'text'"), as_of_year, text_form))
 
 
-def file_report(files: DataFrame, rows: DataFrame) -> DataFrame:
-    """(path, source_id, format, matches, status, error) of each file: one that cannot be read is empty and leaves the others."""
+def file_report(files: DataFrame, rows: DataFrame, lost: DataFrame | None = None) -> DataFrame:
+    """(path, source_id, format, matches, status, error) of each file: one that cannot be read is empty and leaves the others.
+
+    lost: (_file, lost) of the files whose matches could not be saved, and why; they failed and count no matches.
+    """
     counts = rows.groupBy("_file").agg(F.count("*").alias("matches"))
     read = F.when(F.col("format") == "json", F.try_parse_json("text").isNull())
     error = F.when(F.col("format") == "unknown", "unknown format").when(F.col("text").isNull(), "no UTF-8").when(read, "no JSON")
     told = files.select("path", "source_id", "format", error.alias("error"), file_key(F.col("path")).alias("_file")).join(counts, "_file", "left")
-    n = F.coalesce("matches", F.lit(0))
-    return told.select("path", "source_id", "format", n.alias("matches"), F.when(n > 0, "successful").otherwise("empty").alias("status"), F.when(n == 0, F.col("error")).alias("error"))
+    told = told.withColumn("lost", F.lit(None).cast("string")) if lost is None else told.join(lost, "_file", "left")
+    n = F.when(F.col("lost").isNull(), F.coalesce("matches", F.lit(0))).otherwise(0)
+    status = F.when(F.col("lost").isNotNull(), "failed").when(n > 0, "successful").otherwise("empty")
+    return told.select("path", "source_id", "format", n.alias("matches"), status.alias("status"), F.coalesce("lost", F.when(n == 0, F.col("error"))).alias("error"))
 
 
 def file_counters(report: DataFrame) -> DataFrame:
-    """One row: raw, successful and empty files, and matches."""
-    ok = F.col("status") == "successful"
-    return report.agg(F.count("*").alias("raw_files"), F.count_if(ok).alias("successful_files"), F.count_if(~ok).alias("empty_files"), F.coalesce(F.sum("matches"), F.lit(0)).alias("normalized_matches"))
+    """One row: raw, successful, empty and failed files, and matches."""
+    of = lambda s: F.count_if(F.col("status") == s).alias(f"{s}_files")
+    return report.agg(F.count("*").alias("raw_files"), of("successful"), of("empty"), of("failed"), F.coalesce(F.sum("matches"), F.lit(0)).alias("normalized_matches"))
 
 
 def source_counts(rows: DataFrame, source: Column) -> DataFrame:
