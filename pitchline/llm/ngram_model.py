@@ -31,8 +31,10 @@ from .common import WordHashes, Workspace, byte_texts, partitions, slices
 END, START = 1, 2
 #: Tokens that a task counts, or looks up, at a time.
 CHUNK = 1 << 20
+#: Different n-grams that a task holds before it hands them on.
+DISTINCT = 3 << 20
 #: Rows of sorted n-grams that are merged and written at a time.
-MERGED = 1 << 18
+MERGED = 1 << 20
 FALLBACK = (0.5, 1.0, 1.5)
 #: What each n-gram below the highest order has: its count; as a history, the counts after it and how many of them are 1, 2 and more; for words, how often they stand.
 NUMBERS = ("count", "total", "ones", "twos", "more", "raw")
@@ -101,24 +103,30 @@ def _counted(texts: DataFrame, order: int) -> DataFrame:
     """(w1, ..., count): n-grams of the highest order, counted by chunk."""
     names = [f"w{i}" for i in range(1, order + 1)]
 
-    def told(parts: list[tuple[list[np.ndarray], np.ndarray]]) -> pa.RecordBatch:
+    def summed(parts: list[tuple[list[np.ndarray], np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
         columns = [np.concatenate([p[0][k] for p in parts]) for k in range(order)]
         heads, (counts,) = _sum_by(joint_hash(columns), [np.concatenate([p[1] for p in parts])])
-        return pa.RecordBatch.from_arrays([*(pa.array(c[heads].view(np.int64)) for c in columns), pa.array(counts)], [*names, "count"])
+        return [c[heads] for c in columns], counts
+
+    def told(words: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
+        near = np.argsort(words[0], kind="stable")  # rows that share a word are shuffled side by side, which compresses better
+        return pa.RecordBatch.from_arrays([*(pa.array(w[near].view(np.int64)) for w in words), pa.array(counts[near])], [*names, "count"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, parts, held = WordHashes(), [], 0
+        words, parts, fresh = WordHashes(), [], 0
         for _, some in _texts(batches, 0):
             if not some:
                 continue
             row, at = _padded(some, words, order)
             parts.append(([row[at - order + 1 + k] for k in range(order)], np.ones(len(at), np.int64)))
-            held += len(at)
-            if held >= CHUNK:
-                yield told(parts)
-                parts, held = [], 0
+            fresh += len(at)
+            if fresh >= CHUNK:
+                parts, fresh = [summed(parts)], 0
+                if len(parts[0][1]) >= DISTINCT:
+                    yield told(*parts[0])
+                    parts = []
         if parts:
-            yield told(parts)
+            yield told(*summed(parts))
 
     return texts.mapInArrow(run, ", ".join(f"{n} long" for n in (*names, "count")))
 
