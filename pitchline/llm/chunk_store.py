@@ -364,7 +364,7 @@ def read_ids(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
             ids = [np.frombuffer(b"".join(p["data"] for p in parts), dtype=f"<u{width}").astype(np.int32) for parts in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "start", "ids"])
 
-    return lists.mapInArrow(unpack, "doc_id long, start long, ids array<int>")
+    return lists.mapInArrow(unpack, f"doc_id {lists.schema['doc_id'].dataType.simpleString()}, start long, ids array<int>")
 
 
 def encoded(docs: DataFrame, tokenizer: str, order: tuple[Column, Column] | None = None) -> DataFrame:

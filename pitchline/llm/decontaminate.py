@@ -7,11 +7,10 @@ SIMILARITY = 0.8 or more of their shingles, repeats counted.
 Candidates are found in three steps, each of which loses no match:
 1. A match lacks at most a fifth of the item's shingles.  So of any fifth of them plus one, some stand in the window: the item is
    indexed by its rarest ones, and a document's shingles are looked up there.
-2. Windows around such places and their items have 128-bit SimHashes, in 16 blocks of 8 bits.  Two fingerprints within
-   RADIUS = 38 bits differ by at most 2 bits in some block; pairs without such a block go, then those beyond the radius.
-3. The rest is verified by the exact similarity.
-(At similarity 0.8 about 19 bits differ; 38 is over 4 standard deviations above.  At a radius of 30 % of the bits the blocks
-alone are no index: of random pairs 92 % share a block within 2 bits.  This is why the lookup of step 1 comes first.)
+2. Windows around such places and their items have 128-bit SimHashes.  A match and its item differ by a known number of shingles at most, so a bit
+   whose vote was won by more cannot differ: it is firm.  A window whose fingerprint differs from the item's in a firm bit goes.  The other bits are the item's
+   radius: how many of them may differ follows from its votes, about half of them for 10 shingles and nearly all for 1000.
+3. The rest is verified by the exact similarity, for all windows of a stretch at once.
 
 A benchmark of more than BLOCK_BYTES is matched in blocks of that size, one after the other.
 """
@@ -29,7 +28,6 @@ from pyspark.sql import functions as F
 from .common import WordHashes, Workspace, byte_texts, mix, slices, window_hashes
 
 SHINGLE, SIMILARITY = 5, 0.8
-RADIUS, BLOCKS = 38, 16
 #: UTF-8 bytes of items that are sent to the executors at a time; a task's index takes about four times as much.
 BLOCK_BYTES = 16 << 20
 #: Bits of the address of the bitmap that is asked before the index.
@@ -55,28 +53,21 @@ def prints(ones: np.ndarray, count: int) -> np.ndarray:
     return np.packbits(2 * ones > count, axis=1)
 
 
-def near(fingers: np.ndarray, item: np.ndarray) -> np.ndarray:
-    """Which fingerprints are within the radius of the item's: some block first, then the count of all."""
-    bits = np.bitwise_count(fingers ^ item)
-    found = (bits <= RADIUS // BLOCKS).any(axis=1)
-    found[found] = bits[found].sum(axis=1, dtype=np.int64) <= RADIUS
-    return found
+def least_common(a: int, b: int) -> int:
+    """How many shingles two texts of a and b shingles share at least, repeats counted, if they match."""
+    return int(np.ceil(SIMILARITY * (a + b) / (1 + SIMILARITY) - 1e-9))
 
 
-def weighted(a: np.ndarray, keys: np.ndarray, counts: np.ndarray, total: int) -> float:
-    """Similarity of a window's shingles with an item's different ones (sorted), their counts and the sum of these."""
-    mine, n = np.unique(a, return_counts=True)
-    at = np.searchsorted(keys, mine)
-    at[at == len(keys)] = 0
-    both = int(np.minimum(n, counts[at])[keys[at] == mine].sum())
-    return both / (len(a) + total - both)
+def firm_bits(votes: np.ndarray, differing: int) -> np.ndarray:
+    """The bits that stay as they are when so many shingles go or come.  votes: ones less zeros; a bit is one above zero."""
+    return np.packbits((votes > differing) | (votes <= -differing))
 
 
 class Items:
     """The texts of a block, ready for lookup: flat arrays, an entry for each text or for each of its shingles."""
 
     def __init__(self, texts: list[bytes]):
-        self.number, sizes, lengths, parts, fingers = [], [], [], [], []
+        self.number, sizes, lengths, parts, fingers, votes = [], [], [], [], [], []
         for i, text in enumerate(texts):
             n, s = shingles(text)
             if n:
@@ -84,9 +75,11 @@ class Items:
                 sizes.append(n)
                 lengths.append(len(s))
                 parts.append(np.sort(s))
-                fingers.append(prints(bit_rows(s).sum(axis=0, dtype=np.int64)[None, :], len(s))[0])
+                ones = bit_rows(s).sum(axis=0, dtype=np.int64)
+                fingers.append(prints(ones[None, :], len(s))[0])
+                votes.append(np.clip(2 * ones - len(s), -(1 << 15) + 1, (1 << 15) - 1).astype(np.int16))
         self.sizes, self.lengths = np.array(sizes, np.int64), np.array(lengths, np.int64)
-        self.fingers = np.array(fingers, np.uint8).reshape(-1, 16)
+        self.fingers, self.votes = np.array(fingers, np.uint8).reshape(-1, 16), np.array(votes, np.int16).reshape(-1, 128)
         every = np.concatenate(parts) if parts else np.empty(0, np.uint64)
         owner = np.repeat(np.arange(len(parts)), self.lengths)
         # different shingles of each item with their counts
@@ -138,23 +131,45 @@ class Items:
     def _best(self, s: np.ndarray, n: int, i: int, places: np.ndarray) -> tuple[int, float, int, int] | None:
         words = min(int(self.sizes[i]), n)
         wide = max(1, words - SHINGLE + 1)
-        last = len(s) - wide
+        last, length = len(s) - wide, int(self.lengths[i])
+        common = least_common(length, wide)
+        if common > min(length, wide):
+            return None
+        firm = firm_bits(self.votes[i].astype(np.int64), length + wide - 2 * common)
         lo, hi = np.maximum(0, places - wide + 1), np.minimum(places, last)
         # stretches of windows, so that sums stay small; places ascend
         cut = np.flatnonzero(lo[1:] > hi[:-1] + 1) + 1
-        keys, counts = (x[self.ends[i] : self.ends[i + 1]] for x in (self.keys, self.counts))
         best = None
         for a, z in zip(lo[np.append(0, cut)].tolist(), hi[np.append(cut - 1, len(hi) - 1)].tolist()):
             for a in range(a, z + 1, 4096):
                 e = min(z, a + 4095)
                 total = np.concatenate((np.zeros((1, 128), np.int32), np.cumsum(bit_rows(s[a : e + wide]), axis=0, dtype=np.int32)))
                 fingers = prints(total[wide : wide + e - a + 1] - total[: e - a + 1], wide)
-                for w in np.flatnonzero(near(fingers, self.fingers[i])).tolist():
-                    sim = weighted(s[a + w : a + w + wide], keys, counts, int(self.lengths[i]))
-                    if sim >= SIMILARITY and (best is None or sim > best[1]):
-                        best = (self.number[i], sim, a + w, words)
+                starts = np.flatnonzero(~((fingers ^ self.fingers[i]) & firm).any(axis=1))
+                if not len(starts):
+                    continue
+                sims = self._similar(s[a : e + wide], starts, wide, i)
+                at = int(sims.argmax())
+                if sims[at] >= SIMILARITY and (best is None or sims[at] > best[1]):
+                    best = (self.number[i], float(sims[at]), a + int(starts[at]), words)
         return best
 
+    def _similar(self, part: np.ndarray, starts: np.ndarray, wide: int, i: int) -> np.ndarray:
+        """Weighted similarity of the windows of part at given starts with an item."""
+        keys, counts = (x[self.ends[i] : self.ends[i + 1]] for x in (self.keys, self.counts))
+        at = np.searchsorted(keys, part)
+        at[at == len(keys)] = 0
+        place = np.flatnonzero(keys[at] == part)
+        used, column = np.unique(at[place], return_inverse=True)
+        same = np.zeros(len(starts), np.int64)
+        for k in range(0, len(used), 256):  # so many of the item's shingles at a time
+            mine = (column >= k) & (column < k + 256)
+            seen = np.zeros((len(part) + 1, min(256, len(used) - k)), np.int32)
+            seen[place[mine] + 1, column[mine] - k] = 1
+            np.cumsum(seen, axis=0, out=seen)
+            same += np.minimum(seen[starts + wide] - seen[starts], counts[used[k : k + 256]]).sum(axis=1)
+        return same / (wide + int(self.lengths[i]) - same)
+
 
 def edges_of(x: np.ndarray) -> np.ndarray:
     """Where runs of equal values start, and the end."""

@@ -163,12 +163,12 @@ PLACE = ("__part", "__file", "__row")
 
 
 def identified(docs: DataFrame, work: Workspace) -> DataFrame:
-    """docs with the columns of file_row(); what does not come from files alone is written first."""
+    """doc_id, source, the row itself as `whole`, and the columns of file_row(); what does not come from files alone is written first."""
+    told = lambda d: d.select("doc_id", "source", F.struct(*(F.col(f"`{c}`") for c in d.columns)).alias("whole"), *file_row(d))
     try:
-        return docs.select("*", *file_row(docs))
+        return told(docs)
     except AnalysisException:  # not read from files
-        saved = work.save(docs, "given")
-        return saved.select("*", *file_row(saved))
+        return told(work.save(docs, "given"))
 
 
 Weights = Mapping[Source, float] | Callable[[Mapping[Source, int]], Mapping[Source, float]]
@@ -235,6 +235,5 @@ def mixed_documents(docs: DataFrame, weights: Weights = temperature) -> DataFram
     work = Workspace(docs.sparkSession, "rows")
     known = identified(docs, work)
     where = places(known, weights).select(*(F.col(c).alias(f"of{c}") for c in PLACE), F.col("slot").alias("__slot"), F.col("place").alias("__place"))
-    whole = known.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__whole"), *PLACE)
-    rows = whole.join(where, [F.col(c) == F.col(f"of{c}") for c in PLACE])
-    return rows.repartitionByRange("__slot", "__place").sortWithinPartitions("__slot", "__place").select("__whole.*")
+    rows = known.select("whole", *PLACE).join(where, [F.col(c) == F.col(f"of{c}") for c in PLACE])
+    return rows.repartitionByRange("__slot", "__place").sortWithinPartitions("__slot", "__place").select("whole.*")

@@ -85,16 +85,45 @@ def test_ids_keep_their_types(spark):
     assert {tuple(r) for r in found.select("doc_id", "item_id", "similarity").collect()} == {(x, q, 1.0) for x in ("a", None) for q in ("q1", "q2", None)}
 
 
-def test_blocks_miss_no_fingerprint_within_the_radius():
+def test_firm_bits_never_differ_in_a_match():
     import numpy as np
 
     rng = np.random.default_rng(1)
-    fingers = rng.integers(0, 256, (50, 16), dtype=np.uint8)
-    for item in fingers:
-        for n in (0, 1, d.RADIUS - 1, d.RADIUS, d.RADIUS + 1):
-            flips = np.zeros(128, np.uint8)
-            flips[rng.choice(128, n, replace=False)] = 1
-            assert d.near((item ^ np.packbits(flips))[None, :], item)[0] == (n <= d.RADIUS)
+    firm = 0
+    for n in [*range(1, 40), 100, 400] * 4:
+        item = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        wide = int(rng.integers(max(1, int(0.8 * n)), n + 1))
+        common = d.least_common(n, wide)
+        if common > wide:
+            continue
+        window = np.concatenate([rng.permutation(item)[:common], rng.integers(0, 1 << 63, wide - common, dtype=np.uint64)])
+        ones = [d.bit_rows(x).sum(axis=0, dtype=np.int64) for x in (item, window)]
+        a, b = (d.prints(o[None, :], len(x))[0] for o, x in zip(ones, (item, window)))
+        held = d.firm_bits(2 * ones[0] - n, n + wide - 2 * common)
+        assert not ((a ^ b) & held).any()
+        firm += int(np.bitwise_count(held).sum())
+    assert firm > 1000
+
+
+def test_every_edit_at_the_least_similarity_is_found():
+    """Items of 1 to 40 words and windows that are exactly as similar as a match has to be, or as near above as words allow."""
+    rng = random.Random(3)
+    item = "w173812435 w361983460 w53722460 w402602562 w958892957 w323166944 w202133033 w505922670 w156841838"
+    assert d.Items([item.encode()]).matches(item.rsplit(" ", 1)[0].encode())[0][1] == 0.8
+    fresh = lambda: f"w{rng.randrange(10**9)}"
+    for _ in range(60):
+        texts = [[fresh() for _ in range(n)] for n in range(1, 41)]
+        index = d.Items([" ".join(t).encode() for t in texts])
+        for i, t in enumerate(texts):
+            shown = max(1, len(t) - 4)
+            for cut in {0, int(0.2 * shown + 1e-9)}:  # a document that ends early lacks so many shingles
+                w = t[: len(t) - cut]
+                assert [m[0] for m in index.matches(" ".join(w).encode())] == [i]
+            edited = list(t)
+            if shown >= 9:  # the last word replaced: one shingle on each side differs
+                edited[-1] = fresh()
+            if len(t) >= 5:  # shorter items are no shingle of a longer text
+                assert i in [m[0] for m in index.matches(" ".join([fresh(), *edited, fresh()]).encode())]
 
 
 def test_rare_shingles_find_every_match():
