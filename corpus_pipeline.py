@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchline.llm import chunk_store, decontaminate, language_id, mixing, simhash_dedup
 from pitchline.llm.common import Workspace
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """The row as one struct, beside which columns of any name can stand."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole")
+
+
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known; those that the classifier rejects go.
 
@@ -23,10 +28,10 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Of equal rows one stays, as of rows that share doc_id and text.  Null and empty texts are duplicates of one another.
     """
-    firsts = simhash_dedup.representatives(docs).select(F.col("doc_id").alias("__first"), F.col("digest").alias("__of"))
-    keyed = docs.withColumn("__digest", simhash_dedup.text_digest())
-    kept = keyed.join(firsts, keyed["doc_id"].eqNullSafe(firsts["__first"]) & (keyed["__digest"] == firsts["__of"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__digest"]).drop("__digest")
+    firsts = simhash_dedup.representatives(docs).select(F.col("doc_id").alias("first"), F.col("digest").alias("of"))
+    keyed = docs.select(whole_row(docs), F.col("doc_id").alias("id"), simhash_dedup.text_digest().alias("digest"))
+    kept = keyed.join(firsts, keyed["id"].eqNullSafe(firsts["first"]) & (keyed["digest"] == firsts["of"]), "left_semi")
+    return kept.dropDuplicates(["id", "digest"]).select("whole.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +41,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     judged = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     texts = docs.select(judged.alias("doc_id"), "text")
-    found = decontaminate.contaminated(texts, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("__leak")).distinct()
-    keyed = docs.withColumn("__text", judged)
-    return keyed.join(found, keyed["__text"] == found["__leak"], "left_anti").drop("__text")
+    found = decontaminate.contaminated(texts, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(F.col("doc_id").alias("leak")).distinct()
+    keyed = docs.select(whole_row(docs), judged.alias("judged"))
+    return keyed.join(found, keyed["judged"] == found["leak"], "left_anti").select("whole.*")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
