@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import changes
+from ..operators import changes, temporal
 from ..shared import new_folder
 from ..streaming import intake, merging
+from ..streaming import windows as temporal_windows
 from .queries import _ORDERS, order_matches, query, table
 from .stage_queries import SETTINGS, raw_customers
 
@@ -74,3 +75,59 @@ def q68(spark, d):
     merged = merging.MergedTable(spark, f"{folder}/merged")
     merged.update(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(f"{folder}/arrived"))
     return merged.rows().select(F.col("homeTeam.name").alias("home"), F.col("awayTeam.name").alias("away"), F.col("scheduledAt").alias("kickoff"), F.col("competition.id").alias("cid"), F.col("competition.name").alias("cname"), "status", F.col("_rec_ord").alias("first_ord"), "records")
+
+
+# ------------------------------------------------------------------ time
+
+_CENTS = "CAST(floor(100 * value + 0.5) AS BIGINT)"
+
+
+def _cents() -> Column:
+    return F.floor(100 * F.col("value") + 0.5).cast("long")
+
+
+def _named(df: DataFrame) -> DataFrame:
+    """Starts and ends as texts, which both sides write alike."""
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("start", "end", "last") if c in df.columns})
+
+
+@query("q69_tumbling", f"SELECT kind, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, strftime(date_trunc('hour', ts) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS \"end\", count(*) AS rows, CAST(sum({_CENTS}) AS BIGINT) AS cents FROM clicks WHERE ts IS NOT NULL GROUP BY ALL")
+def q69(spark, d):
+    """Clicks by kind and hour as a stream over their files, read in one portion, so that none is late."""
+    folder = new_folder(spark, "q69")
+    rows = table(spark, d, "clicks").select("kind", F.col("ts").cast("timestamp").alias("ts"), "value")
+    rows.write.parquet(f"{folder}/arrived")
+    made = temporal_windows.WindowTable(spark, f"{folder}/windows", "ts", "1 hour", "kind", late="1 day", cents=_cents())
+    made.update(spark.readStream.schema(rows.schema).parquet(f"{folder}/arrived"))
+    return _named(made.rows())
+
+
+@query("q70_sliding", """SELECT event_type, strftime(s, '%Y-%m-%d %H:%M:%S') AS start, strftime(s + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS "end", count(*) AS rows FROM (SELECT event_type, time_bucket(INTERVAL 15 MINUTE, ts, TIMESTAMP '2000-01-01') - INTERVAL 15 MINUTE * unnest(range(4)) AS s FROM events WHERE ts IS NOT NULL) GROUP BY ALL""")
+def q70(spark, d):
+    """Events by type in hours that start every quarter."""
+    return _named(temporal.windows(table(spark, d, "events"), "ts", "1 hour", "event_type", slide="15 minutes"))
+
+
+@query("q71_sessions", f"""WITH o AS (SELECT client_id, ts, value, CASE WHEN ts - lag(ts) OVER (PARTITION BY client_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM clicks WHERE client_id IS NOT NULL AND ts IS NOT NULL),
+r AS (SELECT *, sum(fresh) OVER (PARTITION BY client_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM o)
+SELECT client_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last, count(*) AS rows, CAST(sum({_CENTS}) AS BIGINT) AS cents FROM r GROUP BY client_id, run""")
+def q71(spark, d):
+    """Sessions of all clients: runs of clicks with less than half an hour between them."""
+    return _named(temporal.sessions(table(spark, d, "clicks"), "client_id", "ts", 1800, cents=_cents()))
+
+
+@query("q72_as_of", """WITH s AS (SELECT client_id, sold_at, max(sale_id) AS sale_id FROM sales WHERE client_id IS NOT NULL AND sold_at IS NOT NULL AND sale_id IS NOT NULL GROUP BY client_id, sold_at)
+SELECT click_id, clicks.client_id, sale_id FROM clicks ASOF LEFT JOIN s ON clicks.client_id = s.client_id AND clicks.ts >= s.sold_at""")
+def q72(spark, d):
+    """Each click with the last sale of its client before it."""
+    clicks = table(spark, d, "clicks").select("click_id", "client_id", "ts")
+    sales = table(spark, d, "sales").select("sale_id", "client_id", "sold_at").filter("sale_id is not null")
+    return temporal.as_of(clicks, sales, "client_id", "ts", "sold_at", "sale_id").select("left.click_id", "left.client_id", "right.sale_id")
+
+
+@query("q73_within", "SELECT a.o_orderkey AS first, b.o_orderkey AS second FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND b.o_orderdate BETWEEN a.o_orderdate AND a.o_orderdate + INTERVAL 30 DAY AND a.o_orderkey != b.o_orderkey")
+def q73(spark, d):
+    """Pairs of orders of a customer of which the second came within 30 days after the first."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    met = temporal.within(orders, orders, "o_custkey", "o_orderdate", "o_orderdate", 0, 30 * 86_400)
+    return met.select(F.col("left.o_orderkey").alias("first"), F.col("right.o_orderkey").alias("second")).filter("first != second")

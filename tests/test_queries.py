@@ -7,7 +7,7 @@ import pytest
 from pitchline.plans import registry
 
 DATA = "/root/testdata/sf0.01"
-TABLES = "region nation customer supplier part orders lineitem events documents pages".split()
+TABLES = "region nation customer supplier part orders lineitem events documents pages clicks sales".split()
 
 
 @pytest.fixture(scope="module")
