@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ END, START = 1, 2
 CHUNK = 1 << 20
 #: Different n-grams that a task holds before it hands them on.
 DISTINCT = 3 << 20
+#: Passes over the texts that count the highest order.
+PASSES = 2
 #: Rows of sorted n-grams that are merged and written at a time.
 MERGED = 1 << 20
 FALLBACK = (0.5, 1.0, 1.5)
@@ -99,8 +102,8 @@ def _sum_by(hashes: np.ndarray, numbers: list[np.ndarray]) -> tuple[np.ndarray,
     return order[head], [np.add.reduceat(n[order], head) if len(head) else n for n in numbers]
 
 
-def _counted(texts: DataFrame, order: int) -> DataFrame:
-    """(w1, ..., count): n-grams of the highest order, counted by chunk."""
+def _counted(texts: DataFrame, order: int, bits: int, number: int) -> DataFrame:
+    """(w1, ..., count): n-grams of the highest order whose range falls to a pass, counted by chunk."""
     names = [f"w{i}" for i in range(1, order + 1)]
 
     def summed(parts: list[tuple[list[np.ndarray], np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -118,8 +121,10 @@ def _counted(texts: DataFrame, order: int) -> DataFrame:
             if not some:
                 continue
             row, at = _padded(some, words, order)
-            parts.append(([row[at - order + 1 + k] for k in range(order)], np.ones(len(at), np.int64)))
-            fresh += len(at)
+            gram = [row[at - order + 1 + k] for k in range(order)]
+            mine = (joint_hash(gram) >> np.uint64(64 - bits)) % np.uint64(PASSES) == number
+            parts.append(([w[mine] for w in gram], np.ones(int(mine.sum()), np.int64)))
+            fresh += len(parts[-1][1])
             if fresh >= CHUNK:
                 parts, fresh = [summed(parts)], 0
                 if len(parts[0][1]) >= DISTINCT:
@@ -254,14 +259,35 @@ def _level(rows: DataFrame, folder: str, level: int, order: int, bits: int) -> D
     return dealt.withColumn("h", h).sortWithinPartitions("h").select(*names, *numbers).mapInArrow(run, schema)
 
 
+@contextmanager
+def _released(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go as soon as the query that made them has ended, not when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def train(texts: DataFrame, folder: str, order: int = 2) -> dict:
-    """Count the texts (column text), write the model below folder, and return what it says of itself.  order: 2 or more."""
+    """Count the texts (column text), write the model below folder, and return what it says of itself.  order: 2 or more.
+
+    The n-grams of the highest order, by far the most, are counted in PASSES, each over all texts for its part of the ranges, so that only a part of them is shuffled at a time.
+    """
     spark = texts.sparkSession
     bits = max(1, (partitions(spark) - 1).bit_length())
-    rows = _counted(texts.select(F.col("text").cast("string").alias("text")), order)
-    for level in range(order, 0, -1):
-        rows = _level(rows, folder, level, order, bits)
-    rows.write.format("noop").mode("overwrite").save()
+    texts = texts.select(F.col("text").cast("string").alias("text"))
+    rows = None
+    with _released(spark):
+        for level in range(order, 0, -1):
+            below = f"{folder}/rows-{level - 1}"
+            for number in range(PASSES if rows is None else 1):
+                given = _counted(texts, order, bits, number) if rows is None else rows
+                made = _level(given, folder, level, order, bits)
+                made.write.mode("append").option("compression", "zstd").parquet(below)
+            rows = spark.read.schema(made.schema).parquet(below)
     return _describe(folder, order, bits)
 
 
