@@ -1,6 +1,6 @@
-"""Named queries over the driver's tables, and over small literal tables where those hold nothing to parse.
+"""Named queries over the driver's tables.
 
-Each query has its SQL: the same computation over the same tables, or the expected rows of a literal table.
+Each query has its SQL over the same tables.  Where those hold nothing to parse, each row of a table is dealt a case of a list, and the SQL knows what each case gives.
 """
 
 from __future__ import annotations
@@ -59,6 +59,22 @@ def given(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
     return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{struct}>>")))
 
 
+def dealt(spark: SparkSession, d: str, schema: str, rows: list[tuple]) -> DataFrame:
+    """A row for each customer: its key as k, and the case at k modulo their number.  The cases are parsed in the JVM."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    text = json.dumps([dict(zip(names, r)) for r in rows])
+    struct = ",".join(f"{c.split()[0]}:{c.split()[1]}" for c in schema.split(", "))
+    k = F.col("c_custkey")
+    case = F.get(F.from_json(F.lit(text), f"array<struct<{struct}>>"), (k % len(rows)).cast("int"))
+    return table(spark, d, "customer").select(k.alias("k"), case.alias("case")).select("k", "case.*")
+
+
+def dealt_sql(columns: str, rows: list[tuple], casts: dict[str, str] | None = None, at: list[int] | None = None, cases: int = 0) -> str:
+    """SQL of what dealt() cases give.  at: the case of each row, where a case gives none or several; cases: how many there are."""
+    told = [(i, *r) for i, r in zip(at or range(len(rows)), rows)]
+    return f"SELECT c_custkey AS k, e.* EXCLUDE (case_no) FROM customer JOIN ({expected(f'case_no {columns}', told, {'case_no': 'BIGINT'} | (casts or {}))}) e ON c_custkey % {cases or len(rows)} = case_no"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -97,25 +113,25 @@ _DATES = [
 ]
 
 
-@query("q04_datetime", expected("raw kickoff", _DATES))
+@query("q04_datetime", dealt_sql("raw kickoff", _DATES))
 def q04(spark, d):
-    return given(spark, "raw string", [(r,) for r, _ in _DATES]).select("raw", tp.published_datetime(F.col("raw")).alias("kickoff"))
+    return dealt(spark, d, "raw string", [(r,) for r, _ in _DATES]).select("k", "raw", tp.published_datetime(F.col("raw")).alias("kickoff"))
 
 
 _SAME = [("2026-08-23T15:00:00+02:00", "2026-08-23T13:00:00+00:00"), ("2026-08-23T15:00:00Z", "2026-08-23T15:00:00+00:00"), ("2026-08-23T15:00:00", "2026-08-23T15:00:00"), ("2026-08-23T01:00:00+02:00", "2026-08-22T23:00:00+00:00"), (" soon  now ", "soon now"), (None, "")]
 
 
-@query("q05_identity_datetime", expected("raw kickoff", _SAME))
+@query("q05_identity_datetime", dealt_sql("raw kickoff", _SAME))
 def q05(spark, d):
-    return given(spark, "raw string", [(r,) for r, _ in _SAME]).select("raw", tp.identity_datetime(F.col("raw")).alias("kickoff"))
+    return dealt(spark, d, "raw string", [(r,) for r, _ in _SAME]).select("k", "raw", tp.identity_datetime(F.col("raw")).alias("kickoff"))
 
 
 _ISO = [("2026-08-23", True), ("2026-08-23T15:00:00Z", True), ("2026-08-23T24:00:00", False), ("2026-02-29", False), ("2024-02-29T10", True), ("tomorrow", False), ("20260823T150000", True), ("2026-W54-1", False), (None, False)]
 
 
-@query("q06_iso_valid", expected("raw ok", _ISO, {"ok": "BOOLEAN"}))
+@query("q06_iso_valid", dealt_sql("raw ok", _ISO, {"ok": "BOOLEAN"}))
 def q06(spark, d):
-    return given(spark, "raw string", [(r,) for r, _ in _ISO]).select("raw", tp.is_iso(F.col("raw")).alias("ok"))
+    return dealt(spark, d, "raw string", [(r,) for r, _ in _ISO]).select("k", "raw", tp.is_iso(F.col("raw")).alias("ok"))
 
 
 _TEAMS = [
@@ -124,10 +140,10 @@ _TEAMS = [
 ]
 
 
-@query("q07_team_extract", expected("raw id name", _TEAMS))
+@query("q07_team_extract", dealt_sql("raw id name", _TEAMS))
 def q07(spark, d):
-    rows, record = records.with_record(given(spark, "raw string", [(r,) for r, *_ in _TEAMS]), F.col("raw"))
-    return rows.select("raw", records.team(record, "home").alias("t")).select("raw", "t.id", "t.name")
+    rows, record = records.with_record(dealt(spark, d, "raw string", [(r,) for r, *_ in _TEAMS]), F.col("raw"))
+    return rows.select("k", "raw", records.team(record, "home").alias("t")).select("k", "raw", "t.id", "t.name")
 
 
 _RECORDS = [
@@ -140,11 +156,11 @@ _RECORDS = [
 _DROPPED = ['{"home":"","team1":"North City","away":"South Town","date":"soon"}', '{"homeTeam":" ","team1":"North City","away":"South Town","date":"2026-08-23"}']
 
 
-@query("q08_record_normalize", expected("id competition status kickoff", [r[1:] for r in _RECORDS]))
+@query("q08_record_normalize", dealt_sql("id competition status kickoff", [r[1:] for r in _RECORDS], cases=len(_RECORDS) + len(_DROPPED)))
 def q08(spark, d):
-    rows = given(spark, "json string", [(r[0],) for r in _RECORDS] + [(r,) for r in _DROPPED])
-    made = records.normalized(rows.select(F.lit("src_b").alias("source_id"), "json", F.array(F.lit("f")).alias("_file"), F.lit(0).cast("long").alias("_rec_ord")))
-    return made.select("id", F.col("competition.name").alias("competition"), "status", F.col("scheduledAt").alias("kickoff"))
+    rows = dealt(spark, d, "json string", [(r[0],) for r in _RECORDS] + [(r,) for r in _DROPPED])
+    made = records.normalized(rows.select(F.lit("src_b").alias("source_id"), "json", F.array(F.lit("f")).alias("_file"), F.col("k").alias("_rec_ord")))
+    return made.select(F.col("_rec_ord").alias("k"), "id", F.col("competition.name").alias("competition"), "status", F.col("scheduledAt").alias("kickoff"))
 
 
 _SHAPES = [
@@ -154,10 +170,10 @@ _SHAPES = [
 ]
 
 
-@query("q09_record_discovery", expected("shape kickoff record", [(i, k, r) for i, (_, rs) in enumerate(_SHAPES) for k, r in enumerate(rs)], {"shape": "BIGINT", "kickoff": "BIGINT"}))
+@query("q09_record_discovery", dealt_sql("kickoff record", [(k, r) for _, rs in _SHAPES for k, r in enumerate(rs)], {"kickoff": "BIGINT"}, [i for i, (_, rs) in enumerate(_SHAPES) for _ in rs], len(_SHAPES)))
 def q09(spark, d):
-    rows = given(spark, "shape bigint, json string", [(i, s) for i, (s, _) in enumerate(_SHAPES)])
-    return rows.select("shape", F.posexplode(records.discovered(F.col("json"))).alias("kickoff", "record")).select("shape", F.col("kickoff").cast("long").alias("kickoff"), "record")
+    rows = dealt(spark, d, "json string", [(s,) for s, _ in _SHAPES])
+    return rows.select("k", F.posexplode(records.discovered(F.col("json"))).alias("kickoff", "record")).select("k", F.col("kickoff").cast("long").alias("kickoff"), "record")
 
 
 _LINES = r"(SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS line_no FROM (SELECT doc_id, CASE WHEN l[-1] = '' THEN l[:-2] ELSE l END AS l FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)))"
@@ -179,19 +195,19 @@ def q11(spark, d):
 _HEADINGS = [("Sun Aug 23", "2026-8-23", True), ("Mon Feb 30", None, True), ("Aug 2027", "2026-8-20", True), ("Sat Jan 2 2027", "2027-1-2", True), ("sept 3", "2026-9-3", True), ("Matchday 3", None, True), ("North City v South", None, False), ("Sun 23", None, True)]
 
 
-@query("q12_date_line", expected("line date shaped", _HEADINGS, {"shaped": "BOOLEAN"}))
+@query("q12_date_line", dealt_sql("line date shaped", _HEADINGS, {"shaped": "BOOLEAN"}))
 def q12(spark, d):
-    rows = given(spark, "line string", [(r,) for r, *_ in _HEADINGS])
+    rows = dealt(spark, d, "line string", [(r,) for r, *_ in _HEADINGS])
     found = tp.heading_date(F.col("line"), F.lit(2026))
-    return rows.select("line", F.when(found.isNotNull(), F.concat_ws("-", found["year"], found["month"], found["day"])).alias("date"), tp.date_shaped(F.col("line")).alias("shaped"))
+    return rows.select("k", "line", F.when(found.isNotNull(), F.concat_ws("-", found["year"], found["month"], found["day"])).alias("date"), tp.date_shaped(F.col("line")).alias("shaped"))
 
 
 _TIMES = [("15:30 A v B", 15, 30), ("25:00 A v B", None, None), ("at 9:05", 9, 5), ("1:2", None, None), ("123:45 7:30", 7, 30), ("12:60", None, None), ("none", None, None)]
 
 
-@query("q13_time", expected("line hour minute", _TIMES, {"hour": "INTEGER", "minute": "INTEGER"}))
+@query("q13_time", dealt_sql("line hour minute", _TIMES, {"hour": "INTEGER", "minute": "INTEGER"}))
 def q13(spark, d):
-    return given(spark, "line string", [(r,) for r, *_ in _TIMES]).select("line", tp.clock_time(F.col("line")).alias("t")).select("line", "t.hour", "t.minute")
+    return dealt(spark, d, "line string", [(r,) for r, *_ in _TIMES]).select("k", "line", tp.clock_time(F.col("line")).alias("t")).select("k", "line", "t.hour", "t.minute")
 
 
 _SIDES = [
@@ -201,9 +217,9 @@ _SIDES = [
 ]
 
 
-@query("q14_match_line", expected("line home away home_score away_score", _SIDES, {"home_score": "INTEGER", "away_score": "INTEGER"}))
+@query("q14_match_line", dealt_sql("line home away home_score away_score", _SIDES, {"home_score": "INTEGER", "away_score": "INTEGER"}))
 def q14(spark, d):
-    return given(spark, "line string", [(r[0],) for r in _SIDES]).select("line", lines.match_line(F.col("line")).alias("m")).select("line", "m.home", "m.away", "m.home_score", "m.away_score")
+    return dealt(spark, d, "line string", [(r[0],) for r in _SIDES]).select("k", "line", lines.match_line(F.col("line")).alias("m")).select("k", "line", "m.home", "m.away", "m.home_score", "m.away_score")
 
 
 LISTING = """= Sample League 2026 # comment
@@ -234,12 +250,14 @@ _PARSED = [
     (11, "West End", "East End", _MIDNIGHT, "SCHEDULED", None, None), (12, "18:00 West End", "East End", "2026-08-23T18:00:00+00:00", "SCHEDULED", None, None), (14, "North City", "East End", "2026-08-20T00:00:00+00:00", "SCHEDULED", None, None),
     (16, "North City", "West End", "2027-01-02T00:00:00+00:00", "SCHEDULED", None, None), (18, "North City", "East End", "2026-01-03T00:00:00+00:00", "FINISHED", 2, 1), (22, "West End", "(0-0) North City", "2026-01-03T00:00:00+00:00", "FINISHED", 1, 0),
 ]
-_STEM = "src_a__0001__2026_league.txt"
+_STEM = "src_a__0001__2026_league"
 
 
-@query("q15_txt_parse", expected("id competition home away kickoff status home_score away_score", [(f"{_STEM}:{r[0]}", "Sample League 2026", *r[1:]) for r in _PARSED], {"home_score": "INTEGER", "away_score": "INTEGER"}))
+@query("q15_txt_parse", f"SELECT '{_STEM}_' || c_custkey || '.txt:' || line AS id, competition, home, away, kickoff, status, home_score, away_score FROM customer CROSS JOIN ({expected('line competition home away kickoff status home_score away_score', [(r[0], 'Sample League 2026', *r[1:]) for r in _PARSED], {'home_score': 'INTEGER', 'away_score': 'INTEGER'})})")
 def q15(spark, d):
-    files = given(spark, "path string, source_id string, text string", [(f"raw/src_a/{_STEM}.raw", "src_a", LISTING)])
+    """A listing for each customer."""
+    name = F.concat(F.lit(f"raw/src_a/{_STEM}_"), "c_custkey", F.lit(".txt.raw"))
+    files = table(spark, d, "customer").select(name.alias("path"), F.lit("src_a").alias("source_id"), F.lit(LISTING).alias("text"))
     made = lines.text_matches(files, 2026)
     return made.select("id", F.col("competition.name").alias("competition"), F.col("homeTeam.name").alias("home"), F.col("awayTeam.name").alias("away"), F.col("scheduledAt").alias("kickoff"), "status", F.col("score.home").alias("home_score"), F.col("score.away").alias("away_score"))
 
@@ -247,9 +265,9 @@ def q15(spark, d):
 _SCORES = [("2026-27/x.json", 1000), ("2025-26/x.json", 990), ("2025_2026/x.json", 1100), ("2024/2025/x.json", 1090), ("archive/1998.json", 0), ("id20261.json", 0)]
 
 
-@query("q16_season_score", expected("path score", _SCORES, {"score": "INTEGER"}))
+@query("q16_season_score", dealt_sql("path score", _SCORES, {"score": "INTEGER"}))
 def q16(spark, d):
-    return given(spark, "path string", [(r,) for r, _ in _SCORES]).select("path", selection.season_score(F.col("path"), 2026).alias("score"))
+    return dealt(spark, d, "path string", [(r,) for r, _ in _SCORES]).select("k", "path", selection.season_score(F.col("path"), 2026).alias("score"))
 
 
 _LISTED = [
@@ -262,18 +280,23 @@ _CHOSEN = [
 ]
 
 
-@query("q17_file_select", expected("source_id place path", _CHOSEN, {"place": "INTEGER"}))
+@query("q17_file_select", f"SELECT source_id || CASE WHEN source_id = 'w' THEN '' ELSE '_' || c_custkey END AS source_id, place, path FROM (SELECT c_custkey, c_custkey = min(c_custkey) OVER () AS first FROM customer) CROSS JOIN ({expected('source_id place path', _CHOSEN, {'place': 'INTEGER'})}) WHERE source_id != 'w' OR first")
 def q17(spark, d):
-    rows = given(spark, "source_id string, ord int, path string", _LISTED).withColumn("extension", F.regexp_extract("path", r"(\.[a-z]+)$", 1))
+    """Two sources for each customer, and one whose selection is overridden."""
+    cases = json.dumps([dict(zip(("source_id", "ord", "path"), r)) for r in _LISTED])
+    c = table(spark, d, "customer").select("c_custkey")
+    listed = c.join(c.agg(F.min("c_custkey").alias("first"))).select("c_custkey", "first", F.inline(F.from_json(F.lit(cases), "array<struct<source_id:string,ord:int,path:string>>")))
+    own = F.when(F.col("source_id") == "w", "w").otherwise(F.concat_ws("_", "source_id", "c_custkey"))
+    rows = listed.filter("source_id != 'w' or c_custkey = first").select(own.alias("source_id"), "ord", "path").withColumn("extension", F.regexp_extract("path", r"(\.[a-z]+)$", 1))
     return selection.select_files(rows, 2026, ("w", "2026")).select("source_id", "place", "path")
 
 
 _NAMES = [("a b", 3, "x/Café 1.JSON", "a_b__0003__Caf__1.json.raw"), ("s", 12, "en.1.txt", "s__0012__en.1.txt.raw")]
 
 
-@query("q18_filename", expected("source_id idx path name", _NAMES, {"idx": "INTEGER"}))
+@query("q18_filename", dealt_sql("source_id idx path name", _NAMES, {"idx": "INTEGER"}))
 def q18(spark, d):
-    rows = given(spark, "source_id string, idx int, path string", [r[:3] for r in _NAMES])
+    rows = dealt(spark, d, "source_id string, idx int, path string", [r[:3] for r in _NAMES])
     return rows.select("*", selection.safe_filename(F.col("source_id"), F.col("idx"), F.col("path")).alias("name"))
 
 
@@ -459,7 +482,13 @@ _SOURCES = [
 ]
 
 
-@query("q44_source_definitions", expected("ord error place", [(i, e, p) for i, (_, e, p) in enumerate(_SOURCES)], {"ord": "INTEGER", "place": "INTEGER"}))
+_PRIORITY = [5, None, 1, 5, 6, 5, 7, 2, None]
+
+
+@query("q44_source_definitions", f"SELECT CAST(n_nationkey AS INTEGER) AS ord, error, CAST(row_number() OVER (ORDER BY CAST(priority AS BIGINT) NULLS LAST, n_nationkey) AS INTEGER) AS place FROM nation JOIN ({expected('case_no error priority', [(i, e, p) for i, ((_, e, _), p) in enumerate(zip(_SOURCES, _PRIORITY))], {'case_no': 'BIGINT'})}) ON n_nationkey % {len(_SOURCES)} = case_no")
 def q44(spark, d):
-    listed = spark.range(1).select(F.lit(f"[{', '.join(j for j, *_ in _SOURCES)}]").alias("sources"))
+    """A registry with a definition for each nation."""
+    case = F.get(F.array(*(F.lit(j) for j, *_ in _SOURCES)), (F.col("n_nationkey") % len(_SOURCES)).cast("int"))
+    every = F.array_sort(F.collect_list(F.struct("n_nationkey", case.alias("json"))))
+    listed = table(spark, d, "nation").agg(F.concat(F.lit("["), F.array_join(F.transform(every, lambda x: x.json), ","), F.lit("]")).alias("sources"))
     return documents.definitions(listed).select("ord", "error", "place")
