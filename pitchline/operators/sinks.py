@@ -125,3 +125,11 @@ def raw_paths(folder: str, source: Column, index: Column, path: Column) -> Colum
     """Where the raw sink puts a file of a source."""
     return F.concat(F.lit(folder.rstrip("/") + "/"), source, F.lit("/"), safe_filename(source, index, path))
 
+
+
+def write_parts(rows: DataFrame, folder: str, by: str) -> None:
+    """Write rows to a table with a folder for each value of a column; only the folders of values among the rows are replaced.
+
+    A rerun of one source leaves the others' files as they are, and a filter by the column reads its folder alone.  A value's rows are written by the tasks that have them, so a popular one is split.
+    """
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(folder)

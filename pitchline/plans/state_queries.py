@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import changes, temporal
-from ..shared import new_folder
+from ..operators import changes, rules, sinks, summaries, temporal
+from ..shared import Workspace, new_folder
 from ..streaming import intake, merging
 from ..streaming import windows as temporal_windows
-from .queries import _ORDERS, order_matches, query, table
+from .queries import _HOLED, _ORDERS, holed, order_matches, query, table
 from .stage_queries import SETTINGS, raw_customers
 
 # ------------------------------------------------------------------ changes
@@ -131,3 +131,28 @@ def q73(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     met = temporal.within(orders, orders, "o_custkey", "o_orderdate", "o_orderdate", 0, 30 * 86_400)
     return met.select(F.col("left.o_orderkey").alias("first"), F.col("right.o_orderkey").alias("second")).filter("first != second")
+
+
+# ------------------------------------------------------------------ summaries and sinks
+
+
+@query("q74_findings_cube", f"WITH {_HOLED}, s AS (SELECT f.*, coalesce(i % 3, -1) AS source FROM f) SELECT severity, \"check\", source, CAST(grouping(severity, \"check\", source) AS BIGINT) AS level, count(*) AS findings, count(DISTINCT i) AS records, count(DISTINCT message) AS messages FROM s GROUP BY CUBE (severity, \"check\", source)")
+def q74(spark, d):
+    """Findings by every combination of severity, check and source, with the records that they touch."""
+    rows = rules.findings(holed(spark, d), rules.Rules(), work=Workspace(spark, "q74"))
+    told = rows.withColumn("source", F.coalesce(F.col("record_index") % 3, F.lit(-1)))
+    return summaries.cube(told, "severity", "check", "source", records=F.col("record_index"), messages=F.col("message")).withColumnRenamed("rows", "findings")
+
+
+@query("q75_parts", "SELECT o_orderpriority AS source, count(*) FILTER (o_orderpriority != '2-HIGH' OR o_orderkey % 2 = 0) AS rows, o_orderpriority != '2-HIGH' AS untouched FROM orders GROUP BY o_orderpriority HAVING count(*) FILTER (o_orderpriority != '2-HIGH' OR o_orderkey % 2 = 0) > 0")
+def q75(spark, d):
+    """A table of all orders by priority, of which one is written again with half of its rows; whether each part's files are those of the first run."""
+    folder = new_folder(spark, "q75")
+    rows = order_matches(spark, d).select("scheduledAt", "status", "_rec_ord", F.col("awayTeam.name").alias("source"))
+    sinks.write_parts(rows, folder, "source")
+    read = lambda: spark.read.schema(rows.schema).parquet(folder)
+    files = lambda c: read().select("source", F.col("_metadata.file_name").alias("f")).groupBy("source").agg(F.min("f").alias(c))
+    before = Workspace(spark, "q75").save(files("before"), "before")
+    sinks.write_parts(rows.filter("source = '2-HIGH' and _rec_ord % 2 = 0"), folder, "source")
+    after = read().select("source", F.col("_metadata.file_name").alias("f")).groupBy("source").agg(F.count("*").alias("rows"), F.min("f").alias("after"))
+    return after.join(before, "source").select("source", "rows", (F.col("before") == F.col("after")).alias("untouched"))
