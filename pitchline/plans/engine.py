@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import changes, merge, publish, rules, schema, sinks
 from ..shared import Workspace
-from ..sources import documents, files, selection
+from ..sources import documents, files, ledger, selection
 
 RESULT = "source_id string, source_url string, status string, fetched_at string, files_discovered long, files_selected long, files_downloaded long, bytes_received long, error string"
 
@@ -36,6 +36,11 @@ class Settings:
     merge_provenance: bool = False
     #: Findings that a report lists at most; its counts and the table of findings hold all.
     listed: int = 100_000
+    #: How often a download is tried again, and the seconds between.
+    retries: int = 0
+    retry_delay: float = 0.0
+    #: Keep a ledger of downloads, and download only what it lacks.
+    resume: bool = False
     #: Leave what is published if its data are the same.
     only_if_changed: bool = True
     #: The share by which the number of published matches may move; more is told as a drop or an increase.
@@ -59,18 +64,28 @@ def fetch_source(spark: SparkSession, source_id: str, url: str, folder: str, set
         chosen = selection.select_files(found, settings.as_of_year, settings.override).join(found.select("path", "download_url"), "path").orderBy("place").collect()
         if not chosen:
             raise RuntimeError("No relevant JSON or text files were discovered.")
-        spark.dataSource.register(files.download_source(get))
-        got = spark.read.format("downloads").option("urls", json.dumps([r["download_url"] for r in chosen])).load()
-        names = spark.createDataFrame([(r["place"], r["path"], r["download_url"]) for r in chosen], "place int, path string, download_url string")
-        got = work.save(got.join(names, F.col("url") == F.col("download_url")).select("place", "path", "status", "content", "error"), f"fetched-{len(work.made)}")
-        work.made.append(source_id)
-        bad = got.filter("error is not null").orderBy("place").select("place", "path", "status", "error").first()
-        good = got if bad is None else got.filter(F.col("place") < bad["place"])
-        paths = sinks.raw_paths(folder, F.lit(source_id), F.col("place") + 1, F.col("path"))
-        size = sinks.write_files(good.select(paths.alias("path"), "content")).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-        if bad is not None:
-            raise RuntimeError(f"HTTP {bad['status']} while downloading {bad['path']}" if bad["status"] is not None else f"{bad['error']} while downloading {bad['path']}")
-        return told | {"status": "FETCHED", "files_discovered": len(listing), "files_selected": len(chosen), "files_downloaded": len(chosen), "bytes_received": size}
+        wanted = [(r["place"], r["path"], r["download_url"]) for r in chosen]
+        book = ledger.Ledger(spark, f"{folder.rstrip('/')}-ledger")
+        if settings.resume:
+            there = {(r["place"], r["path"], r["url"]) for r in book.done(source_id).collect()}
+            wanted = [w for w in wanted if w not in there]
+        size = 0
+        if wanted:
+            spark.dataSource.register(files.download_source(get, settings.retries, settings.retry_delay))
+            got = spark.read.format("downloads").option("urls", json.dumps([u for *_, u in wanted])).load()
+            names = spark.createDataFrame(wanted, "place int, path string, download_url string")
+            got = work.save(got.join(names, F.col("url") == F.col("download_url")).select("place", "path", "url", "status", "content", "error", "attempts"), f"fetched-{len(work.made)}")
+            work.made.append(source_id)
+            bad = got.filter("error is not null").orderBy("place").select("place", "path", "status", "error").first()
+            # what is resumed keeps every file that came; otherwise files after the first failure wait for the next run
+            good = got.filter("error is null") if settings.resume or bad is None else got.filter(F.col("place") < bad["place"])
+            paths = sinks.raw_paths(folder, F.lit(source_id), F.col("place") + 1, F.col("path"))
+            size = sinks.write_files(good.select(paths.alias("path"), "content")).agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+            if settings.resume:
+                book.add(got.select(F.lit(source_id).alias("source_id"), "path", "url", "place", F.lit(settings.clock).alias("at"), "attempts", "status", "error", F.length("content").cast("long").alias("size")))
+            if bad is not None:
+                raise RuntimeError(f"HTTP {bad['status']} while downloading {bad['path']}" if bad["status"] is not None else f"{bad['error']} while downloading {bad['path']}")
+        return told | {"status": "FETCHED", "files_discovered": len(listing), "files_selected": len(chosen), "files_downloaded": len(wanted), "bytes_received": size}
     except Exception as e:  # one source that fails leaves the others
         return told | {"error": str(e)}
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import lines, merge, publish, records, rules, schema, sinks
 from ..shared import Workspace
-from ..sources import documents, files, selection
+from ..sources import documents, files, ledger, selection
 from . import engine
 from .queries import _HOLED, expected, holed, query, table
 
@@ -148,6 +148,25 @@ def q51(spark, d):
     return files.raw_files(spark, f"{work.path}/raw").select("path", "source_id", "format")
 
 
+@query("q76_resume", """WITH n AS (SELECT r_regionkey AS r, count(*) AS files, count(*) FILTER (n_nationkey % 4 = 1) AS bad FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey = 0 GROUP BY ALL)
+SELECT run, CASE WHEN run = 0 AND bad > 0 THEN 'FETCH_FAILED' ELSE 'FETCHED' END AS status, CASE WHEN run = 0 THEN files WHEN run = 1 THEN bad ELSE 0 END AS tried, CASE WHEN run = 0 THEN files - bad WHEN run = 1 THEN bad ELSE 0 END AS came, CASE WHEN run = 0 THEN files - bad ELSE files END AS raw_files FROM n CROSS JOIN (VALUES (0), (1), (2)) t(run)""")
+def q76(spark, d):
+    """Three fetches of one source with a ledger: some files fail, then only these are asked for, then nothing is missing."""
+    work = Workspace(spark, "q76")
+    answers = remote(spark, d)
+    broken = {f"{n['name']}.json" for n in nations(spark, d).collect() if n["k"] % 4 == 1}
+    failing = {u: (503, b"") if urllib.parse.unquote(u).rsplit("league ", 1)[-1] in broken else a for u, a in answers.items()}
+    out = []
+    for run, told in enumerate((failing, answers, answers)):
+        settings = engine.Settings(f"2026-08-0{run + 1}T00:00:00+00:00", 2026, resume=True, retries=1)
+        w = Workspace(spark, f"q76-{run}")
+        w.made = []
+        got = engine.fetch_source(spark, "s", "https://github.com/o/r0", f"{work.path}/raw", settings, lambda url, accept, t=told: t.get(url, (404, b"")), w)
+        book = ledger.Ledger(spark, f"{work.path}/raw-ledger").rows().filter(F.col("at") == settings.clock).agg(F.count("*").alias("tried"), F.count_if(F.col("error").isNull()).alias("came")).first()
+        out.append((run, got["status"], book["tried"], book["came"], files.raw_files(spark, f"{work.path}/raw").count()))
+    return spark.createDataFrame(out, "run int, status string, tried long, came long, raw_files long")
+
+
 @query("q52_contents_url", "SELECT url, 'https://api.github.com/repos/o/r/contents/' || replace(url_encode(regexp_replace(url, '^/+|/+$', '', 'g')), '%2F', '/') AS address FROM pages")
 def q52(spark, d):
     return table(spark, d, "pages").select("url", files.contents_url(F.lit("o"), F.lit("r"), F.col("url")).alias("address"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
@@ -90,22 +91,31 @@ class _File(InputPartition):
 
 
 class _Downloads(DataSourceReader):
-    def __init__(self, urls: list[str], get: Transport):
-        self.urls, self.get = urls, get
+    def __init__(self, urls: list[str], get: Transport, retries: int, delay: float):
+        self.urls, self.get, self.retries, self.delay = urls, get, retries, delay
 
     def partitions(self) -> list[InputPartition]:
         return [_File(u) for u in self.urls]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        try:
-            status, body = self.get(partition.value, "*/*")
-            yield partition.value, status, bytearray(body), None if status == 200 else f"HTTP {status}"
-        except Exception as e:  # one file that fails leaves the others
-            yield partition.value, None, None, str(e)
-
-
-def download_source(get: Transport = http_get) -> type[DataSource]:
-    """A data source `downloads` with option urls (a JSON list): (url, status, content, error), a task for each file."""
+        for attempt in range(1, self.retries + 2):
+            try:
+                status, body = self.get(partition.value, "*/*")
+                row = (partition.value, status, bytearray(body), None if status == 200 else f"HTTP {status}", attempt)
+                again = status >= 500  # what the other side may mend
+            except Exception as e:  # one file that fails leaves the others
+                row, again = (partition.value, None, None, str(e), attempt), True
+            if not again or attempt > self.retries:
+                break
+            time.sleep(self.delay)
+        yield row
+
+
+def download_source(get: Transport = http_get, retries: int = 0, delay: float = 0.0) -> type[DataSource]:
+    """A data source `downloads` with option urls (a JSON list): (url, status, content, error, attempts), a task for each file.
+
+    What fails on the way or on the other side is tried again up to retries times, after delay seconds each.
+    """
 
     class Downloads(DataSource):
         @classmethod
@@ -113,10 +123,10 @@ def download_source(get: Transport = http_get) -> type[DataSource]:
             return "downloads"
 
         def schema(self) -> str:
-            return "url string, status int, content binary, error string"
+            return "url string, status int, content binary, error string, attempts int"
 
         def reader(self, schema) -> DataSourceReader:
-            return _Downloads(json.loads(self.options["urls"]), get)
+            return _Downloads(json.loads(self.options["urls"]), get, retries, delay)
 
     return Downloads
 
