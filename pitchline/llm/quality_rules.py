@@ -11,8 +11,13 @@ Most documents have no symbols and no repeats, so a covariance alone would be si
 are added to the variances, as deviations that a source is always allowed.  Alone, a variable rejects when word length is off by
 10 % or more (more where the source's own words vary), with 1.3 % of symbols, 40 % of repeated lines or 28 % of repeated words.
 
+Estimates are made for each language and source, each language and the corpus.  What judges a group is that of its own documents
+mixed with PRIOR documents of its parent, so small groups follow their language, small languages the corpus, and large ones
+themselves; the covariance is that of the mixture, so it is wide where a small group stands apart.
+
 Vectors are whole numbers (thousandths), so sums are exact and results do not depend on how rows are
-partitioned; quantiles are taken exactly over rounded values, of which there are few.
+partitioned; quantiles are taken exactly over rounded values, of which there are few.  Equal vectors of a group are one row with a
+weight from the start: the search reads these points alone.
 """
 
 from __future__ import annotations
@@ -35,8 +40,8 @@ STEPS = 20
 CUTOFF = 11.143
 #: What makes the covariance of the nearest 75 % (97.5 %) of normal vectors in 4 dimensions that of all of them.
 CONSISTENCY, REWEIGHTED = 1.486, 1.065
-#: Groups of fewer documents have no covariance worth the name: the estimate of their language, else of the corpus, judges them.
-LEAST_GROUP = 40
+#: With how many documents of its parent a group is mixed, whatever its own number.
+PRIOR = 40
 #: Estimates are sent to the executors up to this number of rows (of 200 bytes), joined by key beyond it.
 SENT_ROWS = 50_000
 
@@ -132,7 +137,10 @@ def _bucket(d2: Column) -> Column:
 
 
 def _sums() -> list[Column]:
-    return [F.count("*").alias("n"), *(F.sum(x).alias(f"s{i}") for i, x in enumerate(VARIABLES)), *(F.sum(F.col(VARIABLES[i]) * F.col(VARIABLES[j])).alias(f"s{i}{j}") for i, j in _PAIRS)]
+    """Number, sums and products of vectors, each as often as its weight says."""
+    x = [F.col(v) for v in VARIABLES]
+    w = F.col("w")
+    return [F.sum(w).alias("n"), *(F.sum(w * x[i]).alias(f"s{i}") for i in range(4)), *(F.sum(w * x[i] * x[j]).alias(f"s{i}{j}") for i, j in _PAIRS)]
 
 
 def _moments(factor: float) -> tuple[list[Column], dict[tuple[int, int], Column]]:
@@ -148,17 +156,17 @@ def _moments(factor: float) -> tuple[list[Column], dict[tuple[int, int], Column]
 def starts(vectors: DataFrame, work: Workspace, sent) -> DataFrame:
     """Three estimates of each key, from which the search starts."""
     coarse = [F.round(F.col(x) / 20).cast("long") for x in VARIABLES]
-    middle = work.save(vectors.groupBy(KEY).agg(*(F.percentile(c, 0.5).alias(f"q{i}") for i, c in enumerate(coarse))), "medians")
-    off = [F.percentile(F.abs(c - F.col(f"q{i}")).cast("long"), 0.5).alias(f"d{i}") for i, c in enumerate(coarse)]
+    middle = work.save(vectors.groupBy(KEY).agg(*(F.percentile(c, 0.5, F.col("w")).alias(f"q{i}") for i, c in enumerate(coarse))), "medians")
+    off = [F.percentile(F.abs(c - F.col(f"q{i}")).cast("long"), 0.5, F.col("w")).alias(f"d{i}") for i, c in enumerate(coarse)]
     middle = work.save(vectors.join(sent(middle), KEY).groupBy(*KEY, *(f"q{i}" for i in range(4))).agg(*off), "deviations")
     centre = [F.col(f"q{i}") * 20 / UNIT for i in range(4)]
     scale = [F.greatest(F.col(f"d{i}") * 20 / UNIT * 1.4826, F.lit(FLOORS[i])) for i in range(4)]
     z = [(F.col(x) / UNIT - centre[i]) / scale[i] for i, x in enumerate(VARIABLES)]
-    signed = vectors.join(sent(middle), KEY).select(*KEY, *VARIABLES, *(v.alias(f"z{i}") for i, v in enumerate(z)))
+    signed = vectors.join(sent(middle), KEY).select(*KEY, *VARIABLES, "w", *(v.alias(f"z{i}") for i, v in enumerate(z)))
     length = F.sqrt(sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(1, 4)), F.col("z0") * F.col("z0")))
     unit = [F.when(length > 0, F.col(f"z{i}") / length).otherwise(0.0) for i in range(4)]
     # signs in millionths: whole numbers have the same sum in any order
-    shape = [F.sum(F.round(unit[i] * unit[j] * 1e6).cast("long")).alias(f"u{i}{j}") for i, j in _PAIRS]
+    shape = [F.sum(F.col("w") * F.round(unit[i] * unit[j] * 1e6).cast("long")).alias(f"u{i}{j}") for i, j in _PAIRS]
     told = work.save(signed.groupBy(KEY).agg(*_sums(), *shape).join(middle, KEY), "spread")
     floor = lambda i, j: FLOORS[i] ** 2 if i == j else 0.0
     by_sign = {(i, j): 4 * F.col(f"u{i}{j}") / 1e6 / F.col("n") * scale[i] * scale[j] + floor(i, j) / 10 for i, j in _PAIRS}
@@ -168,8 +176,13 @@ def starts(vectors: DataFrame, work: Workspace, sent) -> DataFrame:
 
 
 def estimates(vectors: DataFrame, work: Workspace, sent=lambda df: df) -> DataFrame:
-    """Centre and factor of each key: KEY and _STATE.  sent: broadcasts a small table, if it is known to be one."""
+    """Centre and factor of each key: KEY, _STATE and total, its number of documents.  sent: broadcasts a small table, if it is known to be one.
+
+    Vectors may come with a weight w, how often each stands; without one each row counts once.
+    """
     keys = [*KEY, "start"]
+    weight = F.sum("w") if "w" in vectors.columns else F.count("*")
+    vectors = work.save(vectors.groupBy(*KEY, *VARIABLES).agg(weight.alias("w")), "points")
     active = work.save(starts(vectors, work, sent), "start")
     ended: list[DataFrame] = []
     for step in range(STEPS):
@@ -194,37 +207,48 @@ def estimates(vectors: DataFrame, work: Workspace, sent=lambda df: df) -> DataFr
     every = reduce(DataFrame.unionByName, ended or [active.select(*keys, *_STATE, "logdet")])
     best = every.groupBy(KEY).agg(F.min(F.struct(F.round("logdet", 9).alias("logdet"), "start", *_STATE)).alias("b")).select(*KEY, *(F.col(f"b.{c}") for c in _STATE))
     best = work.save(best, "best")
-    near = vectors.join(sent(best), KEY).filter(_squared() <= CUTOFF).groupBy(KEY).agg(*_sums())
-    return work.save(_factor(near, KEY, *_moments(REWEIGHTED)).drop("logdet"), "estimates")
+    told = vectors.join(sent(best), KEY).withColumn("every", F.col("w")).withColumn("w", F.when(_squared() <= CUTOFF, F.col("w")).otherwise(0))
+    near = told.groupBy(KEY).agg(F.sum("every").alias("total"), *_sums())
+    return work.save(_factor(near, [*KEY, "total"], *_moments(REWEIGHTED)).drop("logdet"), "estimates")
+
+
+def _mixed(rows: DataFrame, keep: list[str], parent: DataFrame, on: list[str]) -> DataFrame:
+    """Estimates of rows mixed with PRIOR documents of their parent's."""
+    above = parent.select(*on, *(F.col(c).alias(f"p_{c}") for c in _STATE))
+    both = rows.join(above, on) if on else rows.crossJoin(above)  # the parent of all languages is one row
+    own, share = F.col("total") / (F.col("total") + PRIOR), PRIOR / (F.col("total") + PRIOR)
+    off = [F.col(f"m{i}") - F.col(f"p_m{i}") for i in range(4)]
+    product = lambda p, i, j: sum((F.col(f"{p}l{j}{k}") * F.col(f"{p}l{i}{k}") for k in range(1, i + 1)), F.col(f"{p}l{j}0") * F.col(f"{p}l{i}0"))
+    mean = [own * F.col(f"m{i}") + share * F.col(f"p_m{i}") for i in range(4)]
+    cov = {(i, j): own * product("", i, j) + share * product("p_", i, j) + own * share * off[i] * off[j] for i, j in _PAIRS}
+    return _factor(both, keep, mean, cov).drop("logdet")
+
+
+def shrunk(made: DataFrame) -> DataFrame:
+    """g_lang, g_source and _STATE of each group, from the estimates of all three levels."""
+    of = lambda level: made.filter(F.col("g_level") == level)
+    langs = _mixed(of(1), ["g_lang"], of(2), [])
+    return _mixed(of(0), ["g_lang", "g_source"], langs, ["g_lang"])
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """(doc_id, the five counts, base_failed, kept, distance2) of each row.
 
     Null and empty texts have no words and fail.  Null languages and sources count as empty ones.  Repeated
-    rows count as often as they stand and give equal rows.  A language and source with under LEAST_GROUP documents
-    that pass the fixed limits is judged by the estimate of its language, else by that of the whole corpus; if that has under
-    LEAST_GROUP too, distance2 is null and kept is not base_failed.  An empty table gives no rows.  Other columns are not read.
+    rows count as often as they stand and give equal rows.  The rule is one for groups and corpora of any size: a document that is
+    alone in its group is judged by its language and corpus, and alone in the table it is kept.  distance2 is null where
+    base_failed.  An empty table gives no rows.  Other columns are not read.
     """
     work = Workspace(docs.sparkSession, "quality")
     measured = work.save(measures(docs), "measures")
-    good = measured.filter("not base_failed").select("g_lang", "g_source", *VARIABLES)
-    groups = work.save(good.groupBy("g_lang", "g_source").agg(F.count("*").alias("n")), "groups")
-    langs = groups.groupBy("g_lang").agg(F.sum("n").alias("of_lang"))
-    total, number = groups.agg(F.sum("n"), F.count("*")).first()
-    # how each group is judged: 0 by itself, 1 by its language, 2 by the corpus
-    level = F.when(F.col("n") >= LEAST_GROUP, 0).when(F.col("of_lang") >= LEAST_GROUP, 1).otherwise(2)
-    blank = lambda c, most: F.when(F.col("g_level") <= most, F.col(c)).otherwise("")
-    led = groups.join(langs, "g_lang").withColumn("g_level", level)
-    led = work.save(led.select(F.col("g_lang").alias("of_l"), F.col("g_source").alias("of_s"), "g_level", blank("g_lang", 1).alias("g_lang"), blank("g_source", 0).alias("g_source")), "led")
-    sent = F.broadcast if number <= SENT_ROWS else lambda df: df
-    own = led.filter("g_level = 0").select(KEY)
-    parts = [good.join(sent(own), ["g_lang", "g_source"])]
-    parts.append(good.join(sent(led.filter("g_level = 1").select("g_lang").distinct()), "g_lang", "left_semi").withColumn("g_source", F.lit("")).withColumn("g_level", F.lit(1)))
-    if (total or 0) >= LEAST_GROUP and not led.filter("g_level = 2").isEmpty():
-        parts.append(good.withColumns({"g_lang": F.lit(""), "g_source": F.lit(""), "g_level": F.lit(2)}))
-    vectors = reduce(DataFrame.unionByName, [p.select(*KEY, *VARIABLES) for p in parts])
-    state = led.join(estimates(vectors, work, sent), KEY).select("of_l", "of_s", *_STATE)
+    good = measured.filter("not base_failed")
+    points = work.save(good.groupBy("g_lang", "g_source", *VARIABLES).agg(F.count("*").alias("w")), "vectors")
+    number = points.select("g_lang", "g_source").distinct().count()
+    sent = F.broadcast if number <= SENT_ROWS // 9 else lambda df: df  # at most three keys a group, three starts each
+    levels = [(0, F.col("g_lang"), F.col("g_source")), (1, F.col("g_lang"), F.lit("")), (2, F.lit(""), F.lit(""))]
+    keyed = F.inline(F.array(*(F.struct(F.lit(level).alias("g_level"), lang.alias("g_lang"), source.alias("g_source")) for level, lang, source in levels)))
+    made = estimates(points.select(keyed, *VARIABLES, "w"), work, sent)
+    state = shrunk(made).withColumnsRenamed({"g_lang": "of_l", "g_source": "of_s"})
     state = work.save(state, "state")
     work.only("measures", "state")
     told = measured.join(sent(state), (measured["g_lang"] == state["of_l"]) & (measured["g_source"] == state["of_s"]), "left")

@@ -75,14 +75,15 @@ def brute(rows):
             vectors[i] = np.array([half_up(x * 1000) for x in raw], float) / 1000
             for of in ((lang, source), (lang,), ()):
                 groups[of].append(i)
-    distance, made = {}, {}
+    made = {of: mcd(np.array([vectors[k] for k in inside])) for of, inside in groups.items()}
+    distance = {}
     for i, r in vectors.items():
-        of = next((g for g in (data[i][2:], data[i][2:3], ()) if len(groups[g]) >= q.LEAST_GROUP), None)
-        if of is not None:
-            if of not in made:
-                made[of] = mcd(np.array([vectors[k] for k in groups[of]]))
-            mean, cov = made[of]
-            distance[i] = (r - mean) @ np.linalg.solve(cov, r - mean)
+        mean, cov = made[()]
+        for of in (data[i][2:3], data[i][2:]):
+            (m, c), own = made[of], len(groups[of]) / (len(groups[of]) + q.PRIOR)
+            off = m - mean
+            mean, cov = own * m + (1 - own) * mean, own * c + (1 - own) * cov + own * (1 - own) * np.outer(off, off)
+        distance[i] = (r - mean) @ np.linalg.solve(cov, r - mean)
     return [(d, *c[:6], not c[5] and distance.get(i, 0) <= q.CUTOFF, distance.get(i)) for i, (d, c, *_) in enumerate(data)]
 
 
@@ -187,3 +188,20 @@ def test_the_query_judges_small_groups(spark):
     # each of the 80 groups of this table is small
     got = op9_quality_rules(spark, DATA).collect()
     assert all(r.distance2 is not None for r in got if r.n_words >= 20 and r.kept) and any(r.distance2 is not None and not r.kept for r in got)
+
+
+def test_one_rule_at_every_size_of_a_group(spark):
+    """Groups that differ by one document only are judged alike: no number of documents switches the rule."""
+    rng = np.random.default_rng(7)
+    good = lambda i: "\n".join(plain(i, rng))
+    junk = "\n".join(line.translate(str.maketrans("aeiotn", "######")) for line in plain(0, rng))
+    sizes = (1, 2, 20, 39, 40, 41, 60)
+    rows = [(1000 * n + i, good(i), "en", f"s{n}") for n in sizes for i in range(n)] + [(1000 * n + 999, junk, "en", f"s{n}") for n in sizes]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in q.judge(df).collect()}
+    assert all(r.distance2 is not None and r.kept == (i % 1000 != 999) for i, r in got.items())
+    near = [got[1000 * n + 999].distance2 for n in (39, 40, 41)]
+    assert max(near) < 1.25 * min(near)
+    alone = q.judge(spark.createDataFrame(rows[-1:], df.schema)).first()
+    assert alone.kept and alone.distance2 == 0
+    check(df, rows)
