@@ -21,13 +21,18 @@ def day_exists(year: Column, month: Column, day: Column) -> Column:
     return F.coalesce((year >= 1) & month.between(1, 12) & (day >= 1) & (day <= days), F.lit(False))
 
 
+def _groups(text: Column, form: str, n: int) -> Column:
+    """The n groups of a whole text in one pass, empty where a group has no part; no group may hold a bar."""
+    return F.split(F.regexp_replace(text, form, "|".join(f"${k}" for k in range(1, n + 1))), "[|]")
+
+
 def iso_parts(text: Column) -> Column:
     """Struct day, time (seconds), fraction (six digits), offset (seconds, null if none); null if not an ISO date or time."""
-    return let(F.when(text.rlike(_ISO), F.array(*[F.nullif(F.regexp_extract(text, _ISO, k), F.lit("")) for k in range(1, 18)])), _from_groups)
+    return let(F.when(text.rlike(_ISO), _groups(text, _ISO, 17)), _from_groups)
 
 
 def _from_groups(groups: Column) -> Column:
-    g = lambda *i: F.coalesce(*[groups[k - 1] for k in i])
+    g = lambda *i: F.coalesce(*[F.nullif(groups[k - 1], F.lit("")) for k in i])
     year, month, day = _int(g(1, 4)), _int(g(2, 5)), _int(g(3, 6))
     plain = F.when(day_exists(year, month, day), F.try_to_date(F.format_string("%04d-%02d-%02d", year, month, day), "yyyy-MM-dd"))
     week_year, week, week_day = _int(g(7)), _int(g(8)), F.coalesce(_int(g(9)), F.lit(1))
@@ -74,15 +79,14 @@ _FORMS = (
 
 def _form(text: Column, form: str) -> Column:
     names = [part[0] for part in form.split("(?<")[1:]]
-    groups = F.array(*(_int(F.nullif(F.regexp_extract(text, form, i + 1), F.lit(""))) for i in range(len(names))))
 
     def told(g: Column) -> Column:
-        y, m, d, h, n, s = (g[names.index(k)] if k in names else F.lit(0) for k in "ymdhns")
+        y, m, d, h, n, s = (_int(F.nullif(g[names.index(k)], F.lit(""))) if k in names else F.lit(0) for k in "ymdhns")
         h, n, s = (F.coalesce(x, F.lit(0)) for x in (h, n, s))
         ok = (h <= 23) & (n <= 59) & (s <= 59) & day_exists(y, m, d)
         return F.when(ok, F.format_string("%04d-%02d-%02dT%02d:%02d:%02d+00:00", y, m, d, h, n, s))
 
-    return F.when(text.rlike(form), let(groups, told))
+    return F.when(text.rlike(form), let(_groups(text, form, len(names)), told))
 
 
 def published_datetime(c: Column) -> Column:
