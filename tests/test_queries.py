@@ -40,3 +40,13 @@ def test_query_equals_its_sql(spark, duck, name):
     got, want = ordered(df.columns, [tuple(r) for r in df.collect()]), ordered(names, made.fetchall())
     assert len(got) == len(want)
     assert got == want
+
+
+def test_numbers_of_customers_that_look_like_years_are_none(spark, tmp_path):
+    spark.range(3).selectExpr("array(2015L, 12034L, 7L)[id] as c_custkey").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
+    made = con.execute(registry.oracle_sql()["q15_txt_parse"])
+    names = [c[0] for c in made.description]
+    got = registry.queries()["q15_txt_parse"](spark, str(tmp_path))
+    assert ordered(got.columns, [tuple(r) for r in got.collect()]) == ordered(names, made.fetchall())
