@@ -118,3 +118,12 @@ def test_texts_that_are_no_json_and_nulls(spark):
 def test_schemas_that_cannot_be_compiled(spark, bad):
     with pytest.raises(schema.SchemaError):
         schema.check(spark.createDataFrame([("1",)], "text string"), "text", schema.Schema(bad))
+
+
+def test_values_are_read_once_and_faults_found_once(spark):
+    rows = spark.createDataFrame([(1, "{}")], "i int, text string")
+    inner = {"type": "object", "required": ["a"], "properties": {"a": {"type": "string", "minLength": 1}}}
+    deep = {"type": "object", "properties": {"b": {"type": "object", "properties": {"c": inner}}}}
+    plan = schema.each_fault(schema.check(rows, "text", schema.Schema(deep)), "i")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("schemaofvariant(") == 4, plan
+    assert "Filter" not in plan
