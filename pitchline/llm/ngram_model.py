@@ -323,21 +323,19 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> list[float]:
 
 
 class Model:
-    """A model's arrays, mapped as they are asked for."""
+    """A model's arrays.  Those of a range are mapped while it is searched and let go then, so a worker holds the pages of one range, however large the model."""
 
     def __init__(self, told: dict):
         self.told, self.order, self.bits = told, told["order"], told["bits"]
         self.system, self.place = _open(told["folder"])
-        self.known: dict[tuple[int, int], dict[str, np.ndarray]] = {}
+        self.known: dict[str, str] = {}
         self.fetched = ""
 
-    def _arrays(self, level: int, number: int) -> dict[str, np.ndarray] | None:
+    def _arrays(self, level: int, number: int, columns: tuple[str, ...]) -> dict[str, np.ndarray] | None:
         about = self.told["levels"][level - 1]["ranges"].get(str(number))
         if about is None:
             return None
-        if (level, number) not in self.known:
-            self.known[level, number] = {c: np.memmap(self._local(f"level-{level}/{number}/{c}"), dtype=np.dtype(k), mode="r", shape=(about["rows"],)) for c, k in about["kinds"].items()}
-        return self.known[level, number]
+        return {c: np.memmap(self._local(f"level-{level}/{number}/{c}"), dtype=np.dtype(about["kinds"][c]), mode="r", shape=(about["rows"],)) for c in columns}
 
     def _local(self, name: str) -> str:
         if self.system.type_name == "local":
@@ -346,7 +344,9 @@ class Model:
             import tempfile
 
             self.fetched = tempfile.mkdtemp()  # a copy for this worker alone
-        at = f"{self.fetched}/{name.replace('/', '-')}"
+        if name in self.known:
+            return self.known[name]
+        at = self.known[name] = f"{self.fetched}/{name.replace('/', '-')}"
         with self.system.open_input_stream(f"{self.place}/{name}") as read, open(at, "wb") as out:
             while part := read.read(8 * MERGED):
                 out.write(part)
@@ -359,13 +359,14 @@ class Model:
         number = (asked >> np.uint64(64 - self.bits)).astype(np.int64)
         edges = np.flatnonzero(np.r_[True, number[1:] != number[:-1], True]) if len(asked) else np.zeros(1, np.int64)
         for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            arrays = self._arrays(level, int(number[begin]))
+            arrays = self._arrays(level, int(number[begin]), ("hash", *numbers))
             if arrays is None:
                 continue
             at = np.minimum(np.searchsorted(arrays["hash"], asked[begin:end]), len(arrays["hash"]) - 1)
             met = arrays["hash"][at] == asked[begin:end]
             for o, name in zip(out, numbers):
                 o[begin:end][met] = arrays[name][at[met]]
+            del arrays
         return [o[back] for o in out]
 
     def _left(self, level: int, count: np.ndarray) -> np.ndarray:
