@@ -1,8 +1,9 @@
+import json
 from itertools import product
 
 from pyspark.sql import functions as F
 
-from pitchline.operators import sinks, summaries
+from pitchline.operators import publish, sinks, summaries
 from pitchline.plans import engine
 from pitchline.plans.stage_queries import SETTINGS, customer_rows
 from pitchline.shared import Workspace, new_folder
@@ -42,3 +43,16 @@ def test_a_report_counts_more_findings_than_it_lists(spark):
     assert head["validation"]["errors"] == whole["validation"]["errors"] == len(whole["errors"]) > 5
     assert len(head["errors"]) + len(head["warnings"]) == 5 == head["validation"]["listed"] and "listed" not in whole["validation"]
     assert head["errors"] == whole["errors"][: len(head["errors"])] and head["validation"]["publicationAllowed"] is False
+
+
+def test_a_written_report_is_the_report_and_lists_all(spark):
+    rows = customer_rows(spark, "/root/testdata/sf0.001")
+    work = Workspace(spark, "t")
+    found = engine.validate(rows, SETTINGS, work)
+    text = lambda: spark.read.text(f"{work.path}/report.json", wholetext=True).first()[0]
+    for settings in (SETTINGS, engine.Settings(SETTINGS.clock, 2026, listed=5), engine.Settings(SETTINGS.clock, 2026, listed=0)):
+        engine.write_report(found, rows.count(), settings, "in", f"{work.path}/report.json")
+        assert text() == publish.json_text(engine.report(found, rows.count(), settings, "in"))
+    many = spark.range(100_001).selectExpr("'error' as severity", "1 as stage", "0 as seq", "'c' as check", "'m' as message", "id as record_index")
+    engine.write_report(many, 100_001, SETTINGS, "in", f"{work.path}/report.json")
+    assert len(json.loads(text())["errors"]) == 100_001
