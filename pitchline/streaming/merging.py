@@ -1,21 +1,19 @@
 """The merge by identity over rows that arrive in portions.
 
-The merge is an argmax for each field, so it is kept as the state of a streaming aggregation: for each identity the best values so far, never its rows.  A micro-batch tells the identities that it
-touched; they go to a log whose parts are overwritten if the batch runs again.  The state of the table is the last line of each identity in the log, equal to the
-merge of all rows at once, however they were split into batches.  Matches have no time after which they cannot change, so the state has a row for each identity.
+The merge is an argmax for each field, so parts of it can be combined: a micro-batch tells, for each identity among its rows, the best values with their ranks, never the rows.  These go to a log
+whose parts are overwritten if the batch runs again, and the table is what all lines of an identity come to: the merge of all rows at once, however they were split into batches.
+No state is kept between batches, as matches have no time after which they cannot change, and a batch costs what its own rows do.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import merge
+from ..shared import spread
 from .intake import Batches, drain
 
-KEY = ("identity", "alone")
-
 
 class MergedTable:
     """The merged rows of a stream of match rows.  at: where log and checkpoint are kept."""
@@ -27,17 +25,14 @@ class MergedTable:
 
     def update(self, rows: DataFrame) -> None:
         """Take the rows of a stream that are new."""
-        merged = merge.merged(rows, self.provenance, keep_key=True)
-        self.schema = merged.schema
+        self.schema = merge.partly(self.spark.createDataFrame([], rows.schema), self.provenance).schema
 
         def log(part: DataFrame, number: int) -> None:
-            self.batches.put("log", part, number)
+            self.batches.put("log", merge.partly(spread(part), self.provenance), number)  # a portion may be one file
 
-        drain(merged, log, f"{self.at}/state", "update")
+        drain(rows, log, f"{self.at}/state")
 
     def rows(self) -> DataFrame:
         """merge.merged() of all rows so far."""
         log = self.batches.rows("log", self.schema) if self.schema else self.spark.read.parquet(f"{self.at}/log")
-        values = [c for c in log.columns if c not in (*KEY, "batch")]
-        last = log.groupBy(*KEY).agg(F.max_by(F.struct(*values), "batch").alias("last"))
-        return last.select("last.*")
+        return merge.told(merge.combined(log.drop("batch")))

@@ -178,3 +178,20 @@ def test_teams_that_are_no_objects_stay_none(spark):
     assert both.homeTeam is not None and both.records == 2
 
 
+
+
+@pytest.mark.parametrize("portions", [1, 4])
+def test_the_merge_keeps_no_state_between_portions(spark, portions):
+    folder = new_folder(spark, "merge")
+    rows = order_matches(spark, DATA).filter("_rec_ord < 400")
+    odd = rows.limit(6).withColumn("homeTeam", F.lit(None).cast(rows.schema["homeTeam"].dataType)).withColumn("_rec_ord", F.col("_rec_ord") + 1000)
+    rows = Workspace(spark, "t").save(rows.unionByName(odd).unionByName(rows.limit(9).withColumn("_rec_ord", F.col("_rec_ord") + 5000)), "rows")
+    for part in range(portions):
+        rows.filter(F.pmod(F.xxhash64("_rec_ord"), F.lit(portions)) == part).coalesce(1).write.mode("append").parquet(f"{folder}/arrived")
+    table = merging.MergedTable(spark, f"{folder}/merged", True)
+    table.update(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(f"{folder}/arrived"))
+    whole = merge.merged(rows, True)
+    for t in (table, merging.MergedTable(spark, f"{folder}/merged", True)):
+        assert told(t.rows().select(*whole.columns)) == told(whole)
+    kept = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/merged/state/state")
+    assert not kept.getFileSystem(spark._jsc.hadoopConfiguration()).exists(kept)
