@@ -195,3 +195,16 @@ def test_the_merge_keeps_no_state_between_portions(spark, portions):
         assert told(t.rows().select(*whole.columns)) == told(whole)
     kept = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/merged/state/state")
     assert not kept.getFileSystem(spark._jsc.hadoopConfiguration()).exists(kept)
+
+
+def test_rows_without_a_safe_identity_stay_where_places_are_told_twice(spark):
+    folder = new_folder(spark, "merge")
+    one = order_matches(spark, DATA).limit(1).withColumn("homeTeam", F.lit(None).cast(order_matches(spark, DATA).schema["homeTeam"].dataType))
+    rows = Workspace(spark, "t").save(one.unionByName(one).unionByName(one.withColumn("status", F.lit("other"))), "rows")
+    for _ in range(2):  # the same three rows in each of two portions
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/arrived")
+    table = merging.MergedTable(spark, f"{folder}/merged")
+    table.update(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(f"{folder}/arrived"))
+    whole = merge.merged(rows.unionByName(rows))
+    assert sorted((r._section, r.status == "other", r.records) for r in whole.collect()) == [(1, False, 1)] * 4 + [(1, True, 1)] * 2
+    assert told(table.rows().select(*whole.columns)) == told(whole)
